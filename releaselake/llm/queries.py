@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, pii, secrets
+from . import fingerprints, packing, pii, secrets
 from .common import read
 
 
@@ -16,9 +16,13 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(read(spark, sf_dir, "documents"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_pii, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_pii, op4_packing, op10_secrets)}
 ORACLE_SQL: dict[str, str] = {}
