@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, near_dedup, packing, pii, secrets
+from . import fingerprints, near_dedup, packing, pii, secrets, toxicity
 from .common import read
 
 
@@ -24,9 +24,13 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(read(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_pii, op4_packing, op7_near_dedup, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_pii, op4_packing, op7_near_dedup, op8_toxicity, op10_secrets)}
 ORACLE_SQL: dict[str, str] = {}
