@@ -1,5 +1,50 @@
-"""The corpus pipeline."""
-STAGES = []
+"""The corpus pipeline: from the documents table to packed training sequences.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next one's
+docs. All but the last return the columns of documents. The stages learn from labels or decide by models, which SQL does not
+express, so that the whole is tested against the operators one by one and against brute force.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from releaselake.llm import near_dedup, packing, pii, toxicity
+from releaselake.llm.common import materialize, read
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model rejects go."""
+    return toxicity.clean(docs, read(spark, sf_dir, "labels"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return near_dedup.keep_one(docs)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Spans of personal data are replaced by their kind."""
+    return pii.mask(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every token of every document gets its place in a sequence."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("personal_data", mask_personal_data),
+    ("packing", pack_sequences),
+]
+
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
