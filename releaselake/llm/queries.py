@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, near_dedup, packing, pii, secrets, toxicity
+from . import ann, fingerprints, near_dedup, packing, pii, secrets, toxicity
 from .common import read
 
 
@@ -20,6 +20,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(read(spark, sf_dir, "embeddings"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(read(spark, sf_dir, "documents"))
 
@@ -32,5 +36,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_pii, op4_packing, op7_near_dedup, op8_toxicity, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_pii, op4_packing, op6_nearest, op7_near_dedup, op8_toxicity, op10_secrets)}
 ORACLE_SQL: dict[str, str] = {}
