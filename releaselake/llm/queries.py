@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, fingerprints, near_dedup, packing, pii, secrets, toxicity
+from . import ann, chat, fingerprints, near_dedup, packing, pii, secrets, toxicity
 from .common import read
 
 
@@ -32,9 +32,15 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.digest(read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_pii, op4_packing, op6_nearest, op7_near_dedup, op8_toxicity, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_pii, op4_packing, op6_nearest, op7_near_dedup, op8_toxicity, op9_chat, op10_secrets)}
 ORACLE_SQL: dict[str, str] = {}
