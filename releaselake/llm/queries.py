@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, chat, fingerprints, near_dedup, packing, pii, secrets, toxicity
+from . import ann, chat, fingerprints, html_text, near_dedup, packing, pii, secrets, segment, toxicity
 from .common import read
 
 
@@ -16,10 +16,18 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(read(spark, sf_dir, "documents"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op5_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment.digest(read(spark, sf_dir, "documents"))
+
+
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(read(spark, sf_dir, "embeddings"))
 
@@ -42,5 +50,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_pii, op4_packing, op6_nearest, op7_near_dedup, op8_toxicity, op9_chat, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_pii, op3_html_text, op4_packing, op5_segment, op6_nearest, op7_near_dedup, op8_toxicity, op9_chat, op10_secrets)}
 ORACLE_SQL: dict[str, str] = {}
