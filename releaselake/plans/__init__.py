@@ -1,0 +1,4 @@
+"""The registered queries."""
+
+from . import syncing  # noqa: F401
+from .registry import ORACLES, QUERIES  # noqa: F401
