@@ -10,7 +10,7 @@ import re
 from collections import defaultdict
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.items import USE, is_use, item_name, joined_gates, name_prefixes, renamed, surface_hash
@@ -123,7 +123,7 @@ VISIT = "facade_id string, vers string, visit_ord int, root boolean, glob boolea
 def _walk(facade_package: str, rows: pd.DataFrame) -> list[tuple]:
     """Depth-first over leaf rows: (root, glob, target, module, alias, gates, unresolved)."""
     lines = defaultdict(list)  # package: its leaves in line order
-    for r in rows.sort_values(["pos", "leaf_no"], kind="stable").itertuples(index=False):
+    for r in rows.sort_values("line_order", kind="stable").itertuples(index=False):
         lines[r.package].append(r)
     out: list[tuple] = []
     entered: set[tuple[str, str]] = set()
@@ -161,10 +161,11 @@ def visits(leaves: DataFrame, facades: DataFrame) -> DataFrame:
     """What each facade release reaches, in depth-first order: selections of layer items and unresolved boundaries.
 
     A group holds the leaf rows of one facade release, a few hundred; each layer module is entered once, with the gates of its first visit."""
-    own = leaves.join(facades.select("facade_id", F.col("package").alias("facade_package")), "facade_id")
+    order = F.row_number().over(Window.partitionBy("facade_id", "vers").orderBy("package", "pos", "leaf_no"))
+    own = leaves.join(facades.select("facade_id", F.col("package").alias("facade_package")), "facade_id").withColumn("line_order", order)
+    own = own.select("facade_id", "vers", "facade_package", "package", "line_order", "lib", "path", "prefix", "gates", "glob", "alias", "target", "module", "is_measured", "external", "is_module")
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.astype(object).where(rows.notna(), None)
         first = rows.iloc[0]
         found = [(first.facade_id, first.vers, i, *v) for i, v in enumerate(_walk(first.facade_package, rows))]
         return pd.DataFrame(found, columns=[c.split()[0] for c in VISIT.split(", ")])
