@@ -33,7 +33,7 @@ def drop_excluded(releases: DataFrame, excluded: DataFrame) -> DataFrame:
 def forced_releases(specs: DataFrame) -> DataFrame:
     """``PKG@VERS`` specs as package, vers; the first @ divides."""
     parts = F.split("spec", "@", 2)
-    return specs.select(parts[0].alias("package"), parts[1].alias("vers")).where("vers is not null").distinct()
+    return specs.select(F.get(parts, 0).alias("package"), F.get(parts, 1).alias("vers")).where("vers is not null").distinct()
 
 
 def classify(releases: DataFrame, prior: DataFrame, forced: DataFrame | None = None, dry_run: bool = False) -> DataFrame:
