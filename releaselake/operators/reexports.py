@@ -8,9 +8,12 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.items import USE, is_use, item_name, joined_gates, name_prefixes, renamed, surface_hash
@@ -120,11 +123,30 @@ def resolved_leaves(items: DataFrame, measured: DataFrame, graph: DataFrame, fac
 VISIT = "facade_id string, vers string, visit_ord int, root boolean, glob boolean, target string, module string, alias string, gates array<string>, unresolved string"
 
 
-def _walk(facade_package: str, rows: pd.DataFrame) -> list[tuple]:
-    """Depth-first over leaf rows: (root, glob, target, module, alias, gates, unresolved)."""
-    lines = defaultdict(list)  # package: its leaves in line order
-    for r in rows.sort_values("line_order", kind="stable").itertuples(index=False):
+class Leaf(NamedTuple):
+    facade_id: str
+    vers: str
+    facade_package: str
+    package: str
+    lib: str | None
+    path: list[str]
+    prefix: list[str]
+    gates: list[str]
+    glob: bool
+    alias: str | None
+    target: str | None
+    module: str
+    is_measured: bool
+    external: bool
+    is_module: bool
+
+
+def _walk(rows: list[Leaf]) -> list[tuple]:
+    """Depth-first over one facade release's leaf rows, each package's in line order: (root, glob, target, module, alias, gates, unresolved)."""
+    lines = defaultdict(list)
+    for r in rows:
         lines[r.package].append(r)
+    facade_package = rows[0].facade_package
     out: list[tuple] = []
     entered: set[tuple[str, str]] = set()
     todo = [(iter(lines[facade_package]), frozenset(), True)]
@@ -161,16 +183,31 @@ def visits(leaves: DataFrame, facades: DataFrame) -> DataFrame:
     """What each facade release reaches, in depth-first order: selections of layer items and unresolved boundaries.
 
     A group holds the leaf rows of one facade release, a few hundred; each layer module is entered once, with the gates of its first visit."""
-    order = F.row_number().over(Window.partitionBy("facade_id", "vers").orderBy("package", "pos", "leaf_no"))
-    own = leaves.join(facades.select("facade_id", F.col("package").alias("facade_package")), "facade_id").withColumn("line_order", order)
-    own = own.select("facade_id", "vers", "facade_package", "package", "line_order", "lib", "path", "prefix", "gates", "glob", "alias", "target", "module", "is_measured", "external", "is_module")
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        first = rows.iloc[0]
-        found = [(first.facade_id, first.vers, i, *v) for i, v in enumerate(_walk(first.facade_package, rows))]
-        return pd.DataFrame(found, columns=[c.split()[0] for c in VISIT.split(", ")])
-
-    return own.groupBy("facade_id", "vers").applyInPandas(run, VISIT)
+    own = leaves.join(facades.select("facade_id", F.col("package").alias("facade_package")), "facade_id")
+    dealt = own.repartition("facade_id", "vers").sortWithinPartitions("facade_id", "vers", "package", "pos", "leaf_no").select(*Leaf._fields)
+    names = [c.split()[0] for c in VISIT.split(", ")]
+    kinds = [pa.string(), pa.string(), pa.int32(), pa.bool_(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), pa.string()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[Leaf] = []
+
+        def walked() -> list[tuple]:
+            return [(held[0].facade_id, held[0].vers, i, *v) for i, v in enumerate(_walk(held))] if held else []
+
+        for batch in batches:
+            out = []
+            for values in zip(*(batch.column(c).to_pylist() for c in Leaf._fields)):
+                leaf = Leaf(*values)
+                if held and (held[0].facade_id, held[0].vers) != (leaf.facade_id, leaf.vers):
+                    out += walked()
+                    held = []
+                held.append(leaf)
+            if out:
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+        if out := walked():
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+
+    return dealt.mapInArrow(run, VISIT)
 
 
 def projected(items: DataFrame, visited: DataFrame) -> DataFrame:
