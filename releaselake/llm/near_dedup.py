@@ -8,9 +8,11 @@ minima and two maxima of four different permutations.
 1. Documents with equal sets form a class, for which its smallest doc_id stands; only classes go on.
 2. Classes that share a band value form a bucket. Each member is paired with the bucket's smallest id (as many pairs as
    members) and confirmed on full sets; confirmed links give components.
-3. Buckets that still hold several components are read again: within blocks of at most ``BLOCK`` members, all against
-   all by an incidence product over their full sets, larger buckets as pairs of blocks. What a block emits is a forest of
-   its links, so no pair list grows with the square of a group.
+3. Buckets that still hold several components are read again. There a component of more than ``BLOCK`` members has blocks
+   of its own and smaller ones share a pool of blocks of about that size; blocks meet in pairs, all against all by an
+   incidence product over full sets, but for blocks of one component, which has nothing to gain. So one large component
+   with few outsiders costs its size once for each block of outsiders. What a pair of blocks emits is a forest of its
+   links, so no pair list grows with the square of a group.
 4. Components are joined and each document gets the smallest doc_id that it can reach.
 
 Null and empty texts, and texts of white space, have an empty set and link with nothing. Rows with one doc_id count as one
@@ -33,6 +35,7 @@ SHARE = 75  # percent of the union that the intersection must reach
 PERMUTATIONS = 64
 BANDS, ROWS = 32, 4
 BLOCK = 256
+POOL = "pool"  # the blocks that small components of a bucket share
 
 _U = np.uint64
 _rng = np.random.default_rng(20240501)
@@ -240,13 +243,20 @@ def classes(docs: DataFrame) -> DataFrame:
 
     marked = members.where("size > 2").join(first, F.col("rep") == F.col("v"), "left").select("key", "rep", "size", F.coalesce("c", "rep").alias("c"))
     open_ = marked.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
-    left_open = marked.join(open_, "key")
-    parts = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-    mine = F.pmod(F.xxhash64("rep"), parts).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    dealt = left_open.withColumn("parts", parts).withColumn("mine", mine).select("key", "rep", "c", "mine", other.alias("other"))
-    block = F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other"))
-    tasks = dealt.select(block.alias("key"), "rep", "c").join(sets.withColumnRenamed("doc_id", "rep"), "rep").select("key", "c", "shingles")
+    left_open = materialize(marked.join(open_, "key").select("key", "rep", "c"), "open")
+    sizes = left_open.groupBy("key", "c").agg(F.count("*").alias("n"))
+    own = F.when(F.col("n") > BLOCK, F.concat(F.lit("c"), F.col("c"))).otherwise(POOL)
+    lots = materialize(sizes.groupBy("key", own.alias("lot")).agg(F.ceil(F.sum("n") / F.lit(BLOCK)).cast("int").alias("parts")), "lots")
+    near, far = (lots.select("key", F.col("lot").alias(f"{x}_lot"), F.col("parts").alias(f"{x}_parts")) for x in "ab")
+    met = near.join(far, "key").where((F.col("a_lot") < F.col("b_lot")) | ((F.col("a_lot") == POOL) & (F.col("b_lot") == POOL)))
+    numbers = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    met = met.withColumn("a_part", numbers("a_parts")).withColumn("b_part", numbers("b_parts")).where("a_lot <> b_lot or a_part <= b_part")
+    met = met.withColumn("task", F.xxhash64("key", "a_lot", "a_part", "b_lot", "b_part"))
+    sides = met.select("key", F.col("a_lot").alias("lot"), F.col("a_part").alias("part"), "task")
+    sides = sides.union(met.where("a_lot <> b_lot or a_part <> b_part").select("key", "b_lot", "b_part", "task"))
+    placed = left_open.join(sizes, ["key", "c"]).withColumn("lot", own).join(lots, ["key", "lot"]).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+    dealt = placed.join(sides, ["key", "lot", "part"]).select(F.col("task").alias("key"), "rep", "c")
+    tasks = dealt.join(sets.withColumnRenamed("doc_id", "rep"), "rep").select("key", "c", "shingles")
     late = materialize(tasks.repartition("key").sortWithinPartitions("key").mapInArrow(_blocks, "a long, b long"), "late")
 
     last = components(late)

@@ -260,6 +260,21 @@ def test_blocks_find_links_that_leaders_miss(spark, monkeypatch):
     assert got == slow_components(slow_sets(rows))
 
 
+def test_large_components_of_a_bucket_meet(spark, monkeypatch):
+    """Exact leaders with many copies each, near copies between them, and outsiders in the same buckets."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 3)
+    rng = random.Random(8)
+    words, rows = [f"w{i}" for i in range(120)], []
+    for shift in range(4):
+        base = [f"x{shift}-{j}" if 9 * shift <= j < 9 * shift + 14 else w for j, w in enumerate(words)]
+        for _ in range(14):
+            w = list(base)
+            w[rng.randrange(60, 120)] = f"y{rng.randint(0, 40)}"
+            rows.append((len(rows) * 5 % 281, " ".join(w)))
+    got = {r.doc_id: r.component_id for r in near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == slow_components(slow_sets(rows))
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(100, 101)], "a long, b long")
     got = {r.v: r.c for r in near_dedup.components(edges).collect()}
