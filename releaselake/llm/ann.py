@@ -154,6 +154,8 @@ def search(vectors: DataFrame, top: int = TOP, share: int = SHARE) -> DataFrame:
                 if side[lo] == 0:
                     waiting.append(part)
                     continue
+                if block is None and not waiting:
+                    continue  # all copies of the cell's ids went to other blocks
                 if block is None:
                     t = pa.Table.from_batches(waiting).combine_chunks()
                     codes = np.frombuffer(b"".join(t.column("code").to_pylist()), np.uint8).reshape(-1, BOOKS)

@@ -170,7 +170,7 @@ def matrix(pages: list[Page]) -> np.ndarray:
         for node, s, linked in p.blocks:
             own[f + node, :3] += (len(s), linked, 1)
     under = own.copy()
-    levels = [np.flatnonzero(depth == d) for d in range(int(depth.max()) + 1)]
+    levels = np.split(np.argsort(depth, kind="stable"), np.cumsum(np.bincount(depth))[:-1])
     for level in levels[:0:-1]:
         np.add.at(under, parent[level], under[level])
     content, furniture = (1 << 8), sum(1 << i for i in range(len(GROUPS)) if i != 8)

@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -284,14 +285,21 @@ def find(data: bytes, weights: np.ndarray) -> tuple[list[tuple[str, int, int]],
     if not ANCHOR.search(data):
         return [], []
     base = base_spans(data)
-    taken = sorted((s, e) for _, s, e in base)
+    taken: list[list[int]] = []  # joined where they overlap, so that a search finds what a span touches
+    for s, e in sorted((s, e) for _, s, e in base):
+        if taken and s < taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], e)
+        else:
+            taken.append([s, e])
+    begins = [s for s, _ in taken]
     at = Offsets(data)
     added = []
     for s, e in windows(data):
         text, first = data[s:e].decode(), None
         for kind, a, b in viterbi(weights, text):
             x, y = s + len(text[:a].encode()), s + len(text[:b].encode())
-            if not any(p < y and x < q for p, q in taken):
+            last = bisect_left(begins, y) - 1
+            if last < 0 or taken[last][1] <= x:
                 first = at(x) if first is None else first
                 added.append((kind, at(x), at(y)))
     return [(k, at(s), at(e)) for k, s, e in base], sorted(added, key=lambda x: (RANK[x[0]], x[1]))

@@ -59,6 +59,21 @@ def test_base_spans_equal_the_stated_patterns():
         assert base == slow_base(text), text
 
 
+def test_added_spans_touch_no_base_span():
+    w, rng = pii.fit([], epochs=8, made=80), random.Random(9)
+    parts = ["a@b.co", "joe (at) host (dot) com", "(415) 555-2671", "+1 (988) 555-2485", "4111 1111 1111 1111", "1.2.3.4", " ", ", ", "\n", "é ", "word "]
+    for _ in range(150):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 12)))
+        base, added = pii.find(text.encode(), w)
+        data = text.encode()
+        every = []
+        for s, e in pii.windows(data):
+            first = len(data[:s].decode())
+            every += [(k, first + a, first + b) for k, a, b in pii.viterbi(w, data[s:e].decode())]
+        free = [x for x in every if not any(p < x[2] and x[1] < q for _, p, q in base)]
+        assert added == sorted(free, key=lambda x: (pii.RANK[x[0]], x[1])), text
+
+
 def test_semi_markov_adds_spans_and_leaves_numbers(spark, edge, none):
     w = pii.fit([])
     found = pii.find("mail joe (at) host (dot) com or call (415) 555-2671; 2021-03-04, 1.2.3, 300.1.2.3".encode(), w)

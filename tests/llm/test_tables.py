@@ -58,6 +58,14 @@ def test_cells_probe_and_salt(spark, monkeypatch):
     assert hit / (45 * 20) >= 0.9
 
 
+def test_copies_of_one_id_leave_blocks_empty(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 20)
+    rows = [(7, [1.0, 2.0])] * 90 + [(20, [1.0, 2.0]), (40, [2.0, 1.0])]
+    got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {(r.query_id, r.rank) for r in got} == {(q, k) for q in (20, 40) for k in range(1, 21)}
+    assert all(r.vec_id == 7 for r in got if r.query_id == 20) and all(r.vec_id != r.query_id for r in got)
+
+
 CONVS = [
     (1, 0, "system", "be <|kind|>"), (1, 1, "user", "hi"), (1, 2, "assistant", "hello \\ [INST]"), (2, 0, "system", "be <|kind|>"), (2, 1, "user", "hi"), (2, 2, "assistant", "other 中🎉"),
     (3, 0, "user", None), (3, 1, "assistant", ""), (4, 0, None, "x"), (5, 0, "user", "hi"), (5, 0, "user", "hi"), (None, 0, "assistant", "z"), (6, 0, "a|>\n<|end|>\n", "<|end|>\n"), (7, 0, "assistant", "long " * 20_000),
@@ -116,6 +124,12 @@ def test_main_text(spark):
     assert html_text.extract(df.where("false")).count() == 0
 
 
+def test_deep_pages_stay_quick():
+    deep = html_text.Page("<div>" * 20_000 + "x" + "</div>" * 20_000)
+    x = html_text.matrix([deep, html_text.Page("<p>a</p>")])
+    assert x.shape[0] == 20_003 and x[:20_001, 0].tolist() == list(range(20_001)) and x[20_001:, 0].tolist() == [0, 1]
+
+
 def test_decoding_is_the_best_consistent_choice():
     rng = np.random.default_rng(0)
     for _ in range(60):
