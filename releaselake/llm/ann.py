@@ -5,9 +5,9 @@ one entry of each, found by beam search, and its code is stored with the ratio o
 query makes a table of its products with all entries; looking the codes up there, times the stored norm ratio, scores all
 rows of a block. The best ``SHORTLIST`` of each block are ranked again by exact inner products in double precision.
 
-Rows are dealt by cell (groups of first-codebook entries), and within a cell by salt into blocks of about ``BLOCK`` rows, so
-that a crowded cell, or many equal vectors, fill many blocks. A query goes to the blocks of the cells it probes: all of
-them up to ``ALL_CELLS`` cells, then a growing part. Blocks are held one at a time, queries stream past them.
+Rows are dealt by the hash of their id into blocks of about ``BLOCK`` rows, so that many equal vectors fill many blocks. A query goes
+to every block at every size, so that each row is scored for each query and the work grows with their product. Blocks are held
+one at a time, queries stream past them.
 
 Vectors that are null, empty, of another length than most, all zero, or that hold a null or non-finite component take no part; neither do rows with a
 null vec_id. Of repeated query ids one is taken. With fewer candidates than asked for all are returned; ties go to the smaller vec_id.
@@ -31,21 +31,16 @@ BOOKS, ENTRIES, BEAM = 16, 256, 4
 SAMPLE = 12_000
 SHORTLIST = 512
 BLOCK = 8_192
-ALL_CELLS = 8
 
 
 class Model:
-    def __init__(self, sample: np.ndarray, cells: int, seed: int = 11):
+    def __init__(self, sample: np.ndarray, seed: int = 11):
         rng = np.random.default_rng(seed)
         residual, self.books = sample.astype(np.float32), []
         for _ in range(BOOKS):
             book = _means(residual, min(ENTRIES, len(residual)), rng)
             residual = residual - book[_nearest(residual, book)]
             self.books.append(book)
-        centres = _means(self.books[0], min(cells, len(self.books[0])), rng)
-        self.cell = _nearest(self.books[0], centres).astype(np.int32)
-        self.centres = centres
-        self.probes = len(centres) if len(centres) <= ALL_CELLS else ALL_CELLS + len(centres) // 8
 
     def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes (rows x BOOKS) by beam search, and the norm ratios."""
@@ -117,28 +112,17 @@ def search(vectors: DataFrame, top: int = TOP, share: int = SHARE) -> DataFrame:
     drawn = every.where(hash_fraction(F.col("vec_id"), 6) < min(1.0, SAMPLE / n)).orderBy("vec_id").limit(2 * SAMPLE).collect()
     if not drawn:
         drawn = every.orderBy("vec_id").limit(1).collect()
-    model = Model(np.array([r.embedding for r in drawn]), max(1, min(ENTRIES, n // BLOCK)))
+    model = Model(np.array([r.embedding for r in drawn]))
+    blocks = -(-n // BLOCK)
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
         codes, ratios = model.encode(_matrix(batch.column("embedding"), size))
-        cells = model.cell[codes[:, 0]]
-        return pa.record_batch([batch.column("vec_id"), batch.column("embedding"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(ratios), pa.array(cells)], ["vec_id", "embedding", "code", "ratio", "cell"])
-
-    index = materialize(map_rows(every, "vec_id long, embedding array<double>, code binary, ratio float, cell int", lambda: encode), "ann-index")
-    blocks = {r.cell: -(-r.n // BLOCK) for r in index.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # at most ENTRIES rows
-
-    def probe(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x = _matrix(batch.column("embedding"), size)
-        order = np.argsort(-(x @ model.centres.T), axis=1, kind="stable")[:, : model.probes]
-        keys = [[c << 32 | b for c in row if c in blocks for b in range(blocks[c])] for row in order.tolist()]
-        return pa.record_batch([batch.column("vec_id"), batch.column("embedding"), pa.array(keys, pa.list_(pa.int64()))], ["vec_id", "embedding", "keys"])
+        return pa.record_batch([batch.column("vec_id"), batch.column("embedding"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(ratios)], ["vec_id", "embedding", "code", "ratio"])
 
+    index = materialize(map_rows(every, "vec_id long, embedding array<double>, code binary, ratio float", lambda: encode), "ann-index")
     queries = index.where(F.col("vec_id") % share == 0).select("vec_id", "embedding").dropDuplicates(["vec_id"])
-    probed = map_rows(queries, "vec_id long, embedding array<double>, keys array<long>", lambda: probe)
-    asked = probed.select(F.explode("keys").alias("key"), F.lit(1).alias("side"), "vec_id", "embedding", F.lit(None).cast("binary").alias("code"), F.lit(None).cast("float").alias("ratio"))
-    many = F.element_at(F.create_map(*[F.lit(v) for item in blocks.items() for v in item]), F.col("cell"))
-    key = F.shiftleft(F.col("cell").cast("long"), 32) + F.pmod(F.xxhash64("vec_id"), many)
-    held = index.select(key.alias("key"), F.lit(0).alias("side"), "vec_id", "embedding", "code", "ratio")
+    asked = queries.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("key"), F.lit(1).alias("side"), "vec_id", "embedding", F.lit(None).cast("binary").alias("code"), F.lit(None).cast("float").alias("ratio"))
+    held = index.select(F.pmod(F.xxhash64("vec_id"), F.lit(blocks).cast("long")).alias("key"), F.lit(0).alias("side"), "vec_id", "embedding", "code", "ratio")
     dealt = held.union(asked).repartition("key").sortWithinPartitions("key", "side", "vec_id")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +139,7 @@ def search(vectors: DataFrame, top: int = TOP, share: int = SHARE) -> DataFrame:
                     waiting.append(part)
                     continue
                 if block is None and not waiting:
-                    continue  # all copies of the cell's ids went to other blocks
+                    continue  # all ids went to other blocks
                 if block is None:
                     t = pa.Table.from_batches(waiting).combine_chunks()
                     codes = np.frombuffer(b"".join(t.column("code").to_pylist()), np.uint8).reshape(-1, BOOKS)

@@ -66,6 +66,20 @@ def test_copies_of_one_id_leave_blocks_empty(spark, monkeypatch):
     assert all(r.vec_id == 7 for r in got if r.query_id == 20) and all(r.vec_id != r.query_id for r in got)
 
 
+def test_many_blocks_lose_no_neighbour(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 20)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1300, 8)) * rng.uniform(0.2, 4, size=(1300, 1))
+    got = {}
+    for r in ann.search(spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")).collect():
+        got.setdefault(r.query_id, {})[r.rank] = r.vec_id
+    assert set(got) == set(range(0, 1300, 20))
+    for q, found in got.items():
+        s = (x * x[q]).sum(1)
+        s[q] = -np.inf
+        assert [found[k] for k in range(1, 21)] == np.lexsort((np.arange(1300), -s))[:20].tolist()
+
+
 CONVS = [
     (1, 0, "system", "be <|kind|>"), (1, 1, "user", "hi"), (1, 2, "assistant", "hello \\ [INST]"), (2, 0, "system", "be <|kind|>"), (2, 1, "user", "hi"), (2, 2, "assistant", "other 中🎉"),
     (3, 0, "user", None), (3, 1, "assistant", ""), (4, 0, None, "x"), (5, 0, "user", "hi"), (5, 0, "user", "hi"), (None, 0, "assistant", "z"), (6, 0, "a|>\n<|end|>\n", "<|end|>\n"), (7, 0, "assistant", "long " * 20_000),
