@@ -89,14 +89,17 @@ def compatible_window(report: DataFrame, baseline: DataFrame) -> DataFrame:
     return runs.join(mine, ["package", "_run"], "left_semi").groupBy("package").agg(F.min_by("vers", key).alias("first"), F.max_by("vers", key).alias("last"), F.count("*").alias("releases"))
 
 
-def migration_plan(used: DataFrame, before: DataFrame, after: DataFrame, rules: DataFrame) -> DataFrame:
-    """key, action, to_key for symbols used from the old surface: keep if unchanged, rewrite if a rule applies, else manual. Surfaces are (key, digest); ``rules(from_key, to_key, status)``."""
-    old = before.groupBy("key").agg(F.min("digest").alias("_old"))
-    new = after.groupBy("key").agg(F.min("digest").alias("_new"))
-    ready = rules.where("status = 'applies'").groupBy(F.col("from_key").alias("key")).agg(F.min("to_key").alias("to_key"))
-    out = used.select("key").distinct().join(old, "key").join(new, "key", "left").join(ready, "key", "left")
+def migration_plan(used: DataFrame, before: DataFrame, after: DataFrame, rules: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """key, action, to_key for symbols used from the old surface: keep if unchanged, rewrite if a rule applies, else manual. Surfaces are (key, digest); ``rules(from_key, to_key, status)``.
+
+    All four inputs also have the columns ``by``, which name one plan of many; they lead the result."""
+    on = [*by, "key"]
+    old = before.groupBy(*on).agg(F.min("digest").alias("_old"))
+    new = after.groupBy(*on).agg(F.min("digest").alias("_new"))
+    ready = rules.where("status = 'applies'").groupBy(*by, F.col("from_key").alias("key")).agg(F.min("to_key").alias("to_key"))
+    out = used.select(*on).distinct().join(old, on).join(new, on, "left").join(ready, on, "left")
     action = F.when(F.col("_old") == F.col("_new"), "keep").when(F.col("to_key").isNotNull(), "rewrite").otherwise("manual")
-    return out.select("key", action.alias("action"), F.when(action == "rewrite", F.col("to_key")).alias("to_key"))
+    return out.select(*on, action.alias("action"), F.when(action == "rewrite", F.col("to_key")).alias("to_key"))
 
 
 def workspace_audit(locks: DataFrame, apps: DataFrame, generations: DataFrame) -> DataFrame:

@@ -350,9 +350,18 @@ def _once(v: View) -> DataFrame:
     return v("own_items").groupBy("package", F.concat(F.lit("prov-"), "k").alias("provider_id"), "k", "vers", "key").agg(F.min("digest").alias("digest"), F.min("cfg1").alias("cfg1")).withColumn("cfg", _cfg())
 
 
-def _rules(v: View) -> tuple[DataFrame, DataFrame]:
+#: The same rules for the releases of all forks.
+FORKS = "package IN (SELECT package FROM {entities} WHERE role = 'fork')"
+FORK_RULE_SQL = RULE_SQL.replace("WHERE k % 5 = 0", "WHERE " + FORKS)
+
+
+def _of_forks(v: View, df: DataFrame) -> DataFrame:
+    return df.join(v("entities").where("role = 'fork'").select("package"), "package", "left_semi")
+
+
+def _rules(v: View, of: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     u = _once(v)
-    near = analyze.with_neighbours(u.where("k % 5 = 0"))
+    near = analyze.with_neighbours(u.where("k % 5 = 0") if of is None else of)
     r = u.join(near.where("next_vers is not null"), ["package", "vers"]).groupBy("provider_id", "package", "k", "vers", "next_vers").agg(F.min("key").alias("from_key"), F.max("key").alias("to_key"))
     bad = F.when(F.col("k") % 20 == 0, "0")
     of = lambda c: F.md5(F.concat_ws("@", "provider_id", c).cast("binary"))
@@ -383,6 +392,30 @@ def migration_plan(v: View) -> DataFrame:
     return analyze.migration_plan(old, old, new, rules.join(status, "id"))
 
 
+@query("WITH " + FORK_RULE_SQL + "SELECT id, status FROM st")
+def fork_rule_check(v: View) -> DataFrame:
+    """The rules of all forks."""
+    return _rules(v, _of_forks(v, _once(v)))[1]
+
+
+@query("WITH " + FORK_RULE_SQL + """,
+fx AS (SELECT package, vers, lead(vers) OVER (PARTITION BY package ORDER BY CAST(split_part(vers, '.', 1) AS INT), CAST(split_part(vers, '.', 2) AS INT)) AS next FROM (SELECT DISTINCT package, vers FROM u WHERE """ + FORKS + """)),
+a AS (SELECT u.package, u.vers, fx.next, u.key, u.digest FROM u JOIN fx USING (package, vers) WHERE fx.next IS NOT NULL),
+r AS (SELECT package, vers, from_key, min(to_key) AS to_key FROM st WHERE status = 'applies' GROUP BY package, vers, from_key)
+SELECT a.package, a.vers, a.key, CASE WHEN a.digest = b.digest THEN 'keep' WHEN r.to_key IS NOT NULL THEN 'rewrite' ELSE 'manual' END AS action, CASE WHEN a.digest IS DISTINCT FROM b.digest THEN r.to_key END AS to_key
+FROM a LEFT JOIN u b ON b.package = a.package AND b.vers = a.next AND b.key = a.key LEFT JOIN r ON r.package = a.package AND r.vers = a.vers AND r.from_key = a.key
+""")
+def fork_migration_plans(v: View) -> DataFrame:
+    """Every release of every fork, all of its symbols used, with the fork's next release as target."""
+    u = _of_forks(v, _once(v))
+    rules, status = _rules(v, u)
+    near = analyze.with_neighbours(u)
+    old = u.join(near.where("next_vers is not null").select("package", "vers"), ["package", "vers"], "left_semi")
+    new = u.join(near.where("prev_vers is not null").select("package", "vers", "prev_vers"), ["package", "vers"]).select("package", F.col("prev_vers").alias("vers"), "key", "digest")
+    ready = rules.join(status, "id").select(F.regexp_replace("from_provider", "^prov-", "pkg-").alias("package"), F.col("from_version").alias("vers"), "from_key", "to_key", "status")
+    return analyze.migration_plan(old, old, new, ready, ("package", "vers"))
+
+
 @query("SELECT DISTINCT concat('kit-', o_custkey % 7) AS kit, concat('prov-', k) AS target FROM (SELECT o_custkey, o_orderkey % 11 AS k FROM {orders}) WHERE (k + 7 - o_custkey % 7) % 3 = 0")
 def kit_offers(v: View) -> DataFrame:
     """Orders as wished pairs of kit and target; every third pair is probed."""
