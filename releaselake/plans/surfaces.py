@@ -535,8 +535,23 @@ FROM (SELECT lk.w, lk.package, CASE WHEN lk.package = ap.package AND lk.vers = a
 """)
 def workspace_audit(v: View) -> DataFrame:
     """Orders as workspaces, their lines as lock rows; the app is bound to the first of them."""
-    li = v("li").where("k % 5 = 3")
+    return _audit(v("li").where("k % 5 = 3"))
+
+
+def _audit(li: DataFrame) -> DataFrame:
     g = li.groupBy("package", "vers", "k").agg((F.max("yr") % 3).alias("y")).select("package", "vers", F.when(F.col("k") % 10 != 3, F.col("y").cast("string")).alias("api_hash"))
     locks = li.select(F.concat(F.lit("ws-"), "l_orderkey").alias("workspace"), "package", "vers").distinct()
     apps = locks.groupBy("workspace").agg(F.min(F.struct("package", F.concat("package", "vers").alias("o"), "vers")).alias("a")).select("workspace", "a.package", "a.vers")
     return analyze.workspace_audit(locks, apps, g)
+
+
+@query("""
+WITH fl AS (SELECT * FROM {li} WHERE """ + FORKS + """), g AS (SELECT package, vers, CASE WHEN k % 10 = 3 THEN NULL ELSE max(yr) % 3 END AS h FROM fl GROUP BY package, vers, k),
+lk AS (SELECT DISTINCT l_orderkey AS w, package, vers FROM fl), ap AS (SELECT w, min(package) AS package, min_by(vers, concat(package, ' ', vers)) AS vers FROM lk GROUP BY w)
+SELECT concat('ws-', lk.w) AS workspace, count(*) FILTER (v = 'match') AS matches, count(*) FILTER (v = 'same') AS same_generation, count(*) FILTER (v = 'clash') AS clashes, count(*) FILTER (v = 'unverifiable') AS unverifiable, count(DISTINCT package) > 1 AS refused
+FROM (SELECT lk.w, lk.package, CASE WHEN lk.package = ap.package AND lk.vers = ap.vers THEN 'match' WHEN g.h IS NULL OR a.h IS NULL THEN 'unverifiable' WHEN g.h = a.h THEN 'same' ELSE 'clash' END AS v
+      FROM lk JOIN ap ON ap.w = lk.w LEFT JOIN g ON g.package = lk.package AND g.vers = lk.vers LEFT JOIN g a ON a.package = ap.package AND a.vers = ap.vers) lk GROUP BY lk.w
+""")
+def fork_workspace_audit(v: View) -> DataFrame:
+    """The lock rows of all forks, facades with them."""
+    return _audit(_of_forks(v, v("li")))

@@ -53,3 +53,9 @@ def test_plan_applies_a_rule_only_to_its_own_release(spark):
     rules = spark.createDataFrame([("p", "2", "a", "b", "applies"), ("q", "1", "a", "c", "gated")], by + "from_key string, to_key string, status string")
     got = {tuple(r) for r in analyze.migration_plan(old, old, new, rules, ("package", "vers")).collect()}
     assert got == {("p", "1", "a", "keep", None), ("p", "2", "a", "rewrite", "b"), ("q", "1", "a", "manual", None), ("q", "2", "a", "manual", None)}
+
+
+def test_audit_judges_facade_forks(spark, lines):
+    got = {r["workspace"]: r for r in both(spark, lines, "fork_workspace_audit")}
+    assert set(got) == {"ws-1", "ws-2", "ws-8"} and [got[w]["refused"] for w in sorted(got)] == [True, False, True]
+    assert sum(got["ws-1"][c] for c in ("matches", "same_generation", "clashes", "unverifiable")) == 9 and got["ws-2"]["matches"] == 1
