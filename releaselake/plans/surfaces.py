@@ -555,3 +555,59 @@ FROM (SELECT lk.w, lk.package, CASE WHEN lk.package = ap.package AND lk.vers = a
 def fork_workspace_audit(v: View) -> DataFrame:
     """The lock rows of all forks, facades with them."""
     return _audit(_of_forks(v, v("li")))
+
+
+#: Every item key and digest, over all forks.
+FULL_USED_SQL = USED_SQL.replace("split_part(key, ':', 1) AS key, cfg1 AS digest", "key, digest").replace("split_part(key, ':', 1) AS key", "key").replace("k % 5 = 3", FORKS)
+FULL_HASH_SQL = """
+g AS (SELECT DISTINCT package, vers, key, digest, cfg1 FROM {own_items}),
+h AS (SELECT package, vers, sha256(string_agg(concat(key, chr(0), digest, chr(0), cfg1), chr(0) ORDER BY key, digest, cfg1)) AS api_hash FROM g GROUP BY package, vers)
+"""
+
+
+def _full_used(v: View) -> tuple[DataFrame, DataFrame]:
+    o = _of_forks(v, v("own_items"))
+    items = o.select("package", "vers", "key", "digest").distinct()
+    base = items.select("package", F.lit("6.1.0").alias("vers")).distinct()
+    return analyze.used_api_report(o.where("l_orderkey % 4 = 0").select("package", "key").distinct(), items, base), base
+
+
+def _full_hashes(v: View) -> DataFrame:
+    g = v("own_items").select("package", "vers", "key", "digest", _cfg().alias("cfg")).distinct()
+    return g.groupBy("package", "vers").agg(surface_hash(F.col("key"), F.col("digest"), F.col("cfg")).alias("api_hash"))
+
+
+@query("WITH " + FULL_USED_SQL + "SELECT * FROM rp")
+def fork_used_api_report(v: View) -> DataFrame:
+    return _full_used(v)[0]
+
+
+@query("WITH " + FULL_USED_SQL + """,
+o AS (SELECT *, CAST(split_part(vers, '.', 1) AS INT) * 10 + CAST(split_part(vers, '.', 2) AS INT) AS n FROM rp), r AS (SELECT *, sum(CASE WHEN compatible THEN 0 ELSE 1 END) OVER (PARTITION BY package ORDER BY n) AS run FROM o),
+m AS (SELECT package, run FROM r WHERE vers = '6.1.0' AND compatible)
+SELECT r.package, min_by(vers, n) AS first, max_by(vers, n) AS last, count(*) AS releases FROM r JOIN m USING (package, run) WHERE compatible GROUP BY r.package
+""")
+def fork_compat_window(v: View) -> DataFrame:
+    return analyze.compatible_window(*_full_used(v))
+
+
+@query("WITH " + FULL_HASH_SQL + """,
+o AS (SELECT *, CAST(split_part(vers, '.', 1) AS INT) * 100 + CAST(split_part(vers, '.', 2) AS INT) * 10 + CASE WHEN vers LIKE '%-pre' THEN 0 ELSE 1 END AS n FROM h)
+SELECT api_hash, count(*) AS members, count(DISTINCT package) AS packages, min_by(vers, n) AS lowest, max_by(vers, n) AS highest, count(DISTINCT package) > 1 AS twins FROM o GROUP BY api_hash
+""")
+def full_generation_classes(v: View) -> DataFrame:
+    """Whole surfaces: few releases fall together."""
+    return analyze.generation_classes(_full_hashes(v))
+
+
+@query("WITH " + FULL_HASH_SQL + """,
+t AS (SELECT DISTINCT package, vers, concat('I', l_partkey % 4, ': ', CASE WHEN l_linenumber % 2 = 0 THEN 'Send' ELSE 'Sync' END) AS t FROM {own_items}),
+o AS (SELECT package, vers, api_hash AS h, lag(api_hash) OVER w AS ph, lag(vers) OVER w AS pv FROM h WINDOW w AS (PARTITION BY package ORDER BY CAST(split_part(vers, '.', 1) AS INT), CAST(split_part(vers, '.', 2) AS INT)))
+SELECT o.package, o.vers, string_agg(a.t, ',' ORDER BY a.t) AS lost FROM o JOIN t a ON a.package = o.package AND a.vers = o.pv LEFT JOIN t b ON b.package = o.package AND b.vers = o.vers AND b.t = a.t
+WHERE o.h = o.ph AND b.t IS NULL GROUP BY o.package, o.vers
+""")
+def full_trait_breaks(v: View) -> DataFrame:
+    """Whole surfaces; line numbers stand for traits of four types."""
+    t = F.concat(F.lit("I"), F.col("l_partkey") % 4, F.lit(": "), F.when(F.col("l_linenumber") % 2 == 0, "Send").otherwise("Sync"))
+    s = v("own_items").groupBy("package", "vers").agg(F.array_sort(F.collect_set(t)).alias("traits")).join(_full_hashes(v), ["package", "vers"])
+    return analyze.trait_breaks(s).withColumn("lost", F.array_join("lost", ","))

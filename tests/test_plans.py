@@ -59,3 +59,16 @@ def test_audit_judges_facade_forks(spark, lines):
     got = {r["workspace"]: r for r in both(spark, lines, "fork_workspace_audit")}
     assert set(got) == {"ws-1", "ws-2", "ws-8"} and [got[w]["refused"] for w in sorted(got)] == [True, False, True]
     assert sum(got["ws-1"][c] for c in ("matches", "same_generation", "clashes", "unverifiable")) == 9 and got["ws-2"]["matches"] == 1
+
+
+def test_used_symbols_are_whole_keys_and_digests_of_all_forks(spark, lines):
+    got = {(r["package"], r["vers"]): r for r in both(spark, lines, "fork_used_api_report")}
+    assert {p for p, _ in got} == {"pkg-3", "pkg-5", "pkg-8"} and got["pkg-3", "6.1.0"]["checkable"] == 2
+    assert [got["pkg-3", v]["compatible"] for v in ("6.1.0", "6.2.0", "6.4.0-pre")] == [True, False, False]
+    assert [(r["package"], r["first"], r["last"], r["releases"]) for r in both(spark, lines, "fork_compat_window") if r["package"] == "pkg-3"] == [("pkg-3", "6.1.0", "6.1.0", 1)]
+
+
+def test_whole_surfaces_in_classes_and_trait_breaks(spark, lines):
+    classes = both(spark, lines, "full_generation_classes")
+    assert sorted((r["members"], r["packages"], r["twins"]) for r in classes) == [(3, 3, True)] * 3
+    assert both(spark, lines, "full_trait_breaks") == []
