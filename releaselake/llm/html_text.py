@@ -10,7 +10,8 @@ The trees are fitted on at most ``TRAIN_PAGES`` pages by the hash of their ids.
 the pages: known furniture is put in, and content elements are renamed, so that the trees learn to do without the elements.
 
 Character references are decoded, white space in a block becomes one space, blocks are joined by a line feed. Null and empty pages give an
-empty text, as do pages without content; plain text without markup counts as content. Pages are read whole; repeated rows give repeated
+empty text, as do pages without content. What stands between the tags of a hidden element (``HIDDEN``) is left out; where its end tag is missing, only
+its own text is, up to the end of the element around it, and blocks below it count; a head ends at the body or the first block. Plain text without markup counts as content. Pages are read whole; repeated rows give repeated
 results; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -36,7 +37,8 @@ BLOCK = (
     " figcaption blockquote pre address details summary dialog fieldset legend center hgroup menu hr html"
 ).split()
 TAG = {t: i for i, t in enumerate(BLOCK)}
-SKIPPED = "script style noscript template svg iframe head select textarea button object canvas math".split()
+RAW = "script style textarea".split()  # without an end tag these run to the end of the page
+HIDDEN = frozenset("noscript template svg iframe head title select button".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr")}
@@ -48,7 +50,7 @@ GROUPS = (
 )
 GROUP = re.compile("|".join(f"(?P<g{i}>(?:{g})(?![a-z]))" for i, g in enumerate(GROUPS)))
 WORDY = re.compile(r"[a-z]+")
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(%s)\b[^>]*>.*?(?:</\1\s*>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>" % "|".join(SKIPPED), re.S | re.I)
+TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(%s)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>" % "|".join(RAW), re.S | re.I)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 
@@ -61,10 +63,17 @@ class Page:
         self.blocks: list[tuple[int, str, int]] = []  # node, text, characters in links
         stack: list[tuple[str, int]] = [("body", 0)]  # open elements; inline ones keep their block's node
         text: list[str] = []
+        holds: list[list] = []  # open hidden elements: name, seat in the stack, nodes, blocks, inline tags, and the text before them once it was flushed
         linked, in_link, at = 0, 0, 0
 
         def flush() -> None:
             nonlocal linked
+            before = None
+            for hold in reversed(holds):
+                if hold[5] is not None:
+                    break
+                before = before or (text.copy(), linked)
+                hold[5] = before
             if text:
                 s = " ".join(html.unescape("".join(text)).split())
                 if s:
@@ -73,13 +82,32 @@ class Page:
             linked = 0
 
         def pop_to(k: int) -> None:
-            nonlocal in_link
             flush()
+            cut(k)
+
+        def cut(k: int) -> None:
+            nonlocal in_link
             in_link -= sum(t == "a" for t, _ in stack[k:])
             del stack[k:]
+            while holds and holds[-1][1] >= k:
+                holds.pop()
+
+        def leave_out(hold: list) -> None:
+            """The end tag is there: all since the start tag goes."""
+            nonlocal linked
+            _, k, nodes, blocks, inline, before = hold
+            cut(k)
+            for column in (self.parent, self.tag, self.groups, self.label, self.depth, self.inline):
+                del column[nodes:]
+            del self.blocks[blocks:]
+            self.inline[stack[-1][1]] = inline
+            if before is not None:
+                text[:], linked = before
 
         def say(s: str) -> None:
             nonlocal linked
+            if holds and stack[-1][1] == stack[holds[-1][1]][1]:
+                return
             text.append(s)
             if in_link:
                 linked += len(s)
@@ -94,16 +122,28 @@ class Page:
             name = name.lower()
             if name in ("html", "body"):
                 if not m[2] and name == "body":
+                    if holds and holds[0][0] == "head":
+                        pop_to(holds[0][1])
                     self.groups[0] |= _groups(m[4])[0]
                 continue
+            if name in HIDDEN:
+                same = next((h for h in reversed(holds) if h[0] == name), None)
+                if m[2] and same:
+                    leave_out(same)
+                elif not m[2] and not m[4].endswith("/"):
+                    if same and name not in ("svg", "template"):
+                        holds.remove(same)  # these don't nest, so that the end tag of the one before is missing
+                    node = stack[-1][1]
+                    stack.append((name, node))
+                    holds.append([name, len(stack) - 1, len(self.parent), len(self.blocks), self.inline[node], None])
+                continue
             if m[2]:
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k][0] == name:
                         if name in TAG:
                             pop_to(k)
                         else:
-                            in_link -= sum(t == "a" for t, _ in stack[k:])
-                            del stack[k:]
+                            cut(k)
                         break
                     if name not in TAG and stack[k][0] in TAG:
                         break
@@ -111,11 +151,15 @@ class Page:
             if name == "br":
                 say(" ")
             if name in TAG:
+                if holds and holds[-1][0] == "head":
+                    pop_to(holds[-1][1])
                 if name == "hr":
                     flush()
                     continue
                 for k in range(len(stack) - 1, 0, -1):  # what the new block closes by itself
                     t = stack[k][0]
+                    if holds and k == holds[-1][1]:
+                        break
                     if t == "p" or t in CLOSES.get(name, ()):
                         pop_to(k)
                         break

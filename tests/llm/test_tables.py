@@ -138,6 +138,22 @@ def test_main_text(spark):
     assert html_text.extract(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize(
+    "source, want",
+    [
+        ("<html><head><title>T</title><meta charset=x><body><p>one<p>two", ["one", "two"]), ("<head><title>T</title><p>one</p>", ["one"]), ("<head><title>T</title></head><body><p>one</p>", ["one"]),
+        ("<p>a <svg width='1'/> b</p><p>c</p>", ["a b", "c"]), ("<p>a <math/> b</p><p>c</p>", ["a b", "c"]), ("<p>a <iframe src=x /> b</p><p>c</p>", ["a b", "c"]), ("<p>a <svg><text>s</text></svg>b</p>", ["a b"]),
+        ("<div><button>Like<p>one</p><p>two</p></div><p>three</p>", ["one", "two", "three"]), ("<p>a <button>Like</p><p>b <button>x</button> c</p>", ["a", "b c"]), ("<select><option>x<option>y<p>one</p>", ["one"]), ("<iframe src=x><p>one</p>", ["one"]),
+        ("<p>a <math><mi>x</mi></math> b <object>o</object> <canvas>c</canvas></p>", ["a x b o c"]), ("<p>a <noscript><p>n</p><div>m</div></noscript>b</p>", ["a b"]), ("<svg-icon></svg-icon><p>one</p>", ["one"]),
+        ("<p>a<a href=x>l<button>k<div>d</div></button>m</a></p>", ["alm"]), ("<template><svg></svg><p>t</p></template><p>one</p><script>x<p>y", ["one"]), ("<p>a</p><textarea>t<p>b", ["a"]),
+    ],
+)
+def test_missing_end_tags_lose_no_text(source, want):
+    page = html_text.Page(source)
+    assert [s for _, s, _ in page.blocks] == want
+    assert len({len(c) for c in (page.parent, page.tag, page.groups, page.label, page.depth, page.inline)}) == 1 and all(node < len(page.parent) for node, _, _ in page.blocks)
+
+
 def test_deep_pages_stay_quick():
     deep = html_text.Page("<div>" * 20_000 + "x" + "</div>" * 20_000)
     x = html_text.matrix([deep, html_text.Page("<p>a</p>")])
