@@ -270,6 +270,18 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents whose id stands for their component; all columns stay, and of rows with one doc_id one is left."""
-    kept = classes(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept.withColumnRenamed("doc_id", "_kept"), docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id"])
+    """The documents that stand for their component; all columns stay. Rows go only as copies of the same or a near text, whatever their ids are."""
+    named = _named(docs)
+    kept = classes(named.select(F.col("_row").alias("doc_id"), "text")).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    return named.join(kept, F.col("_row") == F.col("_kept"), "left_semi").dropDuplicates(["_row"]).drop("_row")
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    """With ``_row``: the doc_id; a hash of id and text above usual ids where the id is null or belongs to another text too."""
+    of = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    key = F.col("doc_id").cast("long")
+    shared = docs.select(key.alias("_id"), of.alias("h")).where("_id is not null").groupBy("_id").agg(F.min("h").alias("_first"), F.max("h").alias("_last")).where("_first <> _last").drop("_last")
+    made = F.xxhash64(F.coalesce(key.cast("string"), F.lit("")), of).bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
+    if shared.isEmpty():  # the usual case needs no join
+        return docs.withColumn("_row", F.coalesce(key, made))
+    return docs.join(shared, key == F.col("_id"), "left").withColumn("_row", F.when(key.isNull() | (of != F.col("_first")), made).otherwise(key)).drop("_id", "_first")

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from releaselake.llm import fingerprints, near_dedup, packing, pii, secrets, segment, toxicity
 
@@ -329,3 +330,11 @@ def test_risk_never_goes_below_zero_part():
 @pytest.mark.parametrize("text", ["", "<>", "a\\b", "[[<<||\\\\"])
 def test_nothing_breaks_on_odd_texts(text):
     assert secrets.find(text.encode()) == ([], 0) and len(near_dedup.shingles(text.encode())) <= 1
+
+
+def test_keep_one_drops_only_copies(spark):
+    say = lambda c: " ".join(f"{c}{i}" for i in range(40))
+    rows = [(None, say("a")), (None, say("b")), (None, say("b")), (None, say("c")), (1, say("c")), (2, say("d")), (2, say("e")), (2, say("e")), (3, say("f")), (4, say("f"))]
+    got = near_dedup.keep_one(spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("en")).repartition(3))
+    assert got.columns == ["doc_id", "text", "lang"]
+    assert sorted((r.doc_id or 0, r.text[0]) for r in got.collect()) == [(0, "a"), (0, "b"), (1, "c"), (2, "d"), (2, "e"), (3, "f")]
