@@ -13,7 +13,7 @@ from .registry import ORACLES, QUERIES
 def arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as registry rows: a user's package, the key in the props its version, the kind of event its digest."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    e = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    e = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
     package = F.concat(F.lit("pkg-"), F.col("user_id"))
     return e.select(
         F.concat(F.lit("prov-"), F.col("user_id")).alias("provider_id"), F.lit("registry-index").alias("kind"), F.concat(F.get_json_object("props", "$.k"), F.lit(".0.0")).alias("id"),
