@@ -6,7 +6,8 @@ the weights of all paths to each node; backward sampling walks from the end, dra
 the row key, the place of the word and the step, so that a row gets the same segmentation in every layout and run.
 
 A piece never crosses the end of a word, so that the lattice falls into one for each word with the spaces before it; forward tables
-are filled for the distinct words of a batch at once, and one walk draws for all their occurrences. A space is the piece letter U+2581; that letter itself, line
+are filled for the distinct words of a walk of about ``WALK`` characters at once, which draws for all their occurrences. Longer texts take several walks,
+cut at the ends of words; where no word ends within ``LONGEST`` characters the word is cut there, which no piece then crosses. A space is the piece letter U+2581; that letter itself, line
 ends and whatever the vocabulary lacks go by byte pieces, and neither spaces nor case are changed, so that decoding gives back the
 text exactly.
 
@@ -21,6 +22,7 @@ import math
 import re
 import zlib
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +33,10 @@ from .common import doc_texts, map_rows
 MODEL = "piece_bpe_32k.model"
 THETA = 0.2
 SEED = 1
-BATCH_CHARS = 8_000_000  # of text whose words are drawn in one walk
+WALK = 500_000  # characters whose words are drawn together; bounds a task's memory
+LONGEST = 65_536
 CHUNK = re.compile(r" *[^ \n]+| +|\n")
+WORD_END = re.compile(r"\n|[^ \n](?=[ \n])")
 _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)
 _SIEVE = (1 << 18) - 1
@@ -161,8 +165,21 @@ class Sampler:
             bound[last] = group[last] + 1.0
         return bound, piece, prev, group_of, first + np.arange(len(words)) + sizes
 
-    def encode(self, keys: list[int], texts: list[str]) -> list[np.ndarray]:
-        """The sampled ids of each text."""
+    def encode(self, keys: list[int | None], texts: list[str]) -> Iterator[np.ndarray]:
+        """The sampled ids of each text, in order."""
+        for rows in _walks(texts):
+            if len(rows) > 1 or len(texts[rows[0]]) <= WALK:
+                yield from self._walk([keys[i] for i in rows], [texts[i] for i in rows])[0]
+            else:
+                found, words = [], 0
+                for part in _parts(texts[rows[0]]):
+                    (ids,), n = self._walk([keys[rows[0]]], [part], words)
+                    found.append(ids)
+                    words += n
+                yield np.concatenate(found)
+
+    def _walk(self, keys: list[int | None], texts: list[str], before: int = 0) -> tuple[list[np.ndarray], int]:
+        """The ids of each text, and the number of words; ``before`` words of a single text came earlier."""
         known: dict[str, int] = {}
         which, counts = array("q"), []
         for text in texts:
@@ -170,12 +187,12 @@ class Sampler:
             counts.append(len(found))
             which.extend([known.setdefault(w, len(known)) for w in found])
         if not known:
-            return [np.zeros(0, np.int32) for _ in texts]
+            return [np.zeros(0, np.int32) for _ in texts], 0
         bound, piece, prev, group_of, last = self.lattice(list(known))
         kind, counts_ = np.frombuffer(which, np.int64), np.array(counts, np.int64)
         first = np.concatenate([[0], np.cumsum(counts_)])
         with np.errstate(over="ignore"):
-            place = np.arange(len(kind), dtype=np.int64) - np.repeat(first[:-1], counts_)
+            place = np.arange(before, before + len(kind), dtype=np.int64) - np.repeat(first[:-1], counts_)
             key = np.array([(k if k is not None else -1) & (1 << 64) - 1 for k in keys], np.uint64)
             noise = _mix(np.repeat(_mix(key + _U(self.seed)), counts_) + place.astype(np.uint64) * _ODD)
             live = np.argsort(group_of[last[kind]], kind="stable")  # neighbours in the tables are read one after the other
@@ -194,7 +211,7 @@ class Sampler:
         for k, (who, what) in enumerate(drawn):
             ids[stop[who] - 1 - k] = what
         cuts = np.concatenate([[0], stop])[first].tolist()
-        return [self._spelt(ids[a:b]) for a, b in zip(cuts, cuts[1:])]
+        return [self._spelt(ids[a:b]) for a, b in zip(cuts, cuts[1:])], len(kind)
 
     def _spelt(self, ids: np.ndarray) -> np.ndarray:
         """Numbers beyond the vocabulary become the byte pieces of their character."""
@@ -219,14 +236,28 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _groups(texts: list[str]) -> list[tuple[int, int]]:
-    out, lo, size = [], 0, 0
+def _walks(texts: list[str]) -> Iterator[list[int]]:
+    """Rows whose texts go in one walk; a longer text is alone."""
+    rows, size = [], 0
     for i, t in enumerate(texts):
+        if rows and size + len(t) > WALK:
+            yield rows
+            rows, size = [], 0
+        rows.append(i)
         size += len(t)
-        if size >= BATCH_CHARS or i == len(texts) - 1:
-            out.append((lo, i + 1))
-            lo, size = i + 1, 0
-    return out
+    if rows:
+        yield rows
+
+
+def _parts(text: str) -> Iterator[str]:
+    """A long text in pieces of about ``WALK`` characters that end with a word."""
+    at = 0
+    while len(text) - at > WALK + LONGEST:
+        m = WORD_END.search(text, at + WALK - 1, at + WALK + LONGEST)
+        cut = m.end() if m else at + WALK + LONGEST
+        yield text[at:cut]
+        at = cut
+    yield text[at:]
 
 
 def encode(docs: DataFrame, path: str | None = None, theta: float = THETA, seed: int = SEED) -> DataFrame:
@@ -237,8 +268,7 @@ def encode(docs: DataFrame, path: str | None = None, theta: float = THETA, seed:
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             keys, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            ids = [x for lo, hi in _groups(texts) for x in sampler.encode(keys[lo:hi], texts[lo:hi])]
-            return pa.record_batch([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+            return pa.record_batch([batch.column("doc_id"), pa.array(list(sampler.encode(keys, texts)), pa.list_(pa.int32()))], ["doc_id", "ids"])
 
         return step
 
@@ -269,10 +299,9 @@ def digest(docs: DataFrame, path: str | None = None, theta: float = THETA, seed:
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             keys, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             rows = []
-            for lo, hi in _groups(texts):
-                for text, ids in zip(texts[lo:hi], sampler.encode(keys[lo:hi], texts[lo:hi])):
-                    back = vocabulary.decode(ids.tolist())
-                    rows.append((len(ids), zlib.crc32(ids.astype("<u4").tobytes()), hashlib.sha256(back.encode()).hexdigest(), back == text))
+            for text, ids in zip(texts, sampler.encode(keys, texts)):
+                back = vocabulary.decode(ids.tolist())
+                rows.append((len(ids), zlib.crc32(ids.astype("<u4").tobytes()), hashlib.sha256(back.encode()).hexdigest(), back == text))
             cols = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.string(), pa.bool_()))]
             return pa.record_batch([batch.column("doc_id"), *cols], ["doc_id", "n_ids", "ids_crc32", "decoded_sha256", "lossless"])
 

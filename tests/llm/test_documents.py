@@ -216,6 +216,20 @@ def test_segmentation_is_lossless_reproducible_and_follows_the_weights(spark, ed
     assert max(abs(seen.get(k, 0) / n - w / total) for k, w in exact.items()) < 0.015
 
 
+def test_walks_are_bounded_and_change_no_draw(monkeypatch):
+    rng = random.Random(6)
+    texts = ["", "one two", " ".join(rng.choice(["alpha", "beta", "é中", "\n", "  "]) for _ in range(900)), "x" * 700, "tail \n end"]
+    keys = [3, None, 5, -6, 7]
+    s = segment.Sampler(segment.Vocabulary())
+    whole = [ids.tolist() for ids in s.encode(keys, texts)]
+    monkeypatch.setattr(segment, "WALK", 50)
+    assert [ids.tolist() for ids in s.encode(keys, texts)] == whole
+    monkeypatch.setattr(segment, "LONGEST", 60)
+    cut = [ids.tolist() for ids in s.encode(keys, texts)]
+    assert cut[:3] + cut[4:] == whole[:3] + whole[4:] and s.vocabulary.decode(cut[3]) == texts[3]
+    assert all("".join(segment._parts(t)) == t and max(map(len, segment._parts(t))) <= 110 for t in texts)
+
+
 WORD = re.compile("[^ \t-\r]+")
 
 
