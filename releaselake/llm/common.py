@@ -10,11 +10,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+HOT_ROWS = 1_000
+MOST_HOT = 65_536
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only in a local session that leaves that unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -28,6 +33,33 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table that ``materialize`` wrote, once nothing reads it any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def join_hot(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", counts: DataFrame | None = None) -> DataFrame:
+    """A join on ``on`` in which a key of ``big`` may hold any share of its rows, while ``small`` has few rows for each key.
+
+    Keys of over ``HOT_ROWS`` rows and over one row in ``MOST_HOT`` are hot, so that there are fewer than ``MOST_HOT`` of them whatever the input
+    holds. A hot key's rows are salted into lots of about that many rows, and its rows of ``small`` are repeated for each lot. ``counts`` may give the
+    rows of each key as ``on`` and ``n``; ``big`` should be cheap to read twice. Null keys never meet."""
+    counts = big.groupBy(*on).agg(F.count("*").alias("n")) if counts is None else counts
+    limit = max(HOT_ROWS, big.count() // MOST_HOT)
+    hot = counts.where(F.col("n") > limit).select(*on, F.ceil(F.col("n") / F.lit(limit)).cast("int").alias("_lots")).dropna(subset=on)
+    found = hot.collect()
+    if not found:
+        return big.join(small, on, how)
+    hot = F.broadcast(big.sparkSession.createDataFrame(found, hot.schema))
+    lots = F.coalesce("_lots", F.lit(1))
+    dealt = big.join(hot, on, "left").withColumn("_lot", F.pmod(F.xxhash64(*(c for c in big.columns if c not in on)), lots).cast("int")).drop("_lots")
+    spread = small.join(hot, on, "left").withColumn("_lot", F.explode(F.sequence(F.lit(0), lots - 1))).drop("_lots")
+    return dealt.join(spread, [*on, "_lot"], how).drop("_lot")
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

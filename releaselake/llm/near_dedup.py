@@ -3,7 +3,8 @@
 Words are runs of characters other than ASCII white space, with A-Z lower-cased; a document's set holds its distinct
 five-word shingles, or its whole word sequence where it has fewer words. Each of ``PERMUTATIONS`` permutations of the
 shingle hashes keeps both its minimum and its maximum, so that one evaluation gives two signature values; a band joins two
-minima and two maxima of four different permutations.
+minima and two maxima of four different permutations. Two bandings of the same signature take each value once, in other company,
+so that a link at exactly the least similarity is missed with a probability of about 8e-9, and less above it.
 
 1. Documents with equal sets form a class, for which its smallest doc_id stands; only classes go on.
 2. Classes that share a band value form a bucket. Each member is paired with the bucket's smallest id (as many pairs as
@@ -15,8 +16,11 @@ minima and two maxima of four different permutations.
    links, so no pair list grows with the square of a group.
 4. Components are joined and each document gets the smallest doc_id that it can reach.
 
-Null and empty texts, and texts of white space, have an empty set and link with nothing. Rows with one doc_id count as one
-document. Texts are read whole. An empty table gives an empty result. Other columns are ignored.
+A band, a leader, a class or a component may hold any share of the rows: joins on them salt such keys (``join_hot``).
+
+Null and empty texts, and texts of white space, have an empty set and link with nothing. Every row is linked by its own text: rows with a
+null id, and rows that share an id but not the text, are told apart inside, and a component has the smallest id of its rows (null if none has
+one). Texts are read whole. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_texts, map_rows, materialize, raw
+from .common import discard, doc_texts, join_hot, map_rows, materialize, raw
 
 WORDS = 5
 SHARE = 75  # percent of the union that the intersection must reach
 PERMUTATIONS = 64
-BANDS, ROWS = 32, 4
+BANDS = 64  # of two minima and two maxima each
 BLOCK = 256
 POOL = "pool"  # the blocks that small components of a bucket share
 
@@ -110,9 +114,10 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
             low[p], high[p] = np.minimum.reduceat(h, at), np.maximum.reduceat(h, at)
         out = np.empty((len(sets), BANDS), np.uint64)
         for b in range(BANDS):
-            lows, highs = (2 * b, 2 * b + 1), ((2 * b + PERMUTATIONS // 2) % PERMUTATIONS, (2 * b + 1 + PERMUTATIONS // 2) % PERMUTATIONS)
+            steps = (0, 1, PERMUTATIONS // 2, PERMUTATIONS // 2 + 1) if 2 * b < PERMUTATIONS else (0, 7, 20, 41)
+            at_b = [(2 * b + k) % PERMUTATIONS for k in steps]
             key = np.full(len(sets), _U(b + 1))
-            for v in (low[lows[0]], low[lows[1]], high[highs[0]], high[highs[1]]):
+            for v in (low[at_b[0]], low[at_b[1]], high[at_b[2]], high[at_b[3]]):
                 key = _mix(key * _BASE + v)
             out[:, b] = key
     return out
@@ -150,16 +155,22 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """v and c, the smallest vertex that v reaches, for every vertex of edges (a, b); rounds of neighbour minima with pointer jumps."""
     both = materialize(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "links")
-    label = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("v"), F.least("a", "m").alias("c")), "labels")
+    degrees = materialize(both.groupBy(F.col("b").alias("v")).agg(F.count("*").alias("n"), F.min("a").alias("m")), "labels")
+    label = degrees.select("v", F.least("v", "m").alias("c"))
+    ends = both.select(F.col("b").alias("v"), "a")
+    held = degrees
     while True:
         # the smallest label among neighbours, for a vertex and for the vertex that its label names
-        seen = both.join(label, F.col("b") == F.col("v")).groupBy("a").agg(F.min("c").alias("m"))
+        seen = join_hot(ends, label, ["v"], counts=degrees).groupBy("a").agg(F.min("c").alias("m"))
         step = label.join(seen, F.col("v") == F.col("a"), "left").select("v", F.col("c").alias("old"), F.least("c", "m").alias("m"))
-        told = step.select(F.col("old").alias("v"), "m").union(step.select("v", "m")).groupBy("v").agg(F.min("m").alias("c"))
-        jump = told.alias("x").join(told.select(F.col("v").alias("w"), F.col("c").alias("cc")), F.col("c") == F.col("w"), "left")
+        told = materialize(step.select(F.col("old").alias("v"), "m").union(step.select("v", "m")).groupBy("v").agg(F.min("m").alias("c")), "told")
+        jump = join_hot(told, told.select(F.col("v").alias("c"), F.col("c").alias("cc")), ["c"], "left")
         new = materialize(jump.select("v", F.least("c", "cc").alias("c")), "labels")
         moved = new.join(label.withColumnRenamed("c", "was"), "v").where("c <> was").limit(1).count()
-        label = new
+        if held is not degrees:
+            discard(held)
+        discard(told)
+        label = held = new
         if not moved:
             return label
 
@@ -222,29 +233,42 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: the result that the registered query returns."""
+    """doc_id, n_shingles, component_id, kept: the result that the registered query returns, one row for each row of docs."""
+    named = _named(docs)
+    out = _classes(named.select(F.col("_row").alias("doc_id"), "text"))
+    if "_made" in named.columns:  # some rows go by another name than their id
+        ids = named.select(F.col("_row").alias("doc_id"), F.col("doc_id").cast("long").alias("_id")).distinct()
+        out = materialize(out.drop("kept").join(ids, "doc_id"), "named")
+        least = out.groupBy("component_id").agg(F.min("_id").alias("_least"), F.count("*").alias("n"))
+        out = join_hot(out, least.drop("n"), ["component_id"], counts=least.drop("_least")).select(F.col("_id").alias("doc_id"), "n_shingles", F.col("_least").alias("component_id"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def _classes(docs: DataFrame) -> DataFrame:
+    """The same for rows whose doc_id is not null and names one text."""
     rows = materialize(signatures(docs), "signatures")
     full = rows.where("n > 0")
-    same = materialize(full.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = full.join(same, ["h1", "h2"]).where("doc_id = rep")
-    banded = materialize(reps.select("rep", F.explode("keys").alias("key")), "bands")
-    buckets = banded.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("lead")).where("size > 1 and lead is not null")
-    members = materialize(banded.join(buckets, "key"), "members")
+    same = materialize(full.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "classes")
+    reps = full.join(same.select(F.col("rep").alias("doc_id"), "h1", "h2"), ["doc_id", "h1", "h2"], "left_semi").dropDuplicates(["doc_id"])
+    banded = materialize(reps.select(F.col("doc_id").alias("rep"), F.explode("keys").alias("key")), "bands")
+    buckets = materialize(banded.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("lead")).where("n > 1"), "buckets")
+    members = materialize(join_hot(banded, buckets, ["key"], counts=buckets), "members")
 
-    pairs = members.where("rep <> lead").select("rep", "lead").distinct()
+    pairs = materialize(members.where("rep <> lead").select("rep", "lead").distinct(), "pairs")
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     sets = materialize(shingle_sets(docs.join(wanted, "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "sets")
     left = sets.select(F.col("doc_id").alias("rep"), F.col("shingles").alias("x"))
     right = sets.select(F.col("doc_id").alias("lead"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
-    confirmed = pairs.join(left, "rep").join(right, "lead").where(100 * both >= SHARE * (F.size("x") + F.size("y") - both))
+    confirmed = join_hot(pairs, right, ["lead"]).join(left, "rep").where(100 * both >= SHARE * (F.size("x") + F.size("y") - both))
     stars = materialize(confirmed.select(F.col("rep").alias("a"), F.col("lead").alias("b")), "stars")
     first = components(stars)
 
-    marked = members.where("size > 2").join(first, F.col("rep") == F.col("v"), "left").select("key", "rep", "size", F.coalesce("c", "rep").alias("c"))
-    open_ = marked.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
-    left_open = materialize(marked.join(open_, "key").select("key", "rep", "c"), "open")
-    sizes = left_open.groupBy("key", "c").agg(F.count("*").alias("n"))
+    marked = members.where("n > 2").join(first, F.col("rep") == F.col("v"), "left").select("key", "rep", F.coalesce("c", "rep").alias("c"))
+    open_ = marked.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("key", "n")
+    marked, open_ = materialize(marked, "marked"), materialize(open_, "open-keys")
+    left_open = materialize(join_hot(marked, open_.select("key"), ["key"], counts=open_), "open")
+    sizes = materialize(left_open.groupBy("key", "c").agg(F.count("*").alias("n")), "sizes")
     own = F.when(F.col("n") > BLOCK, F.concat(F.lit("c"), F.col("c"))).otherwise(POOL)
     lots = materialize(sizes.groupBy("key", own.alias("lot")).agg(F.ceil(F.sum("n") / F.lit(BLOCK)).cast("int").alias("parts")), "lots")
     near, far = (lots.select("key", F.col("lot").alias(f"{x}_lot"), F.col("parts").alias(f"{x}_parts")) for x in "ab")
@@ -254,34 +278,37 @@ def classes(docs: DataFrame) -> DataFrame:
     met = met.withColumn("task", F.xxhash64("key", "a_lot", "a_part", "b_lot", "b_part"))
     sides = met.select("key", F.col("a_lot").alias("lot"), F.col("a_part").alias("part"), "task")
     sides = sides.union(met.where("a_lot <> b_lot or a_part <> b_part").select("key", "b_lot", "b_part", "task"))
-    placed = left_open.join(sizes, ["key", "c"]).withColumn("lot", own).join(lots, ["key", "lot"]).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+    parts = sizes.withColumn("lot", own).join(lots, ["key", "lot"]).select("key", "c", "lot", "parts")
+    placed = join_hot(left_open, parts, ["key", "c"], counts=sizes).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
     dealt = placed.join(sides, ["key", "lot", "part"]).select(F.col("task").alias("key"), "rep", "c")
     tasks = dealt.join(sets.withColumnRenamed("doc_id", "rep"), "rep").select("key", "c", "shingles")
     late = materialize(tasks.repartition("key").sortWithinPartitions("key").mapInArrow(_blocks, "a long, b long"), "late")
 
     last = components(late)
-    joined = first.join(last.select(F.col("v").alias("c"), F.col("c").alias("d")), "c", "left").select("v", F.coalesce("d", "c").alias("component"))
+    joined = join_hot(first, last.select(F.col("v").alias("c"), F.col("c").alias("d")), ["c"], "left").select("v", F.coalesce("d", "c").alias("component"))
     alone = last.join(first.select("v"), "v", "left_anti").select("v", F.col("c").alias("component"))
     component = joined.union(alone)
     of_class = same.join(component, F.col("rep") == F.col("v"), "left").select("h1", "h2", F.coalesce("component", "rep").alias("of_class"))
     empty = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    out = full.join(of_class, ["h1", "h2"]).select("doc_id", F.col("n").alias("n_shingles"), F.col("of_class").alias("component_id")).union(empty)
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    plain = full.select("doc_id", F.col("n").alias("n_shingles"), "h1", "h2")
+    out = join_hot(plain, of_class, ["h1", "h2"], counts=same.select("h1", "h2", "n")).select("doc_id", "n_shingles", F.col("of_class").alias("component_id")).union(empty)
+    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents that stand for their component; all columns stay. Rows go only as copies of the same or a near text, whatever their ids are."""
     named = _named(docs)
-    kept = classes(named.select(F.col("_row").alias("doc_id"), "text")).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return named.join(kept, F.col("_row") == F.col("_kept"), "left_semi").dropDuplicates(["_row"]).drop("_row")
+    kept = _classes(named.select(F.col("_row").alias("doc_id"), "text")).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    return named.join(kept, F.col("_row") == F.col("_kept"), "left_semi").dropDuplicates(["_row"]).select(*docs.columns)
 
 
 def _named(docs: DataFrame) -> DataFrame:
-    """With ``_row``: the doc_id; a hash of id and text above usual ids where the id is null or belongs to another text too."""
+    """With ``_row``: the doc_id; a hash of id and text above usual ids where the id is null or belongs to another text too (``_made`` then tells which)."""
     of = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     key = F.col("doc_id").cast("long")
-    shared = docs.select(key.alias("_id"), of.alias("h")).where("_id is not null").groupBy("_id").agg(F.min("h").alias("_first"), F.max("h").alias("_last")).where("_first <> _last").drop("_last")
+    shared = docs.select(key.alias("_id"), of.alias("h")).groupBy("_id").agg(F.min("h").alias("_first"), F.max("h").alias("_last")).where("_id is null or _first <> _last").drop("_last")
     made = F.xxhash64(F.coalesce(key.cast("string"), F.lit("")), of).bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
     if shared.isEmpty():  # the usual case needs no join
-        return docs.withColumn("_row", F.coalesce(key, made))
-    return docs.join(shared, key == F.col("_id"), "left").withColumn("_row", F.when(key.isNull() | (of != F.col("_first")), made).otherwise(key)).drop("_id", "_first")
+        return docs.withColumn("_row", key)
+    marked = docs.join(shared.where("_id is not null"), key == F.col("_id"), "left").withColumn("_made", key.isNull() | F.coalesce(of != F.col("_first"), F.lit(False)))
+    return marked.withColumn("_row", F.when(F.col("_made"), made).otherwise(key)).drop("_id", "_first")

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from releaselake.llm import fingerprints, near_dedup, packing, pii, secrets, segment, toxicity
+from releaselake.llm import common, fingerprints, near_dedup, packing, pii, secrets, segment, toxicity
 
 from .conftest import TEXTS
 
@@ -346,6 +346,32 @@ def test_nothing_breaks_on_odd_texts(text):
     assert secrets.find(text.encode()) == ([], 0) and len(near_dedup.shingles(text.encode())) <= 1
 
 
+def test_rows_of_one_id_are_linked_by_their_own_texts(spark):
+    say = lambda c: " ".join(f"{c}{i}" for i in range(40))
+    rows = [(None, say("a")), (None, say("b")), (9, say("b")), (5, say("c")), (5, say("d")), (7, say("d")), (5, say("e")), (8, say("c"))]
+    got = near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(((r.doc_id, r.component_id, r.kept) for r in got), key=str) == sorted([(None, None, True), (None, 9, False), (9, 9, True), (5, 5, True), (5, 5, True), (7, 5, False), (5, 5, True), (8, 5, False)], key=str)
+
+
+def test_hot_keys_are_salted(spark, monkeypatch):
+    """A join whose hot keys are dealt over lots gives the rows of a plain one, and so do the classes."""
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    big = spark.createDataFrame([(i % 7 if i % 3 else 1, i) for i in range(300)] + [(None, 1)], "k long, x long")
+    small = spark.createDataFrame([(0, "a"), (1, "b"), (1, "c"), (2, "d"), (None, "e")], "k long, y string")
+    for how in ("inner", "left"):
+        assert sorted(common.join_hot(big, small, ["k"], how).collect(), key=str) == sorted(big.join(small, ["k"], how).collect(), key=str)
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(150):
+        w = list(base)
+        for _ in range(i % 5):
+            w[rng.randrange(60)] = f"y{rng.randint(0, 90)}"
+        rows.append((i * 7 % 157, " ".join(w)))
+    got = {r.doc_id: r.component_id for r in near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == slow_components(slow_sets(rows))
+
+
 def test_keep_one_drops_only_copies(spark):
     say = lambda c: " ".join(f"{c}{i}" for i in range(40))
     rows = [(None, say("a")), (None, say("b")), (None, say("b")), (None, say("c")), (1, say("c")), (2, say("d")), (2, say("e")), (2, say("e")), (3, say("f")), (4, say("f"))]
