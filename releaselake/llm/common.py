@@ -94,7 +94,7 @@ def hash_fraction(key: Column, salt: int) -> Column:
 
 
 class Offsets:
-    """Byte offsets of a UTF-8 text as code point offsets; ask in ascending order."""
+    """Byte offsets of a UTF-8 text as code point offsets; each is counted from the one asked for before."""
 
     def __init__(self, data: bytes):
         self.data, self.at, self.points, self.plain = data, 0, 0, data.isascii()
@@ -103,7 +103,8 @@ class Offsets:
         if self.plain:
             return byte
         if byte < self.at:
-            self.at = self.points = 0
-        self.points += len(self.data[self.at : byte].decode())
+            self.points -= len(self.data[byte : self.at].decode())
+        else:
+            self.points += len(self.data[self.at : byte].decode())
         self.at = byte
         return self.points

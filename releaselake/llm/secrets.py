@@ -2,7 +2,8 @@
 
 Three base kinds come from patterns (assign, access, hex). Four more kinds are reported only when a candidate proves its
 structure: base64 or hex is decoded, DER elements are walked until every nested length closes exactly, an OpenSSH body is
-read by its length-prefixed fields, and a signed token must have a JSON header that names its algorithm.
+read by its length-prefixed fields, and a signed token must have a JSON header that names its algorithm. Candidates begin
+where no letter of theirs stands before, and every pattern reads a text in time proportional to its length.
 
 Null text counts as empty; an empty text has no spans; texts of any length are scanned whole. Repeated rows give
 repeated results. Other columns of the input are ignored.
@@ -15,6 +16,7 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,7 +31,7 @@ ASSIGN = re.compile(rb"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20
 ASSIGN_WORDS = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 ACCESS = re.compile(rb"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(rb"[0-9a-f]{24,}")
-JWT = re.compile(rb"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+JWT = re.compile(rb"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]*+")
 PEM = re.compile(rb"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([A-Za-z0-9+/=\s\\]+)-----END \1-----")
 DER64 = re.compile(rb"M[A-Za-z0-9+/_-]{39,}={0,2}")
 DERHEX = re.compile(rb"30[0-9a-fA-F]{62,}")
@@ -131,11 +133,14 @@ def confirmed_spans(data: bytes) -> list[tuple[str, int, int]]:
     out = []
     if b"eyJ" in data:
         out += [("jwt", *m.span()) for m in JWT.finditer(data) if is_signed_token(m[0])]
+    armoured: list[tuple[int, int]] = []
     if b"-----BEGIN " in data:
         for m in PEM.finditer(data):
             body = _unbase64(re.sub(rb"\\[nr]|\s", b"", m[2]))
             if body and (is_der_key(body) or is_openssh_key(body)):
-                out.append(("pem", *m.span()))
+                armoured.append(m.span())
+    out += [("pem", s, e) for s, e in armoured]
+    begins = [s for s, _ in armoured]
     for kind, pattern, decode, proves in (
         ("der", DER64, _unbase64, is_der_key),
         ("der", DERHEX, lambda x: bytes.fromhex(x.decode()) if len(x) % 2 == 0 else None, is_der_key),
@@ -144,8 +149,11 @@ def confirmed_spans(data: bytes) -> list[tuple[str, int, int]]:
         for m in pattern.finditer(data):
             if m.start() and WORD.match(data, m.start() - 1):
                 continue  # inside a longer run
+            k = bisect_right(begins, m.start()) - 1
+            if k >= 0 and m.start() < armoured[k][1]:
+                continue  # reported as the whole block
             body = decode(m[0])
-            if body and proves(body) and not any(k == "pem" and s <= m.start() < e for k, s, e in out):
+            if body and proves(body):
                 out.append((kind, *m.span()))
     return out
 
