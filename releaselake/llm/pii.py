@@ -1,14 +1,16 @@
 """Personal data by a semi-Markov conditional random field over candidate windows.
 
-Base spans come from four patterns and always stay. Around every digit, ``@`` or bracketed "at" the text is cut into a
-window of tokens; there a semi-Markov CRF scores whole candidate segments (digit groups, separators, octet ranges, check
-digit, address grammar, neighbours) and a bounded-length dynamic program chooses boundaries and types together. Segments
-that it finds and that touch no base span are added. Text outside windows can hold no entity and is not decoded.
+Base spans come from four patterns and always stay. A semi-Markov CRF scores whole candidate segments (digit groups,
+separators, octet ranges, check digit, address grammar, neighbours): at most ``MAX_TOKENS`` tokens of one line with an anchor among
+them, which is a digit, ``@`` or bracketed "at". A bounded-length dynamic program chooses boundaries and types together. Segments
+that it finds and that touch no base span are added. It runs over windows that reach ``MAX_TOKENS`` whole tokens beyond every anchor,
+or to the line's end. No candidate leaves its window, so that this equals decoding the whole text.
 
 The weights are fitted by gradient ascent on the segment likelihood, over at most ``TRAIN_WINDOWS`` windows of the given
 documents, whose base spans serve as labels, and over windows made from a fixed set of formats with a fixed seed.
 
-Null text counts as empty; an empty text has no spans; texts of any length are decoded whole; repeated rows give repeated
+Null text counts as empty; an empty text has no spans; texts of any length are decoded whole, in memory that grows with the tokens of
+a window but not with its candidates; repeated rows give repeated
 results; an empty table trains on the made windows alone. Other columns are ignored, except by ``mask``, which keeps them.
 """
 
@@ -18,6 +20,8 @@ import hashlib
 import random
 import re
 from bisect import bisect_left
+from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,16 +34,20 @@ KINDS = ("email", "ip", "card", "phone")
 RANK = {k: i for i, k in enumerate(KINDS)}
 TRAIN_DOCS = 20_000  # documents whose windows may be looked at for training
 TRAIN_WINDOWS = 300  # windows that are taken of them
+TRAIN_BYTES = 300  # the longest window that training looks at
 MAX_TOKENS = 20  # of a segment
-REACH = 40  # bytes of context on each side of an anchor
+CHUNK = 4_000  # candidates that are scored at once
 
 LOCAL = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(rb"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(rb"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(rb"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(rb"\+[0-9][\x20().0-9-]+[0-9]")
-ANCHOR = re.compile(rb"[0-9@]|[(\[{][aA][tT][)\]}]")
+ANCHOR = re.compile(rb"[0-9]+|@|[(\[{][aA][tT][)\]}]")
 TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|.", re.S)
+_BYTE_TOKEN = rb"[A-Za-z]++|[0-9]++|[\x00-\x09\x0b-\x7f]|[\xc0-\xff][\x80-\xbf]*+"
+BYTE_TOKEN = re.compile(_BYTE_TOKEN)
+AHEAD = re.compile(rb"(?:%s){0,%d}+" % (_BYTE_TOKEN, MAX_TOKENS))
 
 
 def luhn(digits: bytes | str) -> bool:
@@ -71,22 +79,39 @@ def base_spans(data: bytes) -> list[tuple[str, int, int]]:
 
 
 def windows(data: bytes) -> list[tuple[int, int]]:
-    """Byte ranges around anchors, joined where they meet, cut at whole code points."""
+    """Byte ranges of MAX_TOKENS tokens around anchors, within their line; joined where they meet."""
     out: list[list[int]] = []
     for m in ANCHOR.finditer(data):
-        s, e = max(0, m.start() - REACH), min(len(data), m.end() + REACH)
+        e = AHEAD.match(data, m.end()).end()
+        if out and m.start() <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], e)
+            continue
+        s = _behind(data, m.start(), out[-1][1] if out else 0)
         if out and s <= out[-1][1]:
             out[-1][1] = e
         else:
             out.append([s, e])
-    for w in out:
-        while w[0] > 0 and data[w[0]] & 0xC0 == 0x80:
-            w[0] -= 1
-        while w[1] < len(data) and data[w[1]] & 0xC0 == 0x80:
-            w[1] += 1
     return [(s, e) for s, e in out]
 
 
+def _behind(data: bytes, at: int, floor: int) -> int:
+    """The start of the MAX_TOKENS tokens before an anchor, not before its line or ``floor``."""
+    floor = max(floor, data.rfind(b"\n", floor, at) + 1)
+    reach = 8 * MAX_TOKENS
+    while True:
+        s = max(floor, at - reach)
+        while s > floor and (data[s] & 0xC0 == 0x80 or _kind(data[s]) and _kind(data[s]) == _kind(data[s - 1])):
+            s -= 1
+        sizes = [len(t) for t in BYTE_TOKEN.findall(data, s, at)]
+        if s == floor or len(sizes) >= MAX_TOKENS:
+            return max(floor, at - sum(sizes[-MAX_TOKENS:]))
+        reach *= 4
+
+
+def _kind(c: int) -> int:
+    return 1 if 48 <= c <= 57 else 2 if 65 <= c <= 90 or 97 <= c <= 122 else 0
+
+
 # Whole-span features -------------------------------------------------------------------------------------------------
 _ADDRESS = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _SPELT = re.compile(r"[A-Za-z0-9._%+-]+ ?[(\[{]at[)\]}] ?[A-Za-z0-9-]+( ?(\.|[(\[{]dot[)\]}]) ?[A-Za-z0-9-]+)+", re.I)
@@ -119,29 +144,35 @@ def features(s: str, left: str, right: str) -> list[int]:
     return [AT[x] for x in on]
 
 
-def lattice(text: str) -> tuple[list[int], list[tuple[int, int]], list[list[int]]]:
-    """Token starts (with the end), candidate segments as token ranges ordered by their end, and the features of each."""
+def tokens_of(text: str) -> tuple[list[str], list[int], list[int]]:
+    """The tokens, where each starts (with the end), and how many anchors came before each."""
     tokens = TOKEN.findall(text)
     starts = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(int).tolist()
-    seen = np.concatenate([[0], np.cumsum([t[0] in "0123456789@" or t.lower() == "at" for t in tokens])]).tolist()
-    found = []
-    for a, t in enumerate(tokens):
-        if not (t[0].isascii() and t[0].isalnum() or t in "+("):
+    anchor = [t[0] in "0123456789@" or t.lower() == "at" and 0 < i < len(tokens) - 1 and tokens[i - 1] in "([{" and tokens[i + 1] in ")]}" for i, t in enumerate(tokens)]
+    return tokens, starts, np.concatenate([[0], np.cumsum(anchor)]).astype(int).tolist()
+
+
+def candidates(text: str, tokens: list[str], starts: list[int], seen: list[int]) -> Iterator[tuple[int, int, list[int]]]:
+    """First token, end token and features of every candidate segment, ordered by their end, then their start."""
+    opens = [bool(t[0].isascii() and t[0].isalnum() or t in "+(") and not (starts[a] and text[starts[a] - 1].isalnum()) for a, t in enumerate(tokens)]
+    line = 0  # no segment starts before the line of its last token
+    for b in range(1, len(tokens) + 1):
+        last = tokens[b - 1]
+        if last == "\n":
+            line = b
             continue
-        left = text[starts[a] - 1] if a else ""
-        if left and left.isalnum():
+        right = text[starts[b]] if b < len(tokens) else ""
+        if not (last[0].isascii() and last[0].isalnum()) or right.isalnum():
             continue
-        for b in range(a + 1, min(len(tokens), a + MAX_TOKENS) + 1):
-            last = tokens[b - 1]
-            if last == "\n":
-                break
-            if not (last[0].isascii() and last[0].isalnum()) or seen[b] == seen[a] or starts[b] - starts[a] < 7:
-                continue
-            right = text[starts[b]] if b < len(tokens) else ""
-            if right.isalnum():
-                continue
-            found.append((a, b, features(text[starts[a] : starts[b]], left, right)))
-    found.sort(key=lambda x: (x[1], x[0]))
+        for a in range(max(line, b - MAX_TOKENS), b):
+            if opens[a] and seen[b] > seen[a] and starts[b] - starts[a] >= 7:
+                yield a, b, features(text[starts[a] : starts[b]], text[starts[a] - 1] if starts[a] else "", right)
+
+
+def lattice(text: str) -> tuple[list[int], list[tuple[int, int]], list[list[int]]]:
+    """Token starts (with the end), candidate segments as token ranges ordered by their end, and the features of each."""
+    tokens, starts, seen = tokens_of(text)
+    found = list(candidates(text, tokens, starts, seen))
     return starts, [(a, b) for a, b, _ in found], [f for _, _, f in found]
 
 
@@ -154,27 +185,26 @@ def _scores(weights: np.ndarray, feats: list[list[int]]) -> np.ndarray:
 
 
 def viterbi(weights: np.ndarray, text: str) -> list[tuple[str, int, int]]:
-    """The best joint choice of boundaries and kinds, as code point spans."""
-    starts, segments, feats = lattice(text)
-    if not segments:
-        return []
-    scores = _scores(weights, feats)
-    kind, value = scores.argmax(1).tolist(), scores.max(1).tolist()
-    n, at = len(starts) - 1, 0
-    best, back = [0.0] * (n + 1), [-1] * (n + 1)
-    for j in range(1, n + 1):
-        best[j], back[j] = best[j - 1], -1
-        while at < len(segments) and segments[at][1] == j:
-            if (x := best[segments[at][0]] + value[at]) > best[j]:
-                best[j], back[j] = x, at
-            at += 1
-    out, j = [], n
+    """The best joint choice of boundaries and kinds, as code point spans. Candidates are scored in chunks; only the best one is kept for each end."""
+    tokens, starts, seen = tokens_of(text)
+    n, done = len(tokens), 0
+    best, back = [0.0] * (n + 1), [(-1, 0)] * (n + 1)
+    found = candidates(text, tokens, starts, seen)
+    while part := list(islice(found, CHUNK)):
+        scores = _scores(weights, [f for _, _, f in part])
+        for (a, b, _), kind, value in zip(part, scores.argmax(1).tolist(), scores.max(1).tolist()):
+            while done < b:
+                done += 1
+                best[done] = best[done - 1]
+            if (x := best[a] + value) > best[b]:
+                best[b], back[b] = x, (a, kind)
+    out, j = [], done
     while j:
-        if back[j] < 0:
+        a, kind = back[j]
+        if a < 0:
             j -= 1
         else:
-            a, b = segments[back[j]]
-            out.append((KINDS[kind[back[j]]], starts[a], starts[b]))
+            out.append((KINDS[kind], starts[a], starts[j]))
             j = a
     return out[::-1]
 
@@ -268,12 +298,12 @@ def fit(given: list[str], epochs: int = 60, rate: float = 0.5, penalty: float =
 
 
 def sample_windows(docs: DataFrame) -> list[str]:
-    """At most TRAIN_WINDOWS windows, chosen by the hash of their documents."""
+    """At most TRAIN_WINDOWS windows of at most TRAIN_BYTES, chosen by their hashes in documents chosen by theirs."""
     n = docs.count()
     part = doc_texts(docs).where(hash_fraction(F.col("doc_id"), 2) < min(1.0, TRAIN_DOCS / max(n, 1)))
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [data[s:e].decode() for data in raw(batch, "text") for s, e in windows(data) if e - s <= 300]
+        found = [data[s:e].decode() for data in raw(batch, "text") for s, e in windows(data) if e - s <= TRAIN_BYTES]
         return pa.record_batch([pa.array(found, pa.string())], ["w"])
 
     found = map_rows(part, "w string", lambda: step).distinct().orderBy(F.xxhash64("w"), "w").limit(TRAIN_WINDOWS)
@@ -295,12 +325,12 @@ def find(data: bytes, weights: np.ndarray) -> tuple[list[tuple[str, int, int]],
     at = Offsets(data)
     added = []
     for s, e in windows(data):
-        text, first = data[s:e].decode(), None
+        text, done, y = data[s:e].decode(), 0, s
         for kind, a, b in viterbi(weights, text):
-            x, y = s + len(text[:a].encode()), s + len(text[:b].encode())
+            x = y + len(text[done:a].encode())
+            done, y = b, x + len(text[a:b].encode())
             last = bisect_left(begins, y) - 1
             if last < 0 or taken[last][1] <= x:
-                first = at(x) if first is None else first
                 added.append((kind, at(x), at(y)))
     return [(k, at(s), at(e)) for k, s, e in base], sorted(added, key=lambda x: (RANK[x[0]], x[1]))
 

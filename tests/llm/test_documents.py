@@ -3,6 +3,7 @@ import hashlib
 import json
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -75,6 +76,20 @@ def test_added_spans_touch_no_base_span():
         assert added == sorted(free, key=lambda x: (pii.RANK[x[0]], x[1])), text
 
 
+def test_windows_decode_like_the_whole_text():
+    w, rng = pii.fit([], epochs=8, made=80), random.Random(2)
+    parts = ["a@b.co", "joe (at) host (dot) com", "(415) 555-2671", "+1 (988) 555-2485", "4111 1111 1111 1111", "1.2.3.4", " ", ", ", "\n", "é ", "word ", "w" * 30, "中", "at", "[at]", "- - - - ", "x.y.z."]
+    for _ in range(300):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 40)))
+        data, got = text.encode(), []
+        for s, e in pii.windows(data):
+            first = len(data[:s].decode())
+            got += [(k, first + a, first + b) for k, a, b in pii.viterbi(w, data[s:e].decode())]
+        assert got == pii.viterbi(w, text), text
+    long = "long" * 14 + " (at) host (dot) com"
+    assert pii.find(long.encode(), pii.fit([]))[1] == [("email", 0, len(long))]
+
+
 def test_semi_markov_adds_spans_and_leaves_numbers(spark, edge, none):
     w = pii.fit([])
     found = pii.find("mail joe (at) host (dot) com or call (415) 555-2671; 2021-03-04, 1.2.3, 300.1.2.3".encode(), w)
@@ -119,6 +134,34 @@ def test_secrets_confirm_structure(edge, none):
     assert secrets.digest(none).count() == 0 and secrets.digest(edge).count() == len(TEXTS) and secrets.scan(edge).count() == len(TEXTS)
 
 
+def slow_secrets(text):
+    """The base patterns as they are stated, on strings, with the order of the digest."""
+    out = []
+    for rank, (kind, p, ok) in enumerate((
+        ("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[2]) >= 6),
+        ("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20), ("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 24),
+    )):
+        for m in re.finditer(f"(?i:{p[: p.index(')') + 1]}){p[p.index(')') + 1 :]}" if kind == "assign" else p, text, re.A):
+            if ok(m):
+                out.append((m.start(), rank, kind, m.end()))
+    return [(k, s, e) for s, _, k, e in sorted(out)]
+
+
+def test_secrets_base_spans_equal_the_stated_patterns():
+    rng = random.Random(15)
+    parts = ["password", "PassWd", "token", "api_key", "ApiKey", "secret", '"', "'", " ", "=", ":", "abc123", "x", "AKIA", "ABCDEFGH12345678", "deadbeef00", "0123456789abcdef", "é", "\n", "-", "中"]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 12)))
+        assert [x for x in secrets.find(text.encode())[0] if x[0] in secrets.BASE_KINDS] == slow_secrets(text), text
+
+
+@pytest.mark.parametrize("unit", ["eyJ", "eyJab.eyJ", "-----BEGIN PRIVATE KEY-----MAAA", "token    ", "MAAAAA ", "é token=abcdefabcdefabcdefabcdef01 "])
+def test_secret_scans_take_linear_time(unit):
+    start = time.process_time()
+    secrets.find(unit.encode() * (400_000 // len(unit)))
+    assert time.process_time() - start < 5
+
+
 def test_packing_plan_is_valid_and_reduction_is_optimal():
     rng = random.Random(1)
     for _ in range(150):
