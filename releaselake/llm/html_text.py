@@ -6,7 +6,7 @@ an ancestor looks like content or like page furniture. Boosted trees score three
 but is not itself main) and inside. Decoding takes the likeliest states of the whole tree under which an outside node has only outside descendants
 and an inside node has no wrapper below, so that no choice contradicts an ancestor's.
 
-The trees are fitted on at most ``TRAIN_PAGES`` pages by the hash of their ids. Their labels come from semantic elements and from what is done to
+The trees are fitted on at most ``TRAIN_PAGES`` pages of less than ``TRAIN_CHARS`` characters, by the hash of their ids. Their labels come from semantic elements and from what is done to
 the pages: known furniture is put in, and content elements are renamed, so that the trees learn to do without the elements.
 
 Character references are decoded, white space in a block becomes one space, blocks are joined by a line feed. Null and empty pages give an
@@ -20,6 +20,8 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections import Counter, defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,8 @@ from pyspark.sql import functions as F
 from .common import hash_fraction, map_rows
 
 TRAIN_PAGES = 240
+TRAIN_CHARS = 20_000  # of the longest page that is trained on
+FILLER_PAGES, FILLER_WORDS, FILLER = 40, 200, 3_000  # where the words of made furniture come from: pages, words of each, and in all
 ROUNDS, DEPTH, RATE, BINS = 16, 4, 0.35, 32
 OUT, WRAP, IN = 0, 1, 2
 
@@ -38,7 +42,7 @@ BLOCK = (
 ).split()
 TAG = {t: i for i, t in enumerate(BLOCK)}
 RAW = "script style textarea".split()  # without an end tag these run to the end of the page
-HIDDEN = frozenset("noscript template svg iframe head title select button".split())
+HIDDEN = frozenset("noscript template svg iframe head title select datalist option button".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr")}
@@ -50,10 +54,70 @@ GROUPS = (
 )
 GROUP = re.compile("|".join(f"(?P<g{i}>(?:{g})(?![a-z]))" for i, g in enumerate(GROUPS)))
 WORDY = re.compile(r"[a-z]+")
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(%s)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>" % "|".join(RAW), re.S | re.I)
+OPEN = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
+QUICK_END = re.compile(r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])))*+>""")
+STOP = re.compile(r"""[<>]|=\s*["']""")
+QUICK = 4_096  # characters in which a tag's end is looked for first
+RAW_END = {name: re.compile(rf"</{name}[\s/>]", re.I) for name in RAW}
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 
+class Tags:
+    """The tags of a page in order, in time proportional to its length: (start, end, slash, name, attributes), the name empty for comments and the like.
+
+    Quotes count after an equals sign alone. One that never closes is an ordinary character, and a tag that never ends outside quotes ends at its
+    first ``>``; where no ``>`` follows, what is left is text."""
+
+    def __init__(self, source: str):
+        self.source = source
+        self.last = {q: source.rfind(q) for q in "\"'"}
+        self.hopeless: set[int] = set()  # places outside quotes from which no end was found
+
+    def __iter__(self) -> Iterator[tuple[int, int, str, str, str]]:
+        source, at = self.source, 0
+        while m := OPEN.search(source, at):
+            start = m.start()
+            if m[1]:
+                at = source.find("-->", start + 2) + 3
+                at = len(source) if at == 2 else at
+                yield start, at, "", "", ""
+                continue
+            end = source.find(">", m.end()) if m[2] else self.end(m)
+            if end < 0:
+                return
+            at = end + 1
+            if m[2]:
+                yield start, at, "", "", ""
+                continue
+            name = m[4].lower()
+            if name in RAW_END and not m[3]:
+                close = RAW_END[name].search(source, at)
+                at = source.find(">", close.start()) + 1 if close else 0
+                at = at or len(source)
+                yield start, at, "", "", ""
+                continue
+            yield start, at, m[3], name, source[m.end() : end]
+
+    def end(self, m: re.Match) -> int:
+        """Where the ``>`` of a tag is, or -1."""
+        source, at = self.source, m.end()
+        if quick := QUICK_END.match(source, at, at + QUICK):
+            return quick.end() - 1
+        passed = [m.start()]
+        while m.start() not in self.hopeless and (stop := STOP.search(source, at)):
+            c, at = stop[0][-1], stop.end()
+            if c == ">":
+                return at - 1
+            if c == "<":
+                if at - 1 in self.hopeless:
+                    break
+                passed.append(at - 1)
+            elif at <= self.last[c]:
+                at = source.index(c, at) + 1
+        self.hopeless.update(passed)
+        return source.find(">", m.end())
+
+
 class Page:
     """Nodes in page order: parent, tag, attribute groups, label; pieces of inline text with their node and whether they are in a link."""
 
@@ -62,9 +126,12 @@ class Page:
         self.depth, self.inline = [0], [0]
         self.blocks: list[tuple[int, str, int]] = []  # node, text, characters in links
         stack: list[tuple[str, int]] = [("body", 0)]  # open elements; inline ones keep their block's node
+        seats: dict[str, list[int]] = defaultdict(list, body=[0])  # where in the stack each name is open
+        tops = [0]  # where blocks are
         text: list[str] = []
         holds: list[list] = []  # open hidden elements: name, seat in the stack, nodes, blocks, inline tags, and the text before them once it was flushed
-        linked, in_link, at = 0, 0, 0
+        held: Counter[str] = Counter()
+        linked, at = 0, 0
 
         def flush() -> None:
             nonlocal linked
@@ -81,16 +148,24 @@ class Page:
                 text.clear()
             linked = 0
 
+        def push(name: str, node: int) -> None:
+            seats[name].append(len(stack))
+            if name in TAG:
+                tops.append(len(stack))
+            stack.append((name, node))
+
         def pop_to(k: int) -> None:
             flush()
             cut(k)
 
         def cut(k: int) -> None:
-            nonlocal in_link
-            in_link -= sum(t == "a" for t, _ in stack[k:])
+            for name, _ in stack[k:]:
+                seats[name].pop()
+            while tops[-1] >= k:
+                tops.pop()
             del stack[k:]
             while holds and holds[-1][1] >= k:
-                holds.pop()
+                held[holds.pop()[0]] -= 1
 
         def leave_out(hold: list) -> None:
             """The end tag is there: all since the start tag goes."""
@@ -109,44 +184,43 @@ class Page:
             if holds and stack[-1][1] == stack[holds[-1][1]][1]:
                 return
             text.append(s)
-            if in_link:
+            if seats["a"]:
                 linked += len(s)
 
-        for m in TOKEN.finditer(source):
-            if m.start() > at:
-                say(source[at : m.start()])
-            at = m.end()
-            name = m[3]
+        def innermost(names: tuple[str, ...]) -> int:
+            return max((seats[t][-1] for t in names if seats[t]), default=0)
+
+        for start, end, slash, name, attributes in Tags(source):
+            if start > at:
+                say(source[at:start])
+            at = end
             if not name:
                 continue
-            name = name.lower()
             if name in ("html", "body"):
-                if not m[2] and name == "body":
+                if not slash and name == "body":
                     if holds and holds[0][0] == "head":
                         pop_to(holds[0][1])
-                    self.groups[0] |= _groups(m[4])[0]
+                    self.groups[0] |= _groups(attributes)[0]
                 continue
             if name in HIDDEN:
-                same = next((h for h in reversed(holds) if h[0] == name), None)
-                if m[2] and same:
-                    leave_out(same)
-                elif not m[2] and not m[4].endswith("/"):
-                    if same and name not in ("svg", "template"):
-                        holds.remove(same)  # these don't nest, so that the end tag of the one before is missing
+                same = next(i for i in range(len(holds) - 1, -1, -1) if holds[i][0] == name) if held[name] else None
+                if slash and same is not None:
+                    leave_out(holds[same])
+                elif not slash and not attributes.endswith("/"):
+                    if same is not None and name not in ("svg", "template"):
+                        del holds[same]  # these don't nest, so that the end tag of the one before is missing
+                        held[name] -= 1
                     node = stack[-1][1]
-                    stack.append((name, node))
-                    holds.append([name, len(stack) - 1, len(self.parent), len(self.blocks), self.inline[node], None])
+                    holds.append([name, len(stack), len(self.parent), len(self.blocks), self.inline[node], None])
+                    held[name] += 1
+                    push(name, node)
                 continue
-            if m[2]:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == name:
-                        if name in TAG:
-                            pop_to(k)
-                        else:
-                            cut(k)
-                        break
-                    if name not in TAG and stack[k][0] in TAG:
-                        break
+            if slash:
+                k = innermost((name,))
+                if k and name in TAG:
+                    pop_to(k)
+                elif k > tops[-1]:
+                    cut(k)
                 continue
             if name == "br":
                 say(" ")
@@ -156,28 +230,22 @@ class Page:
                 if name == "hr":
                     flush()
                     continue
-                for k in range(len(stack) - 1, 0, -1):  # what the new block closes by itself
-                    t = stack[k][0]
-                    if holds and k == holds[-1][1]:
-                        break
-                    if t == "p" or t in CLOSES.get(name, ()):
-                        pop_to(k)
-                        break
-                    if t in SCOPE.get(name, ()) or (t in TAG and name not in CLOSES):
-                        break
+                k = innermost(("p", *CLOSES.get(name, ())))  # what the new block closes by itself
+                wall = innermost(SCOPE[name]) if name in CLOSES else tops[-1]
+                if k >= max(wall, 1) and not (holds and k <= holds[-1][1]):
+                    pop_to(k)
                 flush()
-                groups, label = _groups(m[4]) if m[4] else (0, None)
+                groups, label = _groups(attributes) if attributes else (0, None)
                 self.parent.append(stack[-1][1])
                 self.tag.append(TAG[name])
                 self.groups.append(groups)
                 self.label.append(label)
                 self.depth.append(self.depth[stack[-1][1]] + 1)
                 self.inline.append(0)
-                stack.append((name, len(self.parent) - 1))
-            elif name not in VOID and not m[4].endswith("/"):
-                in_link += name == "a"
+                push(name, len(self.parent) - 1)
+            elif name not in VOID and not attributes.endswith("/"):
                 self.inline[stack[-1][1]] += 1
-                stack.append((name, stack[-1][1]))
+                push(name, stack[-1][1])
         if at < len(source):
             say(source[at:])
         flush()
@@ -382,7 +450,7 @@ def _states(page: Page) -> list[int]:
 
 def fit(sources: list[str], seed: int = 5, made: int = 300) -> Trees:
     rng = random.Random(seed)
-    words = sorted({w for s in sources[:40] for w in re.sub(r"<[^>]*>", " ", s).split()[:200]})[:3000] or "alpha beta gamma delta epsilon zeta eta theta".split()
+    words = sorted({w for s in sources[:FILLER_PAGES] for w in re.sub(r"<[^>]*>", " ", s).split()[:FILLER_WORDS]})[:FILLER] or "alpha beta gamma delta epsilon zeta eta theta".split()
     pool = sources or [""]
     pages = [Page(_labelled(pool[i % len(pool)], rng, words)) for i in range(max(made, len(sources)))]
     return Trees(matrix(pages), np.array([s for p in pages for s in _states(p)]))
@@ -392,7 +460,7 @@ def sample(pages: DataFrame) -> list[str]:
     """At most TRAIN_PAGES pages, by the hash of their ids."""
     n = pages.count()
     key = F.col("page_id").cast("long")
-    part = pages.select(key.alias("page_id"), F.col("html").cast("string").alias("html")).where((hash_fraction(key, 3) < min(1.0, 2 * TRAIN_PAGES / max(n, 1))) & (F.length("html") < 20_000))
+    part = pages.select(key.alias("page_id"), F.col("html").cast("string").alias("html")).where((hash_fraction(key, 3) < min(1.0, 2 * TRAIN_PAGES / max(n, 1))) & (F.length("html") < TRAIN_CHARS))
     return [r.html for r in part.orderBy(F.xxhash64("page_id"), "page_id", "html").limit(TRAIN_PAGES).collect()]
 
 

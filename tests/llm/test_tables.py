@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -154,6 +155,26 @@ def test_missing_end_tags_lose_no_text(source, want):
     assert len({len(c) for c in (page.parent, page.tag, page.groups, page.label, page.depth, page.inline)}) == 1 and all(node < len(page.parent) for node, _, _ in page.blocks)
 
 
+@pytest.mark.parametrize(
+    "source, want",
+    [
+        ("<p title=it's>one</p><p>two's</p>", ["one", "two's"]), ('<p title="a>b">one</p>', ["one"]), ('<p title="a>one</p><p>two</p>', ["one", "two"]), ("<p>1 < 2 and 3 > 2</p>", ["1 < 2 and 3 > 2"]), ("<p>a <b", ["a <b"]),
+        ("<!--><p>one</p>", ["one"]), ("<!-- x --><p>one</p><!-- y", ["one"]), ("<script>a</script x><p>one</p>", ["one"]), ('<div class="a" "><p>one</p></div>', ["one"]), ("<p>a <datalist><option>x<option>y</datalist> b</p>", ["a b"]),
+        ("<li><p>one<li>two", ["one", "two"]), ("<p><i>a<div>b</i>c</div>", ["a", "bc"]),
+    ],
+)
+def test_broken_tags_end_where_they_should(source, want):
+    assert [s for _, s, _ in html_text.Page(source).blocks] == want
+
+
+@pytest.mark.parametrize("unit", ["<a ", '<a "', '<a b="', "<a b='\"> ", '<a b="<c d=\'', "<b>", "<svg><iframe>", "<i><b></i>", "<td><b></i>", "<div><li>", "<script "])
+def test_broken_pages_take_linear_time(unit):
+    start = time.process_time()
+    for tail in ("", ">", "'>", '">'):
+        html_text.Page(unit * (120_000 // len(unit)) + tail + "<p>end</p>")
+    assert time.process_time() - start < 8
+
+
 def test_deep_pages_stay_quick():
     deep = html_text.Page("<div>" * 20_000 + "x" + "</div>" * 20_000)
     x = html_text.matrix([deep, html_text.Page("<p>a</p>")])
