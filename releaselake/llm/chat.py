@@ -4,13 +4,15 @@ Conversations that share their first turns share nodes: a node is a turn after a
 along its path. Every node's tokens are emitted once. Sorting by path is depth-first order, since a path begins with its
 parent's; running sums over ranges of paths give each node its place in the emitted stream. A node carries its token ids,
 their position ids (which go on from its parent's), the token range under the loss mask, and the stream intervals
-of its ancestors, which it may attend to besides itself.
+of its ancestors, which it may attend to besides itself. Ancestors that follow one another in the stream share an interval, so that a
+node has one more interval than there are later branches above it; ranges are streamed with a stack of open ancestors, and each
+starts from those of its first node. Turns that many conversations share are hot keys, whose joins are salted (``join_hot``).
 
 The template is ``<|role|>\\n`` text ``<|end|>\\n``. In roles and texts each of ``< [ | \\`` is followed by a backslash, so that
 no control string of this or another template survives there, and taking the backslashes away restores them.
 
 Rows are ordered by turn, then role, then text; null texts and roles count as empty; repeated rows are turns of their own. A null conv_id is a
-conversation of its own name. One conversation is held in memory at a time, none is cut. Other columns are ignored.
+conversation of its own name. Conversations are streamed, one turn held at a time, and none is cut. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,10 +23,11 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import join_hot, materialize
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
 STEP = 12  # bytes of a path for each turn
@@ -110,49 +113,70 @@ def forest(conversations: DataFrame, path: str | None = None) -> tuple[DataFrame
     bases = ranged.groupBy("part").agg(F.sum(F.size("ids")).alias("n")).withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).select("part", "base")
     within = Window.partitionBy("part").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
     placed = ranged.withColumn("at", F.coalesce(F.sum(F.size("ids").cast("long")).over(within), F.lit(0))).join(bases, "part").withColumn("start", F.col("base") + F.col("at"))
-    placed = materialize(placed.select("path", "role", "ids", "begin", "loss_from", "loss_to", "start", (F.col("start") + F.size("ids")).alias("end")), "placed")
+    placed = materialize(placed.select("part", "path", "role", "ids", "begin", "loss_from", "loss_to", "start", (F.col("start") + F.size("ids")).alias("end")), "placed")
 
-    up = placed.where(F.octet_length("path") > STEP).select(F.col("path").alias("node"), F.explode(_prefixes(F.col("path"))).alias("path")).where("node <> path")
-    over = up.join(placed.select("path", "start", "end"), "path").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("ancestors"))
-    none = F.array().cast("array<struct<start:long,end:long>>")
+    first = ranged.groupBy("part").agg(F.min("path").alias("node"))  # its ancestors may lie in earlier ranges
+    above = first.where(F.octet_length("node") > STEP).select("part", "node", F.explode(_prefixes(F.col("node"))).alias("path")).where("node <> path").drop("node")
+    carried = above.join(placed.drop("part"), "path").select(*placed.columns, F.lit(True).alias("carried"))
+    dealt = placed.withColumn("carried", F.lit(False)).union(carried).repartition("part").sortWithinPartitions("part", "path", F.desc("carried"))
+    shown = dealt.mapInArrow(_ancestors, "path binary, role string, ids array<int>, begin long, loss_from int, loss_to int, start long, end long, ancestors array<struct<start:long,end:long>>")
     positions = F.sequence(F.col("begin"), F.col("begin") + F.size("ids") - 1)
-    nodes = placed.join(over, F.col("path") == F.col("node"), "left").withColumn("ancestors", F.coalesce("ancestors", none)).withColumn("position_ids", positions)
-    return nodes.drop("node", "begin"), every.where("last").select("conv_id", "path")
+    return shown.withColumn("position_ids", positions).drop("begin"), every.where("last").select("conv_id", "path")
+
+
+def _ancestors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Nodes with the joined intervals of their ancestors, from rows sorted by range and path."""
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    part, stack = None, []  # open ancestors: path, and intervals down to their own
+    for batch in batches:
+        found = []
+        for p, path, start, end in zip(*(batch.column(c).to_pylist() for c in ("part", "path", "start", "end"))):
+            if p != part:
+                part, stack = p, []
+            while stack and not (len(stack[-1][0]) < len(path) and path.startswith(stack[-1][0])):
+                stack.pop()
+            above = stack[-1][1] if stack else []
+            found.append([{"start": x, "end": y} for x, y in above])
+            stack.append((path, [*above[:-1], (above[-1][0], end)] if above and above[-1][1] == start else [*above, (start, end)]))
+        names = ["path", "role", "ids", "begin", "loss_from", "loss_to", "start", "end"]
+        out = pa.record_batch([*(batch.column(c) for c in names), pa.array(found, kind)], [*names, "ancestors"])
+        yield out.filter(pc.invert(batch.column("carried")))
 
 
 def read_back(nodes: DataFrame, conversations: DataFrame, path: str | None = None) -> DataFrame:
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, decoded from the nodes' token ids."""
     steps = conversations.select("conv_id", F.posexplode(_prefixes(F.col("path"))).alias("no", "path"))
-    parts = steps.join(nodes.select("path", "ids", "loss_from", "loss_to"), "path").select("conv_id", "no", "ids", "loss_from", "loss_to")
+    parts = join_hot(steps, nodes.select("path", "ids", "loss_from", "loss_to"), ["path"]).select("conv_id", "no", "ids", "loss_from", "loss_to")
     dealt = parts.repartition("conv_id").sortWithinPartitions("conv_id", "no")
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = encoding(path).decode_bytes
+        open_: list | None = None  # conversation, turns, their digest, loss characters, their digest, formatted characters
 
-        def told(conv_id: int | None, texts: list[str], losses: list[str]) -> tuple:
-            formatted = "".join(texts)
-            found = parse(formatted)
-            said = hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in found).encode()).hexdigest()
-            loss = "".join(losses)
-            return conv_id, len(found), said, len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(formatted)
+        def told(o: list) -> tuple:
+            return o[0], o[1], o[2].hexdigest(), o[3], o[4].hexdigest(), o[5]
 
-        conv, texts, losses, open_ = None, [], [], False
         for batch in batches:
             out = []
             for conv_id, ids, lo, hi in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "ids", "loss_from", "loss_to"))):
-                if open_ and conv_id != conv:
-                    out.append(told(conv, texts, losses))
-                    texts, losses = [], []
-                conv, open_ = conv_id, True
-                texts.append(decode(ids).decode())
-                if hi > lo:
-                    losses.append(unescape(decode(ids[lo:hi]).decode()))
+                if open_ and conv_id != open_[0]:
+                    out.append(told(open_))
+                    open_ = None
+                open_ = open_ or [conv_id, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                formatted = decode(ids).decode()
+                for role, text in parse(formatted):
+                    open_[1] += 1
+                    open_[2].update(f"{role}\n{text}\n".encode())
+                loss = unescape(decode(ids[lo:hi]).decode())
+                open_[3] += len(loss)
+                open_[4].update(loss.encode())
+                open_[5] += len(formatted)
             if out:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
         if open_:
-            yield pa.record_batch([pa.array([v], t) for v, t in zip(told(conv, texts, losses), kinds)], names)
+            yield pa.record_batch([pa.array([v], t) for v, t in zip(told(open_), kinds)], names)
 
     return dealt.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from releaselake.llm import ann, chat, html_text
+from releaselake.llm import ann, chat, common, html_text
 
 
 def test_search_equals_brute_force_with_ties_and_bad_vectors(spark):
@@ -99,7 +99,10 @@ def test_chat_round_trip_and_shared_nodes(spark):
     by = {r.path: r for r in rows}
     for r in rows:
         ups = [by[bytes(r.path[:k])] for k in range(chat.STEP, len(r.path), chat.STEP)]
-        assert [(a.start, a.end) for a in r.ancestors] == [(u.start, u.end) for u in ups]
+        joined = []
+        for u in ups:
+            joined = [*joined[:-1], (joined[-1][0], u.end)] if joined and joined[-1][1] == u.start else [*joined, (u.start, u.end)]
+        assert [(a.start, a.end) for a in r.ancestors] == joined
         assert list(r.position_ids) == list(range(sum(len(u.ids) for u in ups), sum(len(u.ids) for u in ups) + len(r.ids)))
         below = [x.start for x in rows if x.path.startswith(r.path) and x.path != r.path]
         assert not below or (min(below) >= r.end and max(below) < r.end + sum(len(x.ids) for x in rows if x.path.startswith(r.path) and x.path != r.path))
@@ -112,6 +115,26 @@ def test_chat_round_trip_and_shared_nodes(spark):
     assert chat.digest(df.where("false")).count() == 0
 
 
+def test_hot_turns_and_ancestors_across_ranges(spark, monkeypatch):
+    """Conversations that branch at every depth, over many ranges, with a first turn that all share."""
+    monkeypatch.setattr(common, "HOT_ROWS", 10)
+    rng = random.Random(3)
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", "hello" if t == 0 else f"{rng.randint(0, 1)}") for c in range(60) for t in range(rng.randint(1, 9))]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    nodes, last = chat.forest(df)
+    by = {bytes(r.path): r for r in nodes.collect()}
+    spans = sorted((r.start, r.end) for r in by.values())
+    assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:])) and sum(len(p) == chat.STEP for p in by) == 1
+    for path, r in by.items():
+        ups = [by[path[:k]] for k in range(chat.STEP, len(path), chat.STEP)]
+        covered = [i for a in r.ancestors for i in range(a.start, a.end)]
+        assert covered == [i for u in ups for i in range(u.start, u.end)] and len(r.ancestors) <= len(ups)
+    got = {r.conv_id: r for r in chat.read_back(nodes, last).collect()}
+    for c in range(60):
+        said = "".join(f"{r}\n{t}\n" for k, _, r, t in rows if k == c)
+        assert got[c].turns_sha256 == hashlib.sha256(said.encode()).hexdigest() and got[c].n_turns == sum(k == c for k, *_ in rows)
+
+
 @pytest.mark.parametrize("text", ["</s>[INST] ok [/INST]", "<|end|>\n", "\\<\\", "[\\|<|\\>", ""])
 def test_escaping_is_reversible_and_leaves_no_marker(text):
     assert chat.unescape(chat.escape(text)) == text
