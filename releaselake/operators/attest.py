@@ -11,8 +11,11 @@ DOC_KINDS = ("tvm", "eac")
 ENVIRONMENT = ("tool", "rustc", "rustdoc")
 
 
-def usable_entries(entries: DataFrame, recorded: DataFrame, current: DataFrame) -> DataFrame:
-    """The entries if the one recorded environment equals the one current in full (nulls are unknown and never equal), else none."""
+def usable_entries(entries: DataFrame, recorded: DataFrame, current: DataFrame, schema: str | None = None) -> DataFrame:
+    """The entries if the one recorded environment equals the one current in full (nulls are unknown and never equal), else none.
+
+    Where ``schema`` is given, ``recorded`` also has the index's schema tag, which must be that."""
+    recorded = recorded if schema is None else recorded.where(F.col("schema") == schema)
     same = [F.col(f"_was_{c}") == F.col(f"_now_{c}") for c in ENVIRONMENT]
     gate = recorded.select(*(F.col(c).alias(f"_was_{c}") for c in ENVIRONMENT)).crossJoin(F.broadcast(current.limit(1).select(*(F.col(c).alias(f"_now_{c}") for c in ENVIRONMENT))))
     for s in same:
@@ -20,12 +23,16 @@ def usable_entries(entries: DataFrame, recorded: DataFrame, current: DataFrame)
     return entries.join(F.broadcast(gate.limit(1).select(F.lit(1).alias("_gate"))), F.lit(True), "left_semi")
 
 
-def environment_note(recorded: DataFrame, current: DataFrame) -> DataFrame:
-    """note: every component that moved, in fixed order, with short digests; empty when none did. Both are single rows."""
-    short = lambda c: F.coalesce(F.substring(c, 1, 12), F.lit("unknown"))
-    was, now = (df.limit(1).select(*(F.col(c).alias(f"{p}_{c}") for c in ENVIRONMENT)) for df, p in ((recorded, "was"), (current, "now")))
-    moved = [F.when(~F.col(f"was_{c}").eqNullSafe(F.col(f"now_{c}")), F.concat(F.lit(f"{c} "), short(F.col(f"was_{c}")), F.lit(" -> "), short(F.col(f"now_{c}")))) for c in ENVIRONMENT]
-    return was.crossJoin(now).select(F.concat_ws("; ", *moved).alias("note"))
+def environment_note(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``note``: every component that moved between the structs ``recorded`` and ``current``, the tool first, its digests shortened."""
+
+    def moved(c: str) -> Column:
+        was, now = (F.coalesce(F.col(side)[c], F.lit("unknown")) for side in ("recorded", "current"))
+        was, now = (F.substring(x, 1, 12) if c == "tool" else x for x in (was, now))
+        return F.when(~F.col("recorded")[c].eqNullSafe(F.col("current")[c]), F.concat(F.lit(f"{c} changed ("), was, F.lit(" → "), now, F.lit(")")))
+
+    note = F.concat_ws("; ", *(moved(c) for c in ENVIRONMENT))
+    return rows.withColumn("note", F.when(note == "", "the recorded environment differs").otherwise(note))
 
 
 def intact_docs(entries: DataFrame, docs: DataFrame) -> DataFrame:
@@ -42,7 +49,7 @@ def floors(releases: DataFrame, installed: DataFrame, active: str | Column | Non
     not below the active compiler, or that is unknown. ``installed(version, name)``, the last of equal versions having been kept."""
     now = plain_key(F.lit(active) if not isinstance(active, Column) else active)
     want = padded(F.col("rust_version"))
-    out = releases.withColumn("_want", want).join(F.broadcast(installed.select(F.col("version").alias("_want"), F.col("name").alias("_name"))), "_want", "left")
+    out = releases.withColumn("_want", want).join(installed.select(F.col("version").alias("_want"), F.col("name").alias("_name")), "_want", "left")
     older = plain_key(F.col("_want")) < now
     return out.withColumn("attempt", F.when(older, F.col("_name"))).withColumn("missing", F.when(older & F.col("_name").isNull(), F.col("_want"))).drop("_want", "_name")
 

@@ -36,7 +36,7 @@ def stale_markers(markers: DataFrame, latest: DataFrame) -> DataFrame:
 
 def binding_notes(releases: DataFrame, notes: DataFrame) -> DataFrame:
     """The first note in order whose provider is the release's and that lists its version or bounds it from above. ``notes(ord, provider_id, versions, below, note)``."""
-    n = F.broadcast(notes.select(F.col("provider_id").alias("_for"), "ord", "versions", "below", "note"))
+    n = notes.select(F.col("provider_id").alias("_for"), "ord", "versions", "below", "note")
     listed = F.coalesce(F.array_contains("versions", F.col("vers")), F.lit(False))
     below = F.coalesce(semver_key(F.col("vers")) < semver_key(F.col("below")), F.lit(False))
     met = releases.join(n, (F.col("provider_id") == F.col("_for")) & (listed | below))

@@ -35,11 +35,16 @@ def contract_versions(entities: DataFrame, releases: DataFrame, source_kind: str
 
 
 def coverage_stamp(releases: DataFrame) -> DataFrame:
-    """synced_at: the newest readable created_at of all releases, with its own offset, without fractions; null if there is none. A stamp without offset is read as UTC."""
+    """synced_at: the newest readable created_at of all releases, with its own offset, without fractions; null if there is none.
+
+    It is written in full: ``T`` before the time, seconds, ``Z`` as ``+00:00``. A stamp without offset is read as UTC and gets none; of equal times the greatest text counts."""
     at = F.try_to_timestamp(F.col("created_at"))
     best = F.max_by("created_at", F.struct(at, F.col("created_at")))
     newest = releases.where(at.isNotNull()).agg(best.alias("raw"))
-    return newest.select(F.regexp_replace("raw", r"\.[0-9]+", "").alias("synced_at"))
+    out = F.col("raw")
+    for pattern, full in ((r"[.,][0-9]+", ""), (r"[zZ]$", "+00:00"), (r"^(\S{10})[ t]", "$1T"), (r"([+-]\d\d)(\d\d)$", "$1:$2"), (r"^(\d{4}-\d\d-\d\d)$", "$1T00:00:00"), (r"T(\d\d:\d\d)([+-].*)?$", "T$1:00$2")):
+        out = F.regexp_replace(out, pattern, full)
+    return newest.select(out.alias("synced_at"))
 
 
 def measured_entities(entities: DataFrame) -> DataFrame:

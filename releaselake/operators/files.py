@@ -28,6 +28,27 @@ def unpacked(blobs: DataFrame) -> DataFrame:
     return blobs.select("package", "vers", "content").mapInPandas(run, "package string, vers string, path string, mode int, content binary")
 
 
+def packed(members: DataFrame) -> DataFrame:
+    """package, vers, content: each release's members ``(package, vers, path, mode, content)`` as a gzipped tar blob, the same bytes for the same members: by path, without times or owners."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        buffer = io.BytesIO()
+        with tarfile.open(fileobj=buffer, mode="w", format=tarfile.PAX_FORMAT) as tar:
+            for m in rows.sort_values("path").itertuples(index=False):
+                info = tarfile.TarInfo(m.path)
+                info.size, info.mode = len(m.content), int(m.mode)
+                tar.addfile(info, io.BytesIO(m.content))
+        return pd.DataFrame({"package": rows["package"].iloc[:1], "vers": rows["vers"].iloc[:1], "content": [gzip.compress(buffer.getvalue(), 9, mtime=0)]})
+
+    return members.groupBy("package", "vers").applyInPandas(run, "package string, vers string, content binary")
+
+
+def extracted(measured: DataFrame, releases: DataFrame, blobs: DataFrame) -> DataFrame:
+    """Members of the blobs of measured entities: ``measured(id)``, ``releases(provider_id, package, vers, blob)``, ``blobs(package, vers, content)``. Releases without a blob have none."""
+    wanted = releases.where("blob is not null").join(measured.select(F.col("id").alias("provider_id")), "provider_id", "left_semi").select("package", "vers").distinct()
+    return unpacked(blobs.join(wanted, ["package", "vers"], "left_semi"))
+
+
 def is_unsafe(path: Column) -> Column:
     """Absolute, or leading out of the root at some point. Depth after each part, by a running sum."""
     step = lambda p: F.when(p == "..", -1).when((p == "") | (p == "."), 0).otherwise(1)

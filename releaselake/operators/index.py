@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.items import library_name, sparse_path
 
 RELEASE = ["provider_id", "kind", "id"]
+META = ["yanked", "cksum", "rust_version", "created_at", "feature_names", "deps"]
+ARTIFACT = ["blob", "sha256", "format"]
 
 
 def registry_meta(rows: DataFrame, api: DataFrame) -> DataFrame:
@@ -91,13 +93,17 @@ def carry_forward(config: DataFrame, prior: DataFrame, selected: DataFrame) -> D
 
 
 def merged_index(synced: DataFrame, carried: DataFrame) -> DataFrame:
-    """Synced and carried providers in config order."""
-    return synced.unionByName(carried, allowMissingColumns=True)
+    """Synced and carried providers in config order (``ord``)."""
+    return synced.unionByName(carried, allowMissingColumns=True).orderBy("ord")
 
 
 def nested(releases: DataFrame) -> DataFrame:
-    """One row for each provider, its sources and their releases in order; ``releases(provider_id, kind, ord, id, cksum, yanked, blob)``."""
-    release = F.struct("ord", "id", F.struct("cksum", "yanked").alias("meta"), "blob")
+    """One row for each provider, its sources and their releases in order; ``releases(provider_id, kind, ord, id)`` with any of META and of ARTIFACT.
+
+    The artifact of a release without a blob is null."""
+    meta, artifact = ([c for c in names if c in releases.columns] for names in (META, ARTIFACT))
+    held = F.when(F.col("blob").isNotNull(), F.struct(*artifact))
+    release = F.struct("ord", "id", F.struct(*meta).alias("meta"), held.alias("artifact"))
     sources = releases.groupBy("provider_id", "kind").agg(F.array_sort(F.collect_list(release)).alias("releases"))
-    plain = F.transform("releases", lambda r: F.struct(F.struct(r["blob"].alias("blob")).alias("artifact"), r["id"].alias("id"), r["meta"].alias("meta")))
+    plain = F.transform("releases", lambda r: F.struct(r["artifact"].alias("artifact"), r["id"].alias("id"), r["meta"].alias("meta")))
     return sources.groupBy("provider_id").agg(F.array_sort(F.collect_list(F.struct("kind", plain.alias("releases")))).alias("sources"))

@@ -1,4 +1,4 @@
-"""Checks of a provider config, as rows (provider_id, check_no, message); the smallest check number comes first."""
+"""Checks of a provider config, as rows (provider_id, check_no, message). Repeated ids are reported first, then provider by provider in config order the checks by number."""
 
 from __future__ import annotations
 
@@ -16,10 +16,16 @@ def violations(config: DataFrame) -> DataFrame:
     """``config(ord, id, package, role, served_id, sources array<struct<kind>>, exclude array<string>, surface_kind, surface_from array<string>)``.
 
     Column types already rule out malformed lists, so that an ``exclude`` or ``surface_from`` that could not be read shows as a null entry."""
+    return _placed(config).select("provider_id", "check_no", "message")
+
+
+def _placed(config: DataFrame) -> DataFrame:
+    """The violations with ``pos``, the place of a surface source among its provider's; the three checks of one source come before the next one's."""
     role = F.coalesce("role", F.lit("fork"))
 
     def found(rows: DataFrame, no: int, message: Column) -> DataFrame:
-        return rows.select(F.col("id").alias("provider_id"), F.lit(no).alias("check_no"), message.alias("message"))
+        pos = F.col("pos") if 11 <= no <= 13 else F.lit(0)
+        return rows.select(F.col("id").alias("provider_id"), F.lit(no).alias("check_no"), message.alias("message"), pos.alias("pos"))
 
     ids = config.select(F.col("id").alias("_known")).distinct()
     sourced = config.where("surface_kind is not null or surface_from is not null")
@@ -51,7 +57,10 @@ def violations(config: DataFrame) -> DataFrame:
 
 def require_valid(config: DataFrame) -> DataFrame:
     """The config, or an error that names its first violation."""
-    first = violations(config).orderBy("check_no", "provider_id", "message").first()
+    places = config.groupBy(F.col("id").alias("provider_id")).agg(F.min("ord").alias("ord"))
+    no = F.col("check_no")
+    order = [no != 1, F.col("ord"), F.when(no.between(11, 13), 11).otherwise(no), F.col("pos"), no, F.col("message")]
+    first = _placed(config).join(places, "provider_id").orderBy(*order).first()
     if first:
         raise ValueError(f"provider {first.provider_id}: {first.message}")
     return config

@@ -1,4 +1,4 @@
 """The registered queries."""
 
-from . import streams, surfaces, syncing  # noqa: F401
+from . import stored, streams, surfaces, syncing  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

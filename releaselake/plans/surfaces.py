@@ -335,10 +335,10 @@ def source_links(v: View) -> DataFrame:
     return curation.source_links(items, up).select("provider_id", "vers", "key", "ref", "link")
 
 
-#: Each key once in a release; rules lead from a key of a fork's release to one of the next quarter's.
+#: Each key once in a release; rules lead from a key of a package's release to one of its next release.
 RULE_SQL = """
 u AS (SELECT package, concat('prov-', k) AS provider_id, k, vers, key, min(digest) AS digest, min(cfg1) AS cfg FROM {own_items} GROUP BY ALL),
-nx AS (SELECT package, vers, lead(vers) OVER (PARTITION BY package ORDER BY CAST(split_part(vers, '.', 1) AS INT), CAST(split_part(vers, '.', 2) AS INT)) AS next FROM (SELECT DISTINCT package, vers FROM {own_items} WHERE k % 5 = 0)),
+nx AS (SELECT package, vers, lead(vers) OVER (PARTITION BY package ORDER BY CAST(split_part(vers, '.', 1) AS INT), CAST(split_part(vers, '.', 2) AS INT)) AS next FROM (SELECT DISTINCT package, vers FROM {own_items})),
 ru AS (SELECT concat(provider_id, '@', vers) AS id, provider_id, package, k, vers, nx.next, min(key) AS from_key, max(key) AS to_key FROM u JOIN nx USING (package, vers) WHERE next IS NOT NULL GROUP BY ALL),
 st AS (SELECT ru.*, CASE WHEN ru.k % 15 = 0 THEN 'unconfirmed' WHEN ru.k % 20 = 0 THEN 'hash moved' WHEN EXISTS (SELECT 1 FROM u WHERE u.package = ru.package AND u.vers = ru.next AND u.key = ru.from_key) THEN 'old key still there'
        WHEN n.key IS NULL THEN 'new key absent' WHEN n.cfg <> '' THEN 'gated' ELSE 'applies' END AS status
@@ -352,7 +352,7 @@ def _once(v: View) -> DataFrame:
 
 #: The same rules for the releases of all forks.
 FORKS = "package IN (SELECT package FROM {entities} WHERE role = 'fork')"
-FORK_RULE_SQL = RULE_SQL.replace("WHERE k % 5 = 0", "WHERE " + FORKS)
+FORK_RULE_SQL = RULE_SQL.replace("FROM {own_items})),\nru AS", "FROM {own_items} WHERE " + FORKS + ")),\nru AS")
 
 
 def _of_forks(v: View, df: DataFrame) -> DataFrame:
@@ -361,7 +361,7 @@ def _of_forks(v: View, df: DataFrame) -> DataFrame:
 
 def _rules(v: View, of: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     u = _once(v)
-    near = analyze.with_neighbours(u.where("k % 5 = 0") if of is None else of)
+    near = analyze.with_neighbours(u if of is None else of)
     r = u.join(near.where("next_vers is not null"), ["package", "vers"]).groupBy("provider_id", "package", "k", "vers", "next_vers").agg(F.min("key").alias("from_key"), F.max("key").alias("to_key"))
     bad = F.when(F.col("k") % 20 == 0, "0")
     of = lambda c: F.md5(F.concat_ws("@", "provider_id", c).cast("binary"))
@@ -378,36 +378,22 @@ def rule_check(v: View) -> DataFrame:
     return _rules(v)[1]
 
 
-@query("WITH " + RULE_SQL + """,
-a AS (SELECT key, digest FROM u WHERE package = 'pkg-5' AND vers = '6.1.0'), b AS (SELECT key, digest FROM u WHERE package = 'pkg-5' AND vers = '6.2.0'),
-r AS (SELECT from_key, min(to_key) AS to_key FROM st WHERE status = 'applies' GROUP BY from_key)
-SELECT a.key, CASE WHEN a.digest = b.digest THEN 'keep' WHEN r.to_key IS NOT NULL THEN 'rewrite' ELSE 'manual' END AS action, CASE WHEN a.digest IS DISTINCT FROM b.digest THEN r.to_key END AS to_key
-FROM a LEFT JOIN b ON b.key = a.key LEFT JOIN r ON r.from_key = a.key
-""")
-def migration_plan(v: View) -> DataFrame:
-    """All symbols of one release are used, the next one is the target."""
-    rules, status = _rules(v)
-    u = _once(v).where("package = 'pkg-5'")
-    old, new = (u.where(F.col("vers") == x).select("key", "digest") for x in ("6.1.0", "6.2.0"))
-    return analyze.migration_plan(old, old, new, rules.join(status, "id"))
-
-
-@query("WITH " + FORK_RULE_SQL + "SELECT id, status FROM st")
-def fork_rule_check(v: View) -> DataFrame:
-    """The rules of all forks."""
-    return _rules(v, _of_forks(v, _once(v)))[1]
-
-
-@query("WITH " + FORK_RULE_SQL + """,
-fx AS (SELECT package, vers, lead(vers) OVER (PARTITION BY package ORDER BY CAST(split_part(vers, '.', 1) AS INT), CAST(split_part(vers, '.', 2) AS INT)) AS next FROM (SELECT DISTINCT package, vers FROM u WHERE """ + FORKS + """)),
+PLAN_SQL = """,
+fx AS (SELECT package, vers, lead(vers) OVER (PARTITION BY package ORDER BY CAST(split_part(vers, '.', 1) AS INT), CAST(split_part(vers, '.', 2) AS INT)) AS next FROM (SELECT DISTINCT package, vers FROM u)),
 a AS (SELECT u.package, u.vers, fx.next, u.key, u.digest FROM u JOIN fx USING (package, vers) WHERE fx.next IS NOT NULL),
 r AS (SELECT package, vers, from_key, min(to_key) AS to_key FROM st WHERE status = 'applies' GROUP BY package, vers, from_key)
 SELECT a.package, a.vers, a.key, CASE WHEN a.digest = b.digest THEN 'keep' WHEN r.to_key IS NOT NULL THEN 'rewrite' ELSE 'manual' END AS action, CASE WHEN a.digest IS DISTINCT FROM b.digest THEN r.to_key END AS to_key
 FROM a LEFT JOIN u b ON b.package = a.package AND b.vers = a.next AND b.key = a.key LEFT JOIN r ON r.package = a.package AND r.vers = a.vers AND r.from_key = a.key
-""")
-def fork_migration_plans(v: View) -> DataFrame:
-    """Every release of every fork, all of its symbols used, with the fork's next release as target."""
-    u = _of_forks(v, _once(v))
+"""
+
+
+@query("WITH " + RULE_SQL + PLAN_SQL)
+def migration_plan(v: View) -> DataFrame:
+    """Every release of every package, all of its symbols used, with the package's next release as target."""
+    return _plans(v, _once(v))
+
+
+def _plans(v: View, u: DataFrame) -> DataFrame:
     rules, status = _rules(v, u)
     near = analyze.with_neighbours(u)
     old = u.join(near.where("next_vers is not null").select("package", "vers"), ["package", "vers"], "left_semi")
@@ -416,6 +402,18 @@ def fork_migration_plans(v: View) -> DataFrame:
     return analyze.migration_plan(old, old, new, ready, ("package", "vers"))
 
 
+@query("WITH " + FORK_RULE_SQL + "SELECT id, status FROM st")
+def fork_rule_check(v: View) -> DataFrame:
+    """The rules of all forks."""
+    return _rules(v, _of_forks(v, _once(v)))[1]
+
+
+@query("WITH " + FORK_RULE_SQL + PLAN_SQL.replace("FROM u)),", "FROM u WHERE " + FORKS + ")),"))
+def fork_migration_plans(v: View) -> DataFrame:
+    """The plans of forks alone."""
+    return _plans(v, _of_forks(v, _once(v)))
+
+
 @query("SELECT DISTINCT concat('kit-', o_custkey % 7) AS kit, concat('prov-', k) AS target FROM (SELECT o_custkey, o_orderkey % 11 AS k FROM {orders}) WHERE (k + 7 - o_custkey % 7) % 3 = 0")
 def kit_offers(v: View) -> DataFrame:
     """Orders as wished pairs of kit and target; every third pair is probed."""
@@ -491,8 +489,8 @@ def trait_breaks(v: View) -> DataFrame:
 
 #: Used symbols are the keys of orders divisible by four; a package's baseline is release 6.1.0.
 USED_SQL = """
-it AS (SELECT DISTINCT package, vers, split_part(key, ':', 1) AS key, cfg1 AS digest FROM {own_items} WHERE k % 5 = 3),
-us AS (SELECT DISTINCT package, split_part(key, ':', 1) AS key FROM {own_items} WHERE k % 5 = 3 AND l_orderkey % 4 = 0),
+it AS (SELECT DISTINCT package, vers, key, digest FROM {own_items}),
+us AS (SELECT DISTINCT package, key FROM {own_items} WHERE l_orderkey % 4 = 0),
 hv AS (SELECT package, vers, key, min(digest) AS digest FROM it JOIN us USING (package, key) GROUP BY ALL),
 bl AS (SELECT package, '6.1.0' AS vers FROM it GROUP BY package),
 bs AS (SELECT hv.package, hv.key, hv.digest AS base FROM hv JOIN bl USING (package, vers)),
@@ -503,18 +501,16 @@ rp AS (SELECT v.package, v.vers, checkable, unprovable, coalesce(intact, 0) AS i
 """
 
 
-def _used(v: View) -> tuple[DataFrame, DataFrame]:
-    o = v("own_items").where("k % 5 = 3").withColumn("key", item_kind(F.col("key")))
-    items = o.select("package", "vers", "key", F.col("cfg1").alias("digest")).distinct()
-    used = o.where("l_orderkey % 4 = 0").select("package", "key").distinct()
+def _used(o: DataFrame) -> tuple[DataFrame, DataFrame]:
+    items = o.select("package", "vers", "key", "digest").distinct()
     base = items.select("package", F.lit("6.1.0").alias("vers")).distinct()
-    return analyze.used_api_report(used, items, base), base
+    return analyze.used_api_report(o.where("l_orderkey % 4 = 0").select("package", "key").distinct(), items, base), base
 
 
 @query("WITH " + USED_SQL + "SELECT * FROM rp")
 def used_api_report(v: View) -> DataFrame:
-    """Kinds stand for keys and gates for digests, so that some releases are compatible."""
-    return _used(v)[0]
+    """Every package's releases against its baseline."""
+    return _used(v("own_items"))[0]
 
 
 @query("WITH " + USED_SQL + """,
@@ -523,72 +519,66 @@ m AS (SELECT package, run FROM r WHERE vers = '6.1.0' AND compatible)
 SELECT r.package, min_by(vers, n) AS first, max_by(vers, n) AS last, count(*) AS releases FROM r JOIN m USING (package, run) WHERE compatible GROUP BY r.package
 """)
 def compat_window(v: View) -> DataFrame:
-    return analyze.compatible_window(*_used(v))
+    return analyze.compatible_window(*_used(v("own_items")))
 
 
-@query("""
-WITH g AS (SELECT r.package, r.vers, CASE WHEN r.k % 10 = 3 THEN NULL ELSE r.yr END AS h FROM (SELECT package, vers, k, max(yr) % 3 AS yr FROM {li} WHERE k % 5 = 3 GROUP BY ALL) r),
-lk AS (SELECT DISTINCT l_orderkey AS w, package, vers FROM {li} WHERE k % 5 = 3), ap AS (SELECT w, min(package) AS package, min_by(vers, concat(package, ' ', vers)) AS vers FROM lk GROUP BY w)
+AUDIT_SQL = """
 SELECT concat('ws-', lk.w) AS workspace, count(*) FILTER (v = 'match') AS matches, count(*) FILTER (v = 'same') AS same_generation, count(*) FILTER (v = 'clash') AS clashes, count(*) FILTER (v = 'unverifiable') AS unverifiable, count(DISTINCT package) > 1 AS refused
 FROM (SELECT lk.w, lk.package, CASE WHEN lk.package = ap.package AND lk.vers = ap.vers THEN 'match' WHEN g.h IS NULL OR a.h IS NULL THEN 'unverifiable' WHEN g.h = a.h THEN 'same' ELSE 'clash' END AS v
-      FROM lk JOIN ap ON ap.w = lk.w LEFT JOIN g ON g.package = lk.package AND g.vers = lk.vers LEFT JOIN g a ON a.package = ap.package AND a.vers = ap.vers) lk GROUP BY lk.w
-""")
+      FROM lk JOIN ap ON ap.w = lk.w LEFT JOIN g ON g.package = lk.package AND g.vers = lk.vers LEFT JOIN g a ON a.package = ap.package AND a.vers = ap.vers
+      WHERE lk.package IN (SELECT package FROM g)) lk GROUP BY lk.w
+"""
+LOCK_SQL = """
+fl AS (SELECT * FROM {li} WHERE """ + FORKS + """), g AS (SELECT package, vers, CASE WHEN k % 10 = 3 THEN NULL ELSE max(yr) % 3 END AS h FROM fl GROUP BY package, vers, k),
+lk AS (SELECT DISTINCT l_orderkey AS w, package, vers FROM {li}), ap AS (SELECT w, min(package) AS package, min_by(vers, concat(package, ' ', vers)) AS vers FROM lk GROUP BY w)
+"""
+
+
+@query("WITH " + LOCK_SQL + AUDIT_SQL)
 def workspace_audit(v: View) -> DataFrame:
-    """Orders as workspaces, their lines as lock rows; the app is bound to the first of them."""
-    return _audit(v("li").where("k % 5 = 3"))
+    """Orders as workspaces, all their lines as lock rows; the app is bound to the first of them, which need be no fork."""
+    return _audit(v("li"), _of_forks(v, v("li")))
 
 
-def _audit(li: DataFrame) -> DataFrame:
-    g = li.groupBy("package", "vers", "k").agg((F.max("yr") % 3).alias("y")).select("package", "vers", F.when(F.col("k") % 10 != 3, F.col("y").cast("string")).alias("api_hash"))
+def _audit(li: DataFrame, forks: DataFrame) -> DataFrame:
+    g = forks.groupBy("package", "vers", "k").agg((F.max("yr") % 3).alias("y")).select("package", "vers", F.when(F.col("k") % 10 != 3, F.col("y").cast("string")).alias("api_hash"))
     locks = li.select(F.concat(F.lit("ws-"), "l_orderkey").alias("workspace"), "package", "vers").distinct()
     apps = locks.groupBy("workspace").agg(F.min(F.struct("package", F.concat("package", "vers").alias("o"), "vers")).alias("a")).select("workspace", "a.package", "a.vers")
     return analyze.workspace_audit(locks, apps, g)
 
 
-@query("""
-WITH fl AS (SELECT * FROM {li} WHERE """ + FORKS + """), g AS (SELECT package, vers, CASE WHEN k % 10 = 3 THEN NULL ELSE max(yr) % 3 END AS h FROM fl GROUP BY package, vers, k),
-lk AS (SELECT DISTINCT l_orderkey AS w, package, vers FROM fl), ap AS (SELECT w, min(package) AS package, min_by(vers, concat(package, ' ', vers)) AS vers FROM lk GROUP BY w)
-SELECT concat('ws-', lk.w) AS workspace, count(*) FILTER (v = 'match') AS matches, count(*) FILTER (v = 'same') AS same_generation, count(*) FILTER (v = 'clash') AS clashes, count(*) FILTER (v = 'unverifiable') AS unverifiable, count(DISTINCT package) > 1 AS refused
-FROM (SELECT lk.w, lk.package, CASE WHEN lk.package = ap.package AND lk.vers = ap.vers THEN 'match' WHEN g.h IS NULL OR a.h IS NULL THEN 'unverifiable' WHEN g.h = a.h THEN 'same' ELSE 'clash' END AS v
-      FROM lk JOIN ap ON ap.w = lk.w LEFT JOIN g ON g.package = lk.package AND g.vers = lk.vers LEFT JOIN g a ON a.package = ap.package AND a.vers = ap.vers) lk GROUP BY lk.w
-""")
+@query("WITH " + LOCK_SQL.replace("package, vers FROM {li})", "package, vers FROM fl)") + AUDIT_SQL)
 def fork_workspace_audit(v: View) -> DataFrame:
-    """The lock rows of all forks, facades with them."""
-    return _audit(_of_forks(v, v("li")))
+    """Lock rows and apps of forks alone."""
+    forks = _of_forks(v, v("li"))
+    return _audit(forks, forks)
 
 
-#: Every item key and digest, over all forks.
-FULL_USED_SQL = USED_SQL.replace("split_part(key, ':', 1) AS key, cfg1 AS digest", "key, digest").replace("split_part(key, ':', 1) AS key", "key").replace("k % 5 = 3", FORKS)
+#: The same over forks alone.
+FORK_USED_SQL = USED_SQL.replace("digest FROM {own_items}", "digest FROM {own_items} WHERE " + FORKS).replace("l_orderkey % 4 = 0", "l_orderkey % 4 = 0 AND " + FORKS)
 FULL_HASH_SQL = """
 g AS (SELECT DISTINCT package, vers, key, digest, cfg1 FROM {own_items}),
 h AS (SELECT package, vers, sha256(string_agg(concat(key, chr(0), digest, chr(0), cfg1), chr(0) ORDER BY key, digest, cfg1)) AS api_hash FROM g GROUP BY package, vers)
 """
 
 
-def _full_used(v: View) -> tuple[DataFrame, DataFrame]:
-    o = _of_forks(v, v("own_items"))
-    items = o.select("package", "vers", "key", "digest").distinct()
-    base = items.select("package", F.lit("6.1.0").alias("vers")).distinct()
-    return analyze.used_api_report(o.where("l_orderkey % 4 = 0").select("package", "key").distinct(), items, base), base
-
-
 def _full_hashes(v: View) -> DataFrame:
     g = v("own_items").select("package", "vers", "key", "digest", _cfg().alias("cfg")).distinct()
     return g.groupBy("package", "vers").agg(surface_hash(F.col("key"), F.col("digest"), F.col("cfg")).alias("api_hash"))
 
 
-@query("WITH " + FULL_USED_SQL + "SELECT * FROM rp")
+@query("WITH " + FORK_USED_SQL + "SELECT * FROM rp")
 def fork_used_api_report(v: View) -> DataFrame:
-    return _full_used(v)[0]
+    return _used(_of_forks(v, v("own_items")))[0]
 
 
-@query("WITH " + FULL_USED_SQL + """,
+@query("WITH " + FORK_USED_SQL + """,
 o AS (SELECT *, CAST(split_part(vers, '.', 1) AS INT) * 10 + CAST(split_part(vers, '.', 2) AS INT) AS n FROM rp), r AS (SELECT *, sum(CASE WHEN compatible THEN 0 ELSE 1 END) OVER (PARTITION BY package ORDER BY n) AS run FROM o),
 m AS (SELECT package, run FROM r WHERE vers = '6.1.0' AND compatible)
 SELECT r.package, min_by(vers, n) AS first, max_by(vers, n) AS last, count(*) AS releases FROM r JOIN m USING (package, run) WHERE compatible GROUP BY r.package
 """)
 def fork_compat_window(v: View) -> DataFrame:
-    return analyze.compatible_window(*_full_used(v))
+    return analyze.compatible_window(*_used(_of_forks(v, v("own_items"))))
 
 
 @query("WITH " + FULL_HASH_SQL + """,

@@ -1,11 +1,13 @@
 """Readers of registry rows, API metadata, configs, indexes, analysis rows, curated files and documents, with explicit schemas.
 
-Only Spark opens paths, so that any store it knows works. A path that does not exist reads as empty where the docstring says so.
+Only Spark opens paths, so that any store it knows works. A path that does not exist reads as empty where the docstring says so. Files of
+one package each are named by it, or lie in a folder ``package=<name>`` as Spark writes them. ``multi_line`` tells whether a file is one document
+or a document for each line, which large exports are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.keep import keep_last
@@ -37,26 +39,32 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def _json(spark: SparkSession, path: str, schema: str, strict: bool = False) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST" if strict else "PERMISSIVE").json(path)
+def _json(spark: SparkSession, path: str, schema: str, strict: bool = False, multi_line: bool = True) -> DataFrame:
+    return spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST" if strict else "PERMISSIVE").json(path)
+
+
+def _file_package() -> Column:
+    """The package that a file is about."""
+    folder = F.nullif(F.regexp_extract("_metadata.file_path", r"/package=([^/]+)/[^/]*$", 1), F.lit(""))
+    return F.coalesce(folder, F.regexp_extract("_metadata.file_name", r"^(.*?)(\.json)?$", 1))
 
 
 def registry_rows(spark: SparkSession, path: str) -> DataFrame:
     """Lines of JSON, one for each version, blank lines left out; ``ord`` is the line's place in its file, ``package`` the file's name.
 
     A file holds one package's versions and is read as one value, which keeps their order without a shuffle."""
-    text = spark.read.option("wholetext", True).text(path).select(F.substring_index("_metadata.file_path", "/", -1).alias("package"), F.posexplode(F.split("value", "\n")).alias("ord", "line"))
+    text = spark.read.text(path, wholetext=True).select(_file_package().alias("package"), F.posexplode(F.split("value", "\n")).alias("ord", "line"))
     return text.where(F.trim("line") != "").select("package", "ord", F.from_json("line", ROW).alias("r")).select("package", "ord", "r.*")
 
 
 def api_versions(spark: SparkSession, path: str) -> DataFrame:
     """package, num, rust_version, created_at; of versions listed twice the last counts."""
-    raw = _json(spark, path, API).select(F.regexp_extract("_metadata.file_name", r"^(.*?)(\.json)?$", 1).alias("package"), F.posexplode("versions").alias("ord", "v"))
+    raw = _json(spark, path, API).select(_file_package().alias("package"), F.posexplode("versions").alias("ord", "v"))
     return keep_last(raw.select("package", "ord", "v.*"), ["package", "num"], "ord").drop("ord")
 
 
 def api_packages(spark: SparkSession, path: str) -> DataFrame:
-    return _json(spark, path, API).select(F.regexp_extract("_metadata.file_name", r"^(.*?)(\.json)?$", 1).alias("package"), F.lit(0).alias("ord"), "crate.*")
+    return _json(spark, path, API).select(_file_package().alias("package"), F.lit(0).alias("ord"), "crate.*")
 
 
 def provider_config(spark: SparkSession, path: str) -> DataFrame:
@@ -65,23 +73,23 @@ def provider_config(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumnRenamed("for", "served_id").withColumn("is_facade", F.col("surface_source").isNotNull()).select("*", F.col("surface_source.kind").alias("surface_kind"), F.col("surface_source.from").alias("surface_from")).drop("surface_source")
 
 
-def corpus_index(spark: SparkSession, path: str) -> DataFrame:
+def corpus_index(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """The nested index as flat releases; of releases listed twice the last counts. No file, or an unreadable one, is an empty index."""
-    source = _json(spark, path, INDEX) if exists(spark, path) else spark.createDataFrame([], INDEX)
+    source = _json(spark, path, INDEX, multi_line=multi_line) if exists(spark, path) else spark.createDataFrame([], INDEX)
     a = source.select(F.posexplode("providers").alias("po", "p")).select("po", F.col("p.id").alias("provider_id"), F.col("p.package").alias("package"), F.posexplode("p.sources").alias("so", "s"))
     b = a.select("provider_id", "package", F.col("s.kind").alias("kind"), "po", "so", F.posexplode("s.releases").alias("ord", "r"))
     flat = b.select("provider_id", "package", "kind", F.struct("po", "so", "ord").alias("_place"), "ord", F.col("r.id").alias("id"), "r.meta.*", F.col("r.artifact").alias("artifact"), F.col("r.artifact.blob").alias("blob"))
     return keep_last(flat, ["provider_id", "kind", "id"], "_place").drop("_place")
 
 
-def index_providers(spark: SparkSession, path: str) -> DataFrame:
-    source = _json(spark, path, INDEX) if exists(spark, path) else spark.createDataFrame([], INDEX)
+def index_providers(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    source = _json(spark, path, INDEX, multi_line=multi_line) if exists(spark, path) else spark.createDataFrame([], INDEX)
     return source.select(F.explode("providers").alias("p")).select("p.id", "p.package", "p.repository", "p.description")
 
 
-def analysis_surfaces(spark: SparkSession, path: str) -> DataFrame:
+def analysis_surfaces(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """package, vers, surface: a null surface is measured and empty; of rows for one release the last counts."""
-    rows = _json(spark, path, ANALYSIS).select(F.posexplode("rows").alias("ord", "r")).select("ord", "r.package", "r.vers", F.coalesce("r.surface", F.array().cast(f"array<{ITEM}>")).alias("surface"))
+    rows = _json(spark, path, ANALYSIS, multi_line=multi_line).select(F.posexplode("rows").alias("ord", "r")).select("ord", "r.package", "r.vers", F.coalesce("r.surface", F.array().cast(f"array<{ITEM}>")).alias("surface"))
     return keep_last(rows, ["package", "vers"], "ord").drop("ord")
 
 
@@ -91,10 +99,10 @@ def surface_items(surfaces: DataFrame) -> DataFrame:
     return flat.withColumn("cfg", F.coalesce("cfg", F.array().cast("array<string>"))).withColumn("digest", F.coalesce("digest", F.lit("")))
 
 
-def curated(spark: SparkSession, path: str, section: str) -> DataFrame:
+def curated(spark: SparkSession, path: str, section: str, multi_line: bool = True) -> DataFrame:
     """A section of the curated files as rows, maps with their key as ``provider_id``, lists with ``ord``. No file is an empty section; a malformed one fails."""
     schema = CURATED[section]
-    source = _json(spark, path, schema, strict=True) if exists(spark, path) else spark.createDataFrame([], schema)
+    source = _json(spark, path, schema, strict=True, multi_line=multi_line) if exists(spark, path) else spark.createDataFrame([], schema)
     if " map<" in schema:
         return source.select(F.explode(section).alias("provider_id", "x")).select("provider_id", "x.*")
     return source.select(F.posexplode(section).alias("ord", "x")).select("ord", "x.*")
@@ -117,3 +125,17 @@ def attestation_docs(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).load(path)
     part = lambda i: F.regexp_extract("path", r"([^/]+)/([^/]+)/([^/]+)\.json$", i)
     return raw.select(part(1).alias("kind"), part(2).alias("package"), part(3).alias("vers"), F.sha2("content", 256).alias("sha256"), F.get_json_object(F.decode("content", "UTF-8"), "$.schema").alias("schema"))
+
+
+DOC = "struct<sha256:string,schema:string>"
+ENTRY = f"struct<cksum:string,lock:string,floor:string,tvm:{DOC},eac:{DOC}>"
+ATTESTATIONS = "schema string, environment struct<tool:string,rustc:string,rustdoc:string>, entries map<string,string>"
+
+
+def attestation_index(spark: SparkSession, path: str, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Entries (package, vers and their fields; those that are no objects left out) and the recorded environments with their schema tag, once each. No file is an empty index."""
+    source = _json(spark, path, ATTESTATIONS, multi_line=multi_line) if exists(spark, path) else spark.createDataFrame([], ATTESTATIONS)
+    at = F.instr("key", "/")
+    rows = source.select(F.explode("entries").alias("key", "x")).where(F.trim("x").startswith("{"))
+    entries = rows.select(F.expr("substring(key, 1, instr(key, '/') - 1)").alias("package"), F.substring("key", at + 1, F.length("key")).alias("vers"), F.from_json("x", ENTRY).alias("e"))
+    return entries.select("package", "vers", "e.*"), source.select("schema", "environment.*").distinct()

@@ -1,4 +1,4 @@
-"""Tables in the folder that driver and executors share: spark.checkpoint.dir, or a temporary one only where that is unset, as in tests."""
+"""Tables in the folder that driver and executors share: spark.checkpoint.dir, or a temporary one only in a local session that leaves that unset, as in tests."""
 
 from __future__ import annotations
 
@@ -12,6 +12,8 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/releaselake/{name}-{uuid.uuid4().hex}"

@@ -1,21 +1,43 @@
-"""Sinks. Flat Parquet holds the truth; nested JSON lines are an export, one provider a line, keys in order and no white space."""
+"""Sinks. Flat Parquet holds the truth; nested JSON lines are an export: each line is a document with one provider or entry, keys in order and no white space."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from ..operators.index import nested
 
 
+def _ordered(c: Column, kind: DataType) -> Column:
+    """The value with the fields and keys of every level in name order."""
+    if isinstance(kind, StructType):
+        inner = F.struct(*(_ordered(c.getField(f.name), f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name)))
+        return F.when(c.isNotNull(), inner)
+    if isinstance(kind, ArrayType):
+        return F.transform(c, lambda x: _ordered(x, kind.elementType))
+    if isinstance(kind, MapType):
+        return F.map_from_entries(F.transform(F.array_sort(F.map_keys(c)), lambda k: F.struct(k, _ordered(F.try_element_at(c, k), kind.valueType))))
+    return c
+
+
 def canonical_json(df: DataFrame) -> DataFrame:
-    """One column ``json``: each row's fields in name order."""
-    return df.select(F.to_json(F.struct(*sorted(df.columns))).alias("json"))
+    """One column ``json``: each row's fields in name order at every level, nulls written."""
+    return df.select(F.to_json(_ordered(F.struct(*df.columns), df.schema), {"ignoreNullFields": "false"}).alias("json"))
+
 
+def write_index(releases: DataFrame, path: str, providers: DataFrame | None = None, schema: str = "index.v1") -> None:
+    """Key-sorted, compact, gzipped lines, each a document with one provider, in config order, else in order of their ids.
 
-def write_index(releases: DataFrame, path: str) -> None:
-    """Key-sorted, compact, gzipped lines of nested providers, in order of their ids."""
-    canonical_json(nested(releases)).orderBy("json").write.mode("overwrite").option("compression", "gzip").text(path)
+    ``providers(ord, id, package, repository, description)`` may hold more columns, which are written too, and providers without releases."""
+    n = nested(releases).withColumnRenamed("provider_id", "id")
+    if providers is not None:
+        n = providers.join(n, "id", "left")
+    n = n.withColumn("sources", F.coalesce("sources", F.array().cast(n.schema["sources"].dataType)))
+    order = ["ord", "id"] if "ord" in n.columns else ["id"]
+    fields = [c for c in n.columns if c != "ord"]
+    lines = n.orderBy(*order).select(F.lit(schema).alias("schema"), F.array(F.struct(*fields)).alias("providers"))
+    canonical_json(lines).write.mode("overwrite").option("compression", "gzip").text(path)
 
 
 def content_digest(df: DataFrame) -> DataFrame:
@@ -29,5 +51,10 @@ def write_dataset(versions: DataFrame, path: str) -> None:
     versions.write.mode("overwrite").partitionBy("provider_id").parquet(path)
 
 
-def write_attestations(index: DataFrame, path: str) -> None:
-    index.orderBy("package", "vers").select(F.to_json(F.struct(*sorted(index.columns))).alias("json")).write.mode("overwrite").text(path)
+def write_attestations(index: DataFrame, path: str, environment: DataFrame, schema: str = "attestations.v1") -> None:
+    """Lines in order of package and version, each a document with one entry, its schema tag and the environment (one row)."""
+    fields = [c for c in index.columns if c not in ("package", "vers", "origin")]
+    here = F.broadcast(environment.limit(1).select(F.struct(*environment.columns).alias("environment")))
+    entry = F.map_from_arrays(F.array(F.concat_ws("/", "package", "vers")), F.array(F.struct(*fields)))
+    lines = index.crossJoin(here).orderBy("package", "vers").select(F.lit(schema).alias("schema"), "environment", entry.alias("entries"))
+    canonical_json(lines).write.mode("overwrite").text(path)

@@ -1,12 +1,12 @@
 """Incremental sync as a micro-batch job: files of registry rows arrive, only new releases are appended to the index table.
 
 A batch is classified against the table as it is, so that a batch that runs again adds nothing; within a batch the last row of a release counts.
-Only rows of packages in the batch are read for the comparison, and the batch is the small side of that join.
+The table is partitioned by ``BUCKETS`` hashes of the provider, and only the partitions that the batch's providers fall into are read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,13 +14,21 @@ from ..operators.index import RELEASE, classify
 from ..operators.keep import keep_last
 
 INDEX = "provider_id string, kind string, id string, package string, cksum string, blob string"
+BUCKETS = 32
 
 
-def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """The index table; one that does not exist yet is empty."""
+def bucket() -> Column:
+    return F.pmod(F.xxhash64("provider_id"), F.lit(BUCKETS)).cast("int")
+
+
+def read_index(spark: SparkSession, path: str, buckets: list[int] | None = None) -> DataFrame:
+    """The index table, or its given partitions; one that does not exist yet is empty."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     there = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-    return spark.read.schema(INDEX).parquet(path) if there else spark.createDataFrame([], INDEX)
+    if not there:
+        return spark.createDataFrame([], INDEX)
+    table = spark.read.schema(f"{INDEX}, bucket int").parquet(path)
+    return (table if buckets is None else table.where(F.col("bucket").isin(buckets))).drop("bucket")
 
 
 def apply_batch(batch: DataFrame, index: DataFrame) -> DataFrame:
@@ -38,7 +46,8 @@ def run_available(arriving: DataFrame, index_path: str, checkpoint: str) -> Stre
     """Take in what has arrived by now and stop; the checkpoint remembers it."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        added = apply_batch(batch, read_index(batch.sparkSession, index_path))
-        added.write.mode("append").parquet(index_path)
+        touched = [r.bucket for r in batch.select(bucket().alias("bucket")).distinct().collect()]  # at most BUCKETS
+        added = apply_batch(batch, read_index(batch.sparkSession, index_path, touched))
+        added.withColumn("bucket", bucket()).repartition("bucket").write.mode("append").partitionBy("bucket").parquet(index_path)
 
     return arriving.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

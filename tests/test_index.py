@@ -37,7 +37,9 @@ def test_registry_meta_defaults(spark):
 
 def test_coverage_stamp_keeps_the_winners_offset(spark):
     rows = spark.createDataFrame([("2026-01-02T03:04:05.678+00:00",), ("2026-01-02T06:04:06.5+02:00",), ("not-a-date",), (None,)], "created_at string")
-    assert dataset.coverage_stamp(rows).first().synced_at == "2026-01-02T06:04:06+02:00" or dataset.coverage_stamp(rows).first().synced_at == "2026-01-02T03:04:05+00:00"
+    assert dataset.coverage_stamp(rows).first().synced_at == "2026-01-02T06:04:06+02:00"
+    for given, want in (("2024-05-01T12:00:00.123456Z", "2024-05-01T12:00:00+00:00"), ("2024-05-01 12:00:00+0200", "2024-05-01T12:00:00+02:00"), ("2024-05-01T12:00", "2024-05-01T12:00:00"), ("2024-05-01", "2024-05-01T00:00:00")):
+        assert dataset.coverage_stamp(spark.createDataFrame([(given,)], "created_at string")).first().synced_at == want
     later = spark.createDataFrame([("2026-01-02T03:04:05.678+00:00",), ("2026-01-02T06:04:06.5+02:00",)], "created_at string")
     assert dataset.coverage_stamp(later).first().synced_at == "2026-01-02T06:04:06+02:00"
     assert dataset.coverage_stamp(rows.where("created_at = 'not-a-date'")).first().synced_at is None
@@ -68,6 +70,22 @@ def test_config_violations(spark, row, no):
         validate.require_valid(bad)
 
 
+def test_first_violation_is_the_first_in_config_order(spark):
+    rows = [("zz", "p", None, None, [], None, None, None), ("aa", "p", "wat", None, OK, None, None, None)]
+    with pytest.raises(ValueError, match="zz: no sources"):
+        validate.require_valid(config(spark, rows))
+    with pytest.raises(ValueError, match="aa: duplicate"):
+        validate.require_valid(config(spark, [*rows, ("aa", "p", None, None, OK, None, None, None)]))
+    sources = [("f", "p", None, None, OK, None, "reexports", ["d", "x", "f"]), ("d", "q", "dependency", "f", OK, None, None, None)]
+    with pytest.raises(ValueError, match="unknown provider x"):
+        validate.require_valid(config(spark, sources))
+
+
+def test_merged_index_keeps_config_order(spark):
+    synced, carried = spark.createDataFrame([(2, "c"), (0, "a")], "ord int, id string"), spark.createDataFrame([(1, "b", "d")], "ord int, id string, description string")
+    assert [r.id for r in index.merged_index(synced, carried).collect()] == ["a", "b", "c"]
+
+
 def test_member_rules_and_unsafe_paths(spark):
     rows = [("p-1/Cargo.toml", 0o664), ("p-1/src/lib.rs", 0o600), ("p-1/README.md", 0o644), ("p-1/tests/it.rs", 0o644), ("Cargo.toml", 0o644), ("p-1/build.rs", 0o775)]
     m = spark.createDataFrame([("p", "1", *r, bytearray(b"x")) for r in rows], "package string, vers string, path string, mode int, content binary")

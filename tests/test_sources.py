@@ -1,5 +1,8 @@
 import json
 
+from pyspark.sql import functions as F
+
+from releaselake.operators import attest, files
 from releaselake.sources import readers, writers
 
 
@@ -8,7 +11,7 @@ def test_readers_keep_order_and_defaults(spark, tmp_path):
     lines = [{"vers": "1.0.0", "cksum": "a", "yanked": False, "features": {"f": []}, "deps": [{"name": "serde", "req": "^1"}]}, {"vers": "1.0.1", "cksum": "b"}]
     (tmp_path / "rows/pk").write_text("\n\n".join(json.dumps(x) for x in lines) + "\n")
     got = readers.registry_rows(spark, str(tmp_path / "rows")).orderBy("ord").collect()
-    assert [(r.package, r.vers) for r in got] == [("pk", "1.0.0"), ("pk", "1.0.1")] and got[0].deps[0].kind is None and got[1].features is None
+    assert [(r.package, r.vers, r.ord) for r in got] == [("pk", "1.0.0", 0), ("pk", "1.0.1", 2)] and got[0].deps[0].kind is None and got[1].features is None
     (tmp_path / "api").mkdir()
     (tmp_path / "api/pk.json").write_text(json.dumps({"crate": {"repository": "r", "description": None}, "versions": [{"num": "1.0.0", "rust_version": "1.1"}, {"num": "1.0.0", "rust_version": "1.2"}]}))
     assert [(r.package, r.rust_version) for r in readers.api_versions(spark, str(tmp_path / "api")).collect()] == [("pk", "1.2")]
@@ -23,7 +26,10 @@ def test_index_round_trip_and_missing_files(spark, tmp_path):
     assert sorted((r.id, r.cksum, r.blob) for r in flat.collect()) == [("1", "z", "b/1"), ("2", "y", "b/2")]
     writers.write_index(flat, str(tmp_path / "out"))
     line = json.loads(spark.read.text(str(tmp_path / "out")).first().value)
-    assert line["provider_id"] == "p" and [r["id"] for r in line["sources"][0]["releases"]] == ["2", "1"]
+    assert line["schema"] == "index.v1" and line["providers"][0]["id"] == "p" and [r["id"] for r in line["providers"][0]["sources"][0]["releases"]] == ["2", "1"]
+    assert line["providers"][0]["sources"][0]["releases"][1]["meta"]["yanked"] is False and list(line) == sorted(line)
+    again = readers.corpus_index(spark, str(tmp_path / "out"))
+    assert sorted((r.id, r.cksum, r.blob) for r in again.collect()) == [("1", "z", "b/1"), ("2", "y", "b/2")]
     assert writers.content_digest(flat.select("id", "cksum")).first().sha256 == writers.content_digest(flat.select("cksum", "id").repartition(3)).first().sha256
 
 
@@ -35,3 +41,45 @@ def test_surfaces_and_curated_sections(spark, tmp_path):
     (tmp_path / "c.json").write_text(json.dumps({"companions": {"a": {"package": "x", "pin": "mirror"}, "b": {"package": "y", "pin": {"fixed": "0.1.0"}}}}))
     got = {r.provider_id: (r.pin_kind, r.pin_fixed) for r in readers.companions(readers.curated(spark, str(tmp_path / "c.json"), "companions")).collect()}
     assert got == {"a": ("mirror", None), "b": ("fixed", "0.1.0")}
+
+
+def test_attestations_round_trip_and_gate(spark, tmp_path):
+    here = spark.createDataFrame([("t", "r", "d")], "tool string, rustc string, rustdoc string")
+    doc = "struct<sha256:string,schema:string>"
+    rows = spark.createDataFrame([("p", "1", "c", "l", None, ("s", "v1"), None), ("a", "1/x", "c", None, "1.85", None, None)], f"package string, vers string, cksum string, lock string, floor string, tvm {doc}, eac {doc}")
+    writers.write_attestations(rows, str(tmp_path / "out"), here)
+    entries, recorded = readers.attestation_index(spark, str(tmp_path / "out"))
+    assert sorted(map(tuple, entries.collect())) == sorted(map(tuple, rows.collect()), key=str) and recorded.count() == 1
+    assert attest.usable_entries(entries, recorded, here, "attestations.v1").count() == 2
+    assert attest.usable_entries(entries, recorded, here, "v0").count() == attest.usable_entries(entries, recorded, here.withColumn("rustc", F.lit("x")), "attestations.v1").count() == 0
+    assert readers.attestation_index(spark, str(tmp_path / "none"))[0].count() == 0
+
+
+def test_attestation_docs_and_blobs(spark, tmp_path):
+    for kind, text in (("tvm", '{"schema": "v1"}'), ("eac", "not json")):
+        (tmp_path / kind / "p").mkdir(parents=True)
+        (tmp_path / kind / "p" / "1.0.0.json").write_text(text)
+    got = {r.kind: (r.package, r.vers, r.schema, len(r.sha256)) for r in readers.attestation_docs(spark, str(tmp_path)).collect()}
+    assert got == {"tvm": ("p", "1.0.0", "v1", 64), "eac": ("p", "1.0.0", None, 64)}
+    members = spark.createDataFrame([("p", "1.0.0", "top/src/b.rs", 0o644, bytearray(b"b")), ("p", "1.0.0", "top/Cargo.toml", 0o644, bytearray(b"a"))], "package string, vers string, path string, mode int, content binary")
+    blob, other = (bytes(files.packed(m).first().content) for m in (members, members.orderBy("path")))
+    assert blob == other
+    (tmp_path / "s" / "p").mkdir(parents=True)
+    (tmp_path / "s" / "p" / "1.0.0.tar.gz").write_bytes(blob)
+    blobs = readers.release_blobs(spark, str(tmp_path / "s"))
+    assert sorted((r.package, r.vers, r.path, bytes(r.content)) for r in files.unpacked(blobs).collect()) == [("p", "1.0.0", "top/Cargo.toml", b"a"), ("p", "1.0.0", "top/src/b.rs", b"b")]
+    releases = spark.createDataFrame([("f", "p", "1.0.0", "x"), ("g", "p", "1.0.0", None)], "provider_id string, package string, vers string, blob string")
+    one = lambda i: files.extracted(spark.createDataFrame([(i,)], "id string"), releases, blobs).count()
+    assert (one("f"), one("g")) == (2, 0)
+
+
+def test_provider_config_reads_in_order(spark, tmp_path):
+    providers = [{"id": "b", "package": "pb", "sources": [{"kind": "registry-index"}], "surface_source": {"kind": "reexports", "from": ["a"]}}, {"id": "a", "package": "pa", "role": "dependency", "for": "b", "exclude": ["1.0.0"], "sources": [{"kind": "registry-index"}]}]
+    (tmp_path / "c.json").write_text(json.dumps({"recommended_provider": "b", "providers": providers}, indent=1))
+    got = readers.provider_config(spark, str(tmp_path / "c.json")).orderBy("ord").collect()
+    assert [(r.id, r.served_id, r.is_facade, r.surface_from, r.exclude) for r in got] == [("b", None, True, ["a"], None), ("a", "b", False, None, ["1.0.0"])]
+
+
+def test_canonical_json_orders_every_level(spark):
+    df = spark.createDataFrame([(({"b": 1, "a": None}, None, [("y", 1)]),)], "z struct<m:map<string,int>,a:struct<q:int>,l:array<struct<t:string,s:int>>>")
+    assert writers.canonical_json(df).first().json == '{"z":{"a":null,"l":[{"s":1,"t":"y"}],"m":{"a":null,"b":1}}}'

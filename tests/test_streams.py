@@ -1,6 +1,9 @@
+import re
+
 import pytest
 
 from releaselake.plans import QUERIES
+from releaselake.streaming import sync
 
 EVENTS = [(1, 10, "a", '{"k": 1}'), (2, 10, "b", '{"k": 2}'), (3, 11, "a", '{"k": 1}')]
 
@@ -13,3 +16,18 @@ def test_stream_sync_takes_in_a_file_or_a_directory(spark, tmp_path, parts):
     else:
         df.toPandas().to_parquet(f"{tmp_path}/events.parquet")
     assert {(r.provider_id, r.id) for r in QUERIES["stream_sync"](spark, str(tmp_path)).collect()} == {("prov-10", "1.0.0"), ("prov-10", "2.0.0"), ("prov-11", "1.0.0")}
+
+
+def test_batches_that_disagree_and_pruned_partitions(spark, tmp_path):
+    """A later batch moves one digest and repeats another; only the partitions of its providers are read."""
+    kinds = "provider_id string, kind string, id string, package string, cksum string, seq long"
+    arriving, index = str(tmp_path / "in"), str(tmp_path / "index")
+    for n, rows in enumerate([[("p", "k", "1", "pk", "a", 1), ("q", "k", "1", "qk", "b", 2)], [("p", "k", "1", "pk", "z", 3), ("p", "k", "2", "pk", "c", 4)], [("p", "k", "1", "pk", "a", 5)]]):
+        spark.createDataFrame(rows, kinds).coalesce(1).write.mode("append").parquet(arriving)
+        sync.run_available(spark.readStream.schema(kinds).parquet(arriving), index, str(tmp_path / "cp")).awaitTermination()
+        got = sorted((r.provider_id, r.id, r.cksum) for r in sync.read_index(spark, index).collect())
+        assert got == [[("p", "1", "a"), ("q", "1", "b")], [("p", "1", "a"), ("p", "1", "z"), ("p", "2", "c"), ("q", "1", "b")], [("p", "1", "a"), ("p", "1", "z"), ("p", "2", "c"), ("q", "1", "b")]][n]
+    b = sync.read_index(spark, index).where("provider_id = 'q'").select(sync.bucket().alias("b")).first().b
+    pruned = sync.read_index(spark, index, [b])
+    assert [r.b for r in pruned.select(sync.bucket().alias("b")).distinct().collect()] == [b]
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket#", pruned._jdf.queryExecution().toString())
