@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next one's
 docs. All but the last return the columns of documents. The stages learn from labels or decide by models, which SQL does not
 express, so that the whole is tested against the operators one by one and against brute force.
+
+Null and empty texts are clean, copies of nothing, hold no personal data and are packed as one separator; null texts stay null until then.
+Rows with a null id, and rows that share an id, are judged by their own texts; of equal rows, and of rows with equal texts, one stays. Very long texts
+are read whole. Without labels nothing is toxic, and no documents give no sequences. Further columns of documents pass through all stages but the last.
 """
 
 from __future__ import annotations

@@ -107,7 +107,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, int], np.ndarra
     open_ = doc_texts(docs).where(fold(key) != 1)
     n = open_.select("doc_id").count()
     drawn = hash_fraction(key, 9) < min(1.0, MOST_UNLABELLED / max(n, 1))
-    marked = open_.join(F.broadcast(chosen.limit(2 * MOST_POSITIVE)), "doc_id", "left").withColumn("drawn", drawn)
+    marked = open_.join(F.broadcast(chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * MOST_POSITIVE)), "doc_id", "left").withColumn("drawn", drawn)
     sample = materialize(marked.where("confirmed or drawn").select("doc_id", "text", F.coalesce("confirmed", F.lit(False)).alias("confirmed"), "drawn"), "toxicity-sample")
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -374,10 +374,37 @@ def test_toxicity_learns_from_positives_and_unlabelled(spark, edge, none):
     assert np.mean([got[i].predicted == (i % 8 == 0) for i in held]) > 0.98
     assert toxicity.score(edge, lab.where("false")).agg({"score": "max"}).first()[0] == 0.0
     assert toxicity.score(none, lab).count() == 0 and toxicity.score(edge, lab).count() == len(TEXTS)
+    vocabulary, weights, bias = toxicity.train(docs, lab)
+    texts, toxic = dict(rows), {i for i, t in labels if t and zlib.crc32(str(i).encode()) % 3 != 1}
+    strings = {i: {s for w in re.findall(r"\w+", t.lower()) for s in [w, *(w[:n] + "*" for n in (3, 4, 5, 6) if len(w) >= n)]} for i, t in texts.items()}
+    open_ = [i for i in texts if zlib.crc32(str(i).encode()) % 3 != 1]
+    n_p, n_u, want = len(toxic), len(open_), set()
+    for s in set().union(*strings.values()):
+        p, u = sum(s in strings[i] for i in toxic), sum(s in strings[i] for i in open_)
+        share, usual = p / n_p, (u + 1) / (n_u + 2)
+        if p >= 3 and share > 2 * usual and (share - usual) / np.sqrt(usual * (1 - usual) / n_p) >= toxicity.LEAST_Z:
+            want.add(s)
+    assert set(vocabulary) == want
+    for i in (0, 1, 8, 9):
+        x = sum(weights[vocabulary[s]] for s in strings[i] & want) + bias
+        assert abs(got[i].score - 1 / (1 + np.exp(-x))) < 1e-9
     kept = toxicity.clean(docs, lab)
     assert {r.doc_id for r in kept.collect()} == {i for i in got if not got[i].predicted}
 
 
+def test_training_lowers_the_stated_risk():
+    rng = np.random.default_rng(4)
+    rows = [sorted(set(rng.integers(0, 12 if k < 40 else 30, 4).tolist())) for k in range(300)]
+    positive, prior = np.arange(300) < 40, 0.2
+
+    def risk(weights, bias):
+        s = np.array([1 / (1 + np.exp(-(weights[r].sum() + bias))) for r in rows])
+        return prior * (1 - s[positive]).mean() + max(0.0, s[~positive].mean() - prior * s[positive].mean())
+
+    weights, bias = toxicity.fit(rows, positive, prior, 30)
+    assert risk(weights, bias) < 0.8 * risk(np.zeros(31), -1.0) and risk(weights, bias) <= min(risk(weights + rng.normal(0, 1, 31), bias + rng.normal()) for _ in range(20)) + 0.02
+
+
 def test_risk_never_goes_below_zero_part():
     rows = [[0]] * 30 + [[1]] * 30 + [[0]] * 10 + [[1]] * 90
     weights, bias = toxicity.fit(rows, np.array([True] * 30 + [False] * 130), 0.1, 2)

@@ -1,13 +1,17 @@
 import hashlib
 import random
 import time
+import zlib
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from releaselake.llm import ann, chat, common, html_text
+from releaselake.llm import ann, chat, common, html_text, pii, toxicity
+
+from .test_documents import slow_components, slow_sets
 
 
 def test_search_equals_brute_force_with_ties_and_bad_vectors(spark):
@@ -198,6 +202,60 @@ def test_broken_pages_take_linear_time(unit):
     assert time.process_time() - start < 8
 
 
+class Slow(HTMLParser):
+    """Blocks of well-formed pages by the standard parser."""
+
+    def __init__(self, source):
+        super().__init__(convert_charrefs=True)
+        self.blocks, self.text = [], []
+        self.feed(source)
+        self.close()
+        self.cut()
+
+    def cut(self):
+        if s := " ".join("".join(self.text).split()):
+            self.blocks.append(s)
+        self.text = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in html_text.TAG:
+            self.cut()
+        elif tag == "br":
+            self.text.append(" ")
+
+    def handle_endtag(self, tag):
+        if tag in html_text.TAG:
+            self.cut()
+
+    def handle_data(self, data):
+        self.text.append(data)
+
+
+def test_blocks_equal_the_standard_parser():
+    rng = random.Random(11)
+
+    def made(depth):
+        out = []
+        for _ in range(rng.randint(1, 4)):
+            kind = rng.choice(["text", "text", "ref", "inline", "block", "br", "comment"])
+            if kind == "text" or depth == 0:
+                out.append(rng.choice(["one ", " two", "a  b\n", "x<1 ", "é中 "]))
+            elif kind == "ref":
+                out.append(rng.choice(["&amp;", "&lt;p&gt;", "&#233;", "&nbsp;", "&copy; "]))
+            elif kind == "comment":
+                out.append("<!-- <p>no</p> -->")
+            elif kind == "br":
+                out.append("<br/>")
+            else:
+                tag = rng.choice(["b", "a", "span", "em"] if kind == "inline" else ["div", "section", "ul", "blockquote", "article", "h2"])
+                out.append(f'<{tag} class="x > y" title=\'q\'>{made(depth - 1 if kind == "block" else 0)}</{tag}>')
+        return "".join(out)
+
+    for _ in range(400):
+        source = made(4)
+        assert [s for _, s, _ in html_text.Page(source).blocks] == Slow(source).blocks, source
+
+
 def test_deep_pages_stay_quick():
     deep = html_text.Page("<div>" * 20_000 + "x" + "</div>" * 20_000)
     x = html_text.matrix([deep, html_text.Page("<p>a</p>")])
@@ -219,6 +277,56 @@ def test_decoding_is_the_best_consistent_choice():
         assert fine(got) and abs(sum(score[i, s] for i, s in enumerate(got)) - max(sum(score[i, k] for i, k in enumerate(s)) for s in every)) < 1e-9
 
 
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    rng = random.Random(21)
+    say = lambda: [rng.choice("alpha beta gamma delta eps zeta".split()) + str(rng.randint(0, 60)) for _ in range(rng.choice([3, 30, 60]))]
+    base = [say() for _ in range(25)]
+    rows = []
+    for i in range(240):
+        w = list(rng.choice(base))
+        if rng.random() < 0.4:
+            w[rng.randrange(len(w))] = f"y{rng.randint(0, 99)}"
+        if i % 7 == 0:
+            w += rng.choice(["you vile scum", "utter scum vile"]).split() * 2
+        if i % 5 == 0:
+            w.insert(rng.randrange(len(w)), rng.choice(["a.b@c.de", "10.0.0.1", "4111 1111 1111 1111", "+1 (988) 555-2485"]))
+        rows.append((i * 3, " ".join(w)))
+    rows += [(1001, None), (1002, ""), (1003, " \n ")]
+    spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit("en"), "key": F.lit("k"), "n_chars": F.length("text").cast("long"), "rep": F.lit(1)}).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i % 21 == 0)) for i, _ in rows if i < 720], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs, labels = (spark.read.parquet(f"{tmp_path}/{t}.parquet") for t in ("documents", "labels"))
+    rejected = {r.doc_id for r in toxicity.score(docs, labels).collect() if r.predicted}
+    assert rejected and all(i % 21 == 0 for i in rejected)
+    left = {i: t for i, t in rows if i not in rejected}
+    component = slow_components(slow_sets(left.items()))
+    kept = {i: t for i, t in left.items() if component[i] == i}
+    assert len(kept) < len(left)
+    kept_rows = spark.createDataFrame(list(kept.items()), "doc_id long, text string")
+    weights = pii.fit(pii.sample_windows(kept_rows))
+    model, want = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), set()
+    for i, t in kept.items():
+        out, last, t = "", 0, t or ""
+        base_spans, added = pii.find(t.encode(), weights)
+        for k, s, e in sorted(base_spans + added, key=lambda x: (x[1], -x[2])):
+            out, last = (out + t[last:s] + f"[{k.upper()}]" if s >= last else out), max(last, e)
+        ids = np.array([*model.encode(out + t[last:], add_special_tokens=False).ids, 0], "<u4")
+        want |= {(i, k, k * 2048, len(p), zlib.crc32(p.tobytes())) for k in range(-(-len(ids) // 2048)) for p in [ids[k * 2048 : (k + 1) * 2048]]}
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len(got) == len(want) and {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got} == want
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a b"), (None, None), (1, "a b"), (1, "c d")], "doc_id long, text string")
+    for name, part in (("none", docs.where("false")), ("few", docs)):
+        part.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+    assert sorted(str(r.doc_id) for r in corpus_pipeline.run(spark, f"{tmp_path}/few").collect()) == ["1", "1", "None"]
+
+
 def test_pipeline_stages(spark, edge, tmp_path):
     rng = random.Random(7)
     rows = [(r.doc_id, r.text) for r in edge.select("doc_id", "text").collect()] + [(100 + i, " ".join(rng.choice("a b c d e f g h".split()) + str(rng.randint(0, 99)) for _ in range(30)) + (" you vile scum" if i % 5 == 0 else " mail a.b@c.de")) for i in range(200)]
