@@ -211,20 +211,31 @@ def visits(leaves: DataFrame, facades: DataFrame) -> DataFrame:
 
 
 def projected(items: DataFrame, visited: DataFrame) -> DataFrame:
-    """Layer items that the visits select, renamed and with their gates joined: facade_id, vers, visit_ord, pos, key, digest, cfg, from_package."""
+    """Layer items that the visits select, renamed and with their gates joined: facade_id, vers, visit_ord, pos, key, digest, cfg, from_package, and what
+    else the items have (texts, docs, members), but for ``src``, which names a place in another package."""
+    rest = _rest(items)
     chosen = visited.where("target is not null").withColumnRenamed("target", "package").withColumnRenamed("alias", "as_name")
     layers = chosen.select("package").distinct()
-    named = items.where(~is_use(F.col("key"))).join(layers, "package", "left_semi").select("package", "vers", "pos", "key", "digest", "cfg")
+    named = items.where(~is_use(F.col("key"))).join(layers, "package", "left_semi").select("package", "vers", "pos", "key", "digest", "cfg", *rest)
     whole = chosen.where("module = ''").join(named, ["package", "vers"])
     exploded = named.withColumn("module", F.explode(name_prefixes(item_name(F.col("key")))))
     part = chosen.where("module <> ''").join(exploded, ["package", "vers", "module"])
     key = renamed(F.col("key"), F.col("module"), F.col("as_name"))
-    return whole.unionByName(part).select("facade_id", "vers", "visit_ord", "pos", key.alias("key"), "digest", joined_gates(F.col("gates"), F.col("cfg")).alias("cfg"), F.col("package").alias("from_package"))
+    return whole.unionByName(part).select("facade_id", "vers", "visit_ord", "pos", key.alias("key"), "digest", joined_gates(F.col("gates"), F.col("cfg")).alias("cfg"), F.col("package").alias("from_package"), *(_no_src(items, c) for c in rest))
+
+
+def _rest(items: DataFrame) -> list[str]:
+    return [c for c in items.columns if c not in ("package", "vers", "pos", "key", "digest", "cfg")]
+
+
+def _no_src(items: DataFrame, name: str) -> Column:
+    return F.lit(None).cast(items.schema[name].dataType).alias(name) if name == "src" else F.col(name)
 
 
 def facade_surface(items: DataFrame, facades: DataFrame, visited: DataFrame) -> DataFrame:
-    """The composed surface: own items, own lines and projected items, each (key, digest, cfg) once, the first in that order; own cfg stays as given."""
-    own = items.join(facades, "package").select("facade_id", "vers", F.when(is_use(F.col("key")), 1).otherwise(0).alias("origin"), F.lit(0).alias("visit_ord"), "pos", "key", "digest", "cfg", F.lit(None).cast("string").alias("from_package"))
+    """The composed surface: own items, own lines and projected items, each (key, digest, cfg) once, the first in that order with its other columns; own cfg stays as given."""
+    rest = _rest(items)
+    own = items.join(facades, "package").select("facade_id", "vers", F.when(is_use(F.col("key")), 1).otherwise(0).alias("origin"), F.lit(0).alias("visit_ord"), "pos", "key", "digest", "cfg", F.lit(None).cast("string").alias("from_package"), *rest)
     added = projected(items, visited).withColumn("origin", F.lit(2))
     every = own.unionByName(added)
     return keep_first(every, ["facade_id", "vers", "key", "digest", "cfg"], [F.col("origin"), F.col("visit_ord"), F.col("pos")]).drop("origin", "visit_ord", "pos")
@@ -251,7 +262,21 @@ def compositions(items: DataFrame, facades: DataFrame, surface: DataFrame) -> Da
     return own.join(made, ["facade_id", "vers"]).select("facade_id", "vers", "own", "items", added.alias("added"), F.when(added != 0, F.col("hash")).alias("api_hash"))
 
 
-def compose(versions: DataFrame, composed: DataFrame) -> DataFrame:
-    """Dataset versions with the composed hash in place of the measured one where a composition added items."""
+def provenance(composed: DataFrame, report: DataFrame, boundaries: DataFrame, kind: str = "reexports") -> DataFrame:
+    """facade_id, vers, composed_surface struct<kind, sources, items_added, unresolved> of releases that a composition changed; sources in declared order, boundaries sorted.
+
+    ``report`` as ``source_report`` gives it, ``boundaries`` as ``unresolved`` does."""
+    sources = report.groupBy("facade_id", "vers").agg(F.array_sort(F.collect_list(F.struct("ord", "package", "vers", "mode"))).alias("_sources"))
+    missing = boundaries.groupBy("facade_id", "vers").agg(F.array_sort(F.collect_set("boundary")).alias("_unresolved"))
+    out = composed.where("added <> 0").select("facade_id", "vers", "added").join(sources, ["facade_id", "vers"], "left").join(missing, ["facade_id", "vers"], "left")
+    plain = F.transform(F.coalesce("_sources", F.array().cast(sources.schema["_sources"].dataType)), lambda s: F.struct(s["package"].alias("package"), s["vers"].alias("vers"), s["mode"].alias("mode")))
+    none = F.array().cast("array<string>")
+    record = F.struct(F.lit(kind).alias("kind"), plain.alias("sources"), F.col("added").alias("items_added"), F.coalesce("_unresolved", none).alias("unresolved"))
+    return out.select("facade_id", "vers", record.alias("composed_surface"))
+
+
+def compose(versions: DataFrame, composed: DataFrame, origin: DataFrame | None = None) -> DataFrame:
+    """Dataset versions with the composed hash in place of the measured one where a composition added items, and with its provenance if given."""
     new = composed.where("added <> 0").select(F.col("facade_id").alias("provider_id"), "vers", F.col("api_hash").alias("_hash"), "added")
-    return versions.join(new, ["provider_id", "vers"], "left").withColumn("api_hash", F.coalesce("_hash", "api_hash")).withColumn("items_added", F.col("added")).drop("_hash", "added")
+    out = versions.join(new, ["provider_id", "vers"], "left").withColumn("api_hash", F.coalesce("_hash", "api_hash")).withColumn("items_added", F.col("added")).drop("_hash", "added")
+    return out if origin is None else out.join(origin.withColumnRenamed("facade_id", "provider_id"), ["provider_id", "vers"], "left")

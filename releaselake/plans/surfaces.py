@@ -141,6 +141,30 @@ def composed_dataset(v: View) -> DataFrame:
     return reexports.compose(versions, reexports.compositions(items, _facades(v), reexports.facade_surface(items, _facades(v), visited))).select("provider_id", "vers", "api_hash", "items_added")
 
 
+@query("WITH " + SURFACE_SQL + """,
+own AS (SELECT facade_id, vers, count(*) AS own FROM (SELECT facade_id, i.vers FROM fac f JOIN it i ON i.k = f.k AND i.vers = f.vers UNION ALL SELECT concat('prov-', k), vers FROM {use_items} WHERE k % 5 = 0) GROUP BY ALL),
+mk AS (SELECT facade_id, vers, count(*) AS items FROM sf GROUP BY ALL), meas AS (SELECT DISTINCT k, vers FROM {own_items}),
+ly AS (SELECT f.facade_id, f.vers, f.k, e.ord, e.package, m.k IS NOT NULL AS there FROM fac f JOIN {entities} e ON e.ord IN (f.k + 1, f.k + 2) LEFT JOIN meas m ON m.k = e.ord AND m.vers = f.vers),
+sr AS (SELECT facade_id, vers, string_agg(concat(package, '@', vers, '=', CASE WHEN NOT there THEN 'missing' WHEN ord = k + 1 THEN 'glob' ELSE 'filtered' END), ',' ORDER BY ord) AS sources FROM ly GROUP BY ALL),
+bd AS (SELECT facade_id, vers, concat(package, '@', vers, ' (not measured)') AS boundary FROM ly WHERE NOT there
+       UNION SELECT DISTINCT f.facade_id, f.vers, 'ext_3 (external crate)' FROM fac f JOIN {deps} d ON d.package = f.package AND d.vers = f.vers AND d.name = 'ext_3' AND d.kind = 'normal'),
+un AS (SELECT facade_id, vers, string_agg(boundary, ',' ORDER BY boundary) AS unresolved FROM bd GROUP BY ALL)
+SELECT o.facade_id AS provider_id, o.vers, 'reexports' AS kind, m.items - o.own AS items_added, coalesce(sr.sources, '') AS sources, coalesce(un.unresolved, '') AS unresolved
+FROM own o JOIN mk m USING (facade_id, vers) LEFT JOIN sr USING (facade_id, vers) LEFT JOIN un USING (facade_id, vers) JOIN {entities} e ON e.id = o.facade_id WHERE m.items <> o.own
+""")
+def composed_provenance(v: View) -> DataFrame:
+    """Which layers a composed release took its items from, how many it gained, and what stayed unresolved."""
+    rows = v("releases").withColumn("kind", F.lit("registry-index"))
+    items, visited = _visited(v)
+    composed = materialize(reexports.compositions(items, _facades(v), reexports.facade_surface(items, _facades(v), visited)), "composed")
+    layers = v("entities").where("role = 'dependency'").select(F.col("served_id").alias("facade_id"), "ord", "package")
+    report = reexports.source_report(layers, visited, items.select("package", "vers"), items.join(_facades(v), "package").select("facade_id", "vers"))
+    made = reexports.compose(dataset.contract_versions(v("entities"), rows), composed, reexports.provenance(composed, report, reexports.unresolved(visited)))
+    c = F.col("composed_surface")
+    named = F.transform(c["sources"], lambda s: F.concat(s["package"], F.lit("@"), s["vers"], F.lit("="), s["mode"]))
+    return made.where(c.isNotNull()).select("provider_id", "vers", c["kind"].alias("kind"), c["items_added"].alias("items_added"), F.array_join(named, ",").alias("sources"), F.array_join(c["unresolved"], ",").alias("unresolved"))
+
+
 @query("""
 WITH d AS (SELECT DISTINCT package, vers, key, digest, cfg1 FROM {own_items})
 SELECT package, vers, count(*) AS items, sha256(string_agg(concat(key, chr(0), digest, chr(0), cfg1), chr(0) ORDER BY key, digest, cfg1)) AS api_hash FROM d GROUP BY package, vers

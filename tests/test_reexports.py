@@ -89,3 +89,20 @@ def test_compose_replaces_only_what_changed(spark):
     composed = spark.createDataFrame([("f", "1", 1, 3, 2, "new"), ("f", "2", 1, 1, 0, None)], "facade_id string, vers string, own long, items long, added long, api_hash string")
     got = {(r.provider_id, r.vers): (r.api_hash, r.items_added) for r in reexports.compose(versions, composed).collect()}
     assert got == {("f", "1"): ("new", 2), ("f", "2"): ("old", None), ("g", "1"): (None, None)}
+
+
+def test_survivors_keep_their_other_columns(spark):
+    """An own duplicate keeps its source, a projected item loses it, and both keep texts and members."""
+    kinds = ITEM + ", text string, members string, src struct<file:string,start:int>"
+    rows = [("facade", "1", 0, "struct:App", "d", [], "own", None, ("a.rs", 1)), ("facade", "1", 1, "use:pub use x_authoring :: * ;", "u", [], "line", None, None), ("authoring", "1", 0, "struct:App", "d", [], "theirs", "m", ("b.rs", 2)), ("authoring", "1", 1, "fn:f", "e", [], "f text", "m", ("b.rs", 3))]
+    items = spark.createDataFrame(rows, kinds)
+    facades = spark.createDataFrame([("f", "facade")], "facade_id string, package string")
+    graph = spark.createDataFrame(GRAPH, "facade_id string, lib_name string, package string")
+    none = spark.createDataFrame([], "package string, vers string, name string")
+    visited = reexports.visits(reexports.resolved_leaves(items, items.select("package", "vers").distinct(), graph, facades, none), facades).cache()
+    surface = reexports.facade_surface(items, facades, visited)
+    assert {(r.key, r.text, r.members, r.src and r.src.file) for r in surface.collect()} == {("struct:App", "own", None, "a.rs"), ("use:pub use x_authoring :: * ;", "line", None, None), ("fn:f", "f text", "m", None)}
+    declared = spark.createDataFrame([("f", 1, "runtime"), ("f", 0, "authoring")], "facade_id string, ord int, package string")
+    report = reexports.source_report(declared, visited, items.select("package", "vers"), items.join(facades, "package"))
+    made = reexports.provenance(reexports.compositions(items, facades, surface), report, reexports.unresolved(visited)).first().composed_surface
+    assert (made.kind, [tuple(s) for s in made.sources], made.items_added, made.unresolved) == ("reexports", [("authoring", "1", "glob"), ("runtime", "1", "missing")], 1, [])
