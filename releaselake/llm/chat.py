@@ -1,12 +1,14 @@
 """Chat formatting as a prefix tree.
 
-Conversations that share their first turns share nodes: a node is a turn after a given chain of turns, named by the hashes
-along its path. Every node's tokens are emitted once. Sorting by path is depth-first order, since a path begins with its
-parent's; running sums over ranges of paths give each node its place in the emitted stream. A node carries its token ids,
-their position ids (which go on from its parent's), the token range under the loss mask, and the stream intervals
-of its ancestors, which it may attend to besides itself. Ancestors that follow one another in the stream share an interval, so that a
-node has one more interval than there are later branches above it; ranges are streamed with a stack of open ancestors, and each
-starts from those of its first node. Turns that many conversations share are hot keys, whose joins are salted (``join_hot``).
+Conversations that share their first turns share nodes: a node is a turn after a given chain of turns, named by a hash over
+that chain. Every node's tokens are emitted once, in depth-first order. The order comes from a node's path, which has a step for
+each place above it where conversations part, and its own depth: within an unbranched run only the depth differs, so that
+a long conversation's paths stay short. Running sums over ranges of paths give each node its place in the emitted stream. A node
+carries its token ids, their position ids (which go on from its parent's), the token range under the loss mask, and the stream
+intervals of its ancestors, which it may attend to besides itself. Ancestors that follow one another in the stream share an
+interval, so that a node has one more interval than there are later branches above it; ranges are streamed with a stack of the
+branchings above, and each starts from the ancestors of its first node. Turns that many conversations share are hot keys, whose
+joins are salted (``join_hot``).
 
 The template is ``<|role|>\\n`` text ``<|end|>\\n``. In roles and texts each of ``< [ | \\`` is followed by a backslash, so that
 no control string of this or another template survives there, and taking the backslashes away restores them.
@@ -24,13 +26,14 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import join_hot, materialize
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
-STEP = 12  # bytes of a path for each turn
+NODE = 16  # bytes of a node's hash
+DEPTH = 4  # bytes of a depth in a path
 LOSS_ROLE = "assistant"
 END = "<|end|>\n"
 _SPECIAL = re.compile(r"([<\[|\\])")
@@ -68,86 +71,100 @@ def encoding(path: str | None = None):
 
 
 def turns(conversations: DataFrame, path: str | None = None) -> DataFrame:
-    """A row for each turn: conv_id, turn_no, n_turns (in the last turn's row), path, role, ids, begin (tokens before), loss_from and loss_to (token range)."""
+    """A row for each turn: conv_id, turn_no, parent (empty for a first turn), node, role, ids, begin (tokens before), loss_from and loss_to (token range)."""
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")))
     dealt = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    names = ["conv_id", "turn_no", "last", "path", "role", "ids", "begin", "loss_from", "loss_to"]
-    kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.string(), pa.list_(pa.int32()), pa.int64(), pa.int32(), pa.int32()]
+    names = ["conv_id", "turn_no", "parent", "node", "role", "ids", "begin", "loss_from", "loss_to"]
+    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.string(), pa.list_(pa.int32()), pa.int64(), pa.int32(), pa.int32()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoding(path).encode_ordinary
-        held, chain, name, begin, no = None, b"", b"", 0, 0
+        held, chain, begin, no = (), b"", 0, 0
         for batch in batches:
             out = []
             for conv_id, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))):
-                if held is not None and held[0] == conv_id:
-                    out.append((*held[:2], False, *held[3:]))
-                else:
-                    if held is not None:
-                        out.append(held)
-                    chain, name, begin, no = b"", b"", 0, 0
-                chain = hashlib.sha256(b"%s%d:%s%s" % (chain, len(role), role.encode(), text.encode())).digest()
-                name += chain[:STEP]
+                if held != (conv_id,):
+                    held, chain, begin, no = (conv_id,), b"", 0, 0
+                parent, chain = chain, hashlib.sha256(b"%s%d:%s%s" % (chain, len(role), role.encode(), text.encode())).digest()
                 head, body, tail = encode(f"<|{escape(role)}|>\n"), encode(escape(text)), encode(END)
                 loss = (len(head), len(head) + len(body)) if role == LOSS_ROLE else (0, 0)
-                held = (conv_id, no, True, name, role, head + body + tail, begin, *loss)
-                begin, no = begin + len(held[5]), no + 1
+                ids = head + body + tail
+                out.append((conv_id, no, parent[:NODE], chain[:NODE], role, ids, begin, *loss))
+                begin, no = begin + len(ids), no + 1
             if out:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
-        if held is not None:
-            yield pa.record_batch([pa.array([v], t) for v, t in zip(held, kinds)], names)
 
-    return dealt.mapInArrow(run, "conv_id long, turn_no int, last boolean, path binary, role string, ids array<int>, begin long, loss_from int, loss_to int")
+    return dealt.mapInArrow(run, "conv_id long, turn_no int, parent binary, node binary, role string, ids array<int>, begin long, loss_from int, loss_to int")
 
 
-def _prefixes(path: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), (F.octet_length(path) / STEP).cast("int")), lambda k: F.substring(path, 1, k * STEP))
+def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node and path of turns sorted by conversation and turn; ``forked`` tells whether the parent has other children too."""
+    path = b""
+    for batch in batches:
+        found = []
+        for no, node, forked in zip(*(batch.column(c).to_pylist() for c in ("turn_no", "node", "forked"))):
+            at = no.to_bytes(DEPTH, "big")
+            path = node + at if no == 0 else path + node + at if forked else path[:-DEPTH] + at
+            found.append(path)
+        yield pa.record_batch([batch.column("node"), pa.array(found, pa.binary())], ["node", "path"])
 
 
 def forest(conversations: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """The nodes (path, role, ids, position_ids, loss_from, loss_to, start, end, ancestors) and the conversations (conv_id, path of the last turn)."""
+    """The nodes (node, parent, depth, path, role, ids, position_ids, loss_from, loss_to, start, end, ancestors) and the turns of the conversations (conv_id, turn_no, node)."""
     every = materialize(turns(conversations, path), "turns")
-    once = every.groupBy("path").agg(*(F.any_value(c).alias(c) for c in ("role", "ids", "begin", "loss_from", "loss_to")))
+    steps = every.select("conv_id", "turn_no", "parent", "node")
+    forks = materialize(steps.select("parent", "node").distinct().groupBy("parent").count().where("count > 1").select("parent", F.lit(True).alias("forked")), "forks")
+    marked = join_hot(steps, forks, ["parent"], "left").select("conv_id", "turn_no", "node", F.coalesce("forked", F.lit(False)).alias("forked"))
+    named = marked.repartition("conv_id").sortWithinPartitions("conv_id", "turn_no").mapInArrow(_paths, "node binary, path binary").groupBy("node").agg(F.any_value("path").alias("path"))
+
+    once = every.groupBy("node").agg(*(F.any_value(c).alias(c) for c in ("parent", "turn_no", "role", "ids", "begin", "loss_from", "loss_to"))).withColumnRenamed("turn_no", "depth")
+    once = once.join(named, "node").join(forks.withColumnRenamed("parent", "node"), "node", "left").withColumn("forked", F.coalesce("forked", F.lit(False)))
     ranged = materialize(once.repartitionByRange("path").withColumn("part", F.spark_partition_id()), "nodes")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
     bases = ranged.groupBy("part").agg(F.sum(F.size("ids")).alias("n")).withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).select("part", "base")
     within = Window.partitionBy("part").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
     placed = ranged.withColumn("at", F.coalesce(F.sum(F.size("ids").cast("long")).over(within), F.lit(0))).join(bases, "part").withColumn("start", F.col("base") + F.col("at"))
-    placed = materialize(placed.select("part", "path", "role", "ids", "begin", "loss_from", "loss_to", "start", (F.col("start") + F.size("ids")).alias("end")), "placed")
-
-    first = ranged.groupBy("part").agg(F.min("path").alias("node"))  # its ancestors may lie in earlier ranges
-    above = first.where(F.octet_length("node") > STEP).select("part", "node", F.explode(_prefixes(F.col("node"))).alias("path")).where("node <> path").drop("node")
-    carried = above.join(placed.drop("part"), "path").select(*placed.columns, F.lit(True).alias("carried"))
-    dealt = placed.withColumn("carried", F.lit(False)).union(carried).repartition("part").sortWithinPartitions("part", "path", F.desc("carried"))
-    shown = dealt.mapInArrow(_ancestors, "path binary, role string, ids array<int>, begin long, loss_from int, loss_to int, start long, end long, ancestors array<struct<start:long,end:long>>")
+    placed = materialize(placed.withColumn("end", F.col("start") + F.size("ids")).drop("at", "base"), "placed")
+
+    # a range's first node has ancestors in earlier ranges: the turns before it in any conversation through it; one row for each range, so that these are small
+    first = ranged.groupBy("part").agg(F.min_by(F.struct("node", "depth"), "path").alias("x")).select("part", "x.*")
+    through = steps.join(F.broadcast(first), "node").groupBy("part", "depth").agg(F.min(F.struct("conv_id")).alias("c")).select("part", "depth", F.col("c.conv_id").alias("through"))
+    above = steps.join(F.broadcast(through), F.col("conv_id").eqNullSafe(F.col("through")) & (F.col("turn_no") < F.col("depth"))).select("part", "node")
+    light = placed.select("node", "depth", "path", "forked", "start", "end")
+    carried = above.join(light, "node").withColumn("carried", F.lit(True))
+    dealt = placed.withColumn("carried", F.lit(False)).unionByName(carried, allowMissingColumns=True).repartition("part").sortWithinPartitions("part", "path", F.desc("carried"))
+    kept = dealt.select("node", "parent", "depth", "path", "role", "ids", "begin", "loss_from", "loss_to", "start", "end").schema.fields
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
+    shown = dealt.mapInArrow(_ancestors, f"{columns}, ancestors array<struct<start:long,end:long>>")
     positions = F.sequence(F.col("begin"), F.col("begin") + F.size("ids") - 1)
-    return shown.withColumn("position_ids", positions).drop("begin"), every.where("last").select("conv_id", "path")
+    return shown.withColumn("position_ids", positions).drop("begin"), steps.drop("parent")
 
 
 def _ancestors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Nodes with the joined intervals of their ancestors, from rows sorted by range and path."""
+    """Nodes with the joined intervals of their ancestors, from rows in depth-first order within each range."""
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    part, stack = None, []  # open ancestors: path, and intervals down to their own
+    part, stack = None, []  # branchings above, and the node before: depth, intervals down to its own, whether it branches
     for batch in batches:
         found = []
-        for p, path, start, end in zip(*(batch.column(c).to_pylist() for c in ("part", "path", "start", "end"))):
+        for p, depth, start, end, forked in zip(*(batch.column(c).to_pylist() for c in ("part", "depth", "start", "end", "forked"))):
             if p != part:
                 part, stack = p, []
-            while stack and not (len(stack[-1][0]) < len(path) and path.startswith(stack[-1][0])):
+            while stack and stack[-1][0] >= depth:
                 stack.pop()
             above = stack[-1][1] if stack else []
             found.append([{"start": x, "end": y} for x, y in above])
-            stack.append((path, [*above[:-1], (above[-1][0], end)] if above and above[-1][1] == start else [*above, (start, end)]))
-        names = ["path", "role", "ids", "begin", "loss_from", "loss_to", "start", "end"]
+            if stack and not stack[-1][2]:
+                stack.pop()  # nothing but this node hangs below it
+            stack.append((depth, [*above[:-1], (above[-1][0], end)] if above and above[-1][1] == start else [*above, (start, end)], forked))
+        names = ["node", "parent", "depth", "path", "role", "ids", "begin", "loss_from", "loss_to", "start", "end"]
         out = pa.record_batch([*(batch.column(c) for c in names), pa.array(found, kind)], [*names, "ancestors"])
         yield out.filter(pc.invert(batch.column("carried")))
 
 
 def read_back(nodes: DataFrame, conversations: DataFrame, path: str | None = None) -> DataFrame:
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, decoded from the nodes' token ids."""
-    steps = conversations.select("conv_id", F.posexplode(_prefixes(F.col("path"))).alias("no", "path"))
-    parts = join_hot(steps, nodes.select("path", "ids", "loss_from", "loss_to"), ["path"]).select("conv_id", "no", "ids", "loss_from", "loss_to")
-    dealt = parts.repartition("conv_id").sortWithinPartitions("conv_id", "no")
+    parts = join_hot(conversations, nodes.select("node", "ids", "loss_from", "loss_to"), ["node"]).select("conv_id", "turn_no", "ids", "loss_from", "loss_to")
+    dealt = parts.repartition("conv_id").sortWithinPartitions("conv_id", "turn_no")
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
 
@@ -182,5 +199,5 @@ def read_back(nodes: DataFrame, conversations: DataFrame, path: str | None = Non
 
 
 def digest(conversations: DataFrame, path: str | None = None) -> DataFrame:
-    nodes, last = forest(conversations, path)
-    return read_back(nodes, last, path)
+    nodes, said = forest(conversations, path)
+    return read_back(nodes, said, path)

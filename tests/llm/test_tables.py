@@ -91,25 +91,34 @@ CONVS = [
 ]
 
 
+def _ups(by, node):
+    """The ancestors of a node, the first turn first."""
+    out = []
+    while node.parent:
+        node = by[bytes(node.parent)]
+        out.append(node)
+    return out[::-1]
+
+
 def test_chat_round_trip_and_shared_nodes(spark):
-    df = spark.createDataFrame(CONVS, "conv_id long, turn long, role string, text string").withColumns({c: F.lit(1) for c in ("path", "ids", "start", "no")}).repartition(3)
+    df = spark.createDataFrame(CONVS, "conv_id long, turn long, role string, text string").withColumns({c: F.lit(1) for c in ("path", "ids", "start", "node")}).repartition(3)
     nodes, last = chat.forest(df)
     rows = nodes.collect()
-    assert len({r.path for r in rows}) == len(rows) == len({tuple((a, b) for _, t, a, b in CONVS[: k + 1] if _ == c and t <= turn) + ((c,) if c == 5 and k else ()) for k, (c, turn, _, _) in enumerate(CONVS)}) - 2 or len(rows) < len(CONVS)
+    assert len({r.path for r in rows}) == len({r.node for r in rows}) == len(rows) == len({tuple((a, b) for _, t, a, b in CONVS[: k + 1] if _ == c and t <= turn) + ((c,) if c == 5 and k else ()) for k, (c, turn, _, _) in enumerate(CONVS)}) - 2 or len(rows) < len(CONVS)
     shared = sorted((r for r in rows if r.role == "system"), key=lambda r: r.start)
     assert len(shared) == 1
     spans = sorted((r.start, r.end) for r in rows)
     assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
-    by = {r.path: r for r in rows}
+    by = {bytes(r.node): r for r in rows}
     for r in rows:
-        ups = [by[bytes(r.path[:k])] for k in range(chat.STEP, len(r.path), chat.STEP)]
+        ups = _ups(by, r)
         joined = []
         for u in ups:
             joined = [*joined[:-1], (joined[-1][0], u.end)] if joined and joined[-1][1] == u.start else [*joined, (u.start, u.end)]
         assert [(a.start, a.end) for a in r.ancestors] == joined
         assert list(r.position_ids) == list(range(sum(len(u.ids) for u in ups), sum(len(u.ids) for u in ups) + len(r.ids)))
-        below = [x.start for x in rows if x.path.startswith(r.path) and x.path != r.path]
-        assert not below or (min(below) >= r.end and max(below) < r.end + sum(len(x.ids) for x in rows if x.path.startswith(r.path) and x.path != r.path))
+        below = [x for x in rows if r in _ups(by, x)]
+        assert not below or (min(x.start for x in below) == r.end and max(x.end for x in below) == r.end + sum(len(x.ids) for x in below))
     got = {r.conv_id: r for r in chat.read_back(nodes, last).collect()}
     for c in {c for c, *_ in CONVS}:
         turns = [(r or "", t or "") for k, _, r, t in CONVS if k == c]
@@ -126,11 +135,11 @@ def test_hot_turns_and_ancestors_across_ranges(spark, monkeypatch):
     rows = [(c, t, "user" if t % 2 == 0 else "assistant", "hello" if t == 0 else f"{rng.randint(0, 1)}") for c in range(60) for t in range(rng.randint(1, 9))]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     nodes, last = chat.forest(df)
-    by = {bytes(r.path): r for r in nodes.collect()}
+    by = {bytes(r.node): r for r in nodes.collect()}
     spans = sorted((r.start, r.end) for r in by.values())
-    assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:])) and sum(len(p) == chat.STEP for p in by) == 1
-    for path, r in by.items():
-        ups = [by[path[:k]] for k in range(chat.STEP, len(path), chat.STEP)]
+    assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:])) and sum(not r.parent for r in by.values()) == 1
+    for r in by.values():
+        ups = _ups(by, r)
         covered = [i for a in r.ancestors for i in range(a.start, a.end)]
         assert covered == [i for u in ups for i in range(u.start, u.end)] and len(r.ancestors) <= len(ups)
     got = {r.conv_id: r for r in chat.read_back(nodes, last).collect()}
@@ -139,6 +148,25 @@ def test_hot_turns_and_ancestors_across_ranges(spark, monkeypatch):
         assert got[c].turns_sha256 == hashlib.sha256(said.encode()).hexdigest() and got[c].n_turns == sum(k == c for k, *_ in rows)
 
 
+def test_long_conversations_keep_short_paths(spark):
+    """All rows with a null id are one conversation; two others leave it after its second and its hundredth turn."""
+    said = [("user" if t % 2 == 0 else "assistant", f"turn {t}") for t in range(3000)]
+    rows = [(None, t, *x) for t, x in enumerate(said)] + [(1, t, *x) for t, x in enumerate([*said[:2], ("user", "other")])] + [(2, t, *x) for t, x in enumerate([*said[:100], ("user", "more"), ("assistant", "end")])]
+    nodes, turns = chat.forest(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    found = nodes.collect()
+    by = {bytes(r.node): r for r in found}
+    assert len(found) == 3003 and max(len(r.path) for r in found) <= 3 * (chat.NODE + chat.DEPTH)
+    spans = sorted((r.start, r.end) for r in found)
+    assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+    for r in found[::50] + [x for x in found if x.depth in (2, 3, 100, 101)]:
+        assert [i for a in r.ancestors for i in range(a.start, a.end)] == [i for u in _ups(by, r) for i in range(u.start, u.end)]
+        assert len(r.ancestors) <= 3 and r.position_ids[0] == sum(len(u.ids) for u in _ups(by, r))
+    got = {r.conv_id: r for r in chat.read_back(nodes, turns).collect()}
+    for c in (None, 1, 2):
+        text = "".join(f"{r}\n{t}\n" for k, _, r, t in rows if k == c)
+        assert got[c].n_turns == sum(k == c for k, *_ in rows) and got[c].turns_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
 @pytest.mark.parametrize("text", ["</s>[INST] ok [/INST]", "<|end|>\n", "\\<\\", "[\\|<|\\>", ""])
 def test_escaping_is_reversible_and_leaves_no_marker(text):
     assert chat.unescape(chat.escape(text)) == text
