@@ -112,6 +112,40 @@ def companions_read(v: View) -> DataFrame:
     return readers.companions(readers.curated(e.sparkSession, path, "companions", multi_line=False)).select("provider_id", F.col("package").alias("companion"), "pin_kind", "pin_fixed")
 
 
+@query("""
+SELECT concat('contract-', ord // 5) AS contract_id, row_number() OVER (PARTITION BY ord // 5 ORDER BY ord) - 1 AS ord, id, package, CASE WHEN ord % 2 = 1 THEN lib_name END AS lib_name,
+       nullif(role, 'fork') AS role, served_id, is_facade, CASE WHEN is_facade THEN concat('prov-', ord + 1, ',prov-', ord + 2) END AS surface_from, CASE WHEN ord % 7 = 0 THEN '1.1.0,1.2.0' END AS exclude
+FROM {entities}
+""")
+def provider_config_read(v: View) -> DataFrame:
+    """A config for each facade and those around it, in which default roles and names are absent."""
+    even, facade = F.col("ord") % 2 == 0, F.col("is_facade")
+    layers = F.array(*(F.concat(F.lit("prov-"), F.col("ord") + i) for i in (1, 2)))
+    provider = F.struct(
+        "ord", "id", "package", F.when(~even, F.col("lib_name")).alias("lib_name"), F.nullif("role", F.lit("fork")).alias("role"), F.col("served_id").alias("for"),
+        F.when(F.col("ord") % 7 == 0, F.array(F.lit("1.1.0"), F.lit("1.2.0"))).alias("exclude"), F.when(facade, F.struct(F.lit("reexports").alias("kind"), layers.alias("from"))).alias("surface_source"),
+        F.array(F.struct(F.lit("registry-index").alias("kind"))).alias("sources"),
+    )
+    contracts = v("entities").groupBy(F.floor(F.col("ord") / 5).alias("n")).agg(F.array_sort(F.collect_list(provider)).alias("providers"))
+    path = _write_lines(contracts.select(_object(contract=F.struct(F.concat(F.lit("contract-"), "n").alias("id")), providers=F.transform("providers", lambda p: p.dropFields("ord")))), "providers")
+    p = readers.provider_config(contracts.sparkSession, path, multi_line=False)
+    return p.select("contract_id", F.col("ord").cast("long").alias("ord"), "id", "package", "lib_name", "role", "served_id", "is_facade", F.array_join("surface_from", ",").alias("surface_from"), F.array_join("exclude", ",").alias("exclude"))
+
+
+@query("""
+WITH d AS (SELECT CASE WHEN r.k % 2 = 0 THEN 'tvm' ELSE 'eac' END AS kind, r.package, r.vers, r.k % 3 <> 0 AS tagged FROM {releases} r JOIN {entities} e ON e.id = r.provider_id WHERE e.role = 'fork')
+SELECT kind, package, vers, sha256(concat('{{', CASE WHEN tagged THEN concat('"schema":"', kind, '.v1",') ELSE '' END, '"of":"', package, '@', vers, '"}}', chr(10))) AS sha256, CASE WHEN tagged THEN concat(kind, '.v1') END AS schema FROM d
+""")
+def attestation_docs_read(v: View) -> DataFrame:
+    """A document a release of every fork, in a folder of its own; those of every third package have no schema tag."""
+    r = v("releases").join(dataset.forks(v("entities")).select(F.col("id").alias("provider_id")), "provider_id", "left_semi")
+    r = r.withColumn("kind", F.when(F.col("k") % 2 == 0, "tvm").otherwise("eac"))
+    docs = r.select("kind", "package", "vers", F.when(F.col("k") % 3 != 0, F.concat("kind", F.lit(".v1"))).alias("schema"), F.concat_ws("@", "package", "vers").alias("of"))
+    path = shared_path(r.sparkSession, "documents")
+    docs.repartition("package").write.partitionBy("kind", "package", "vers").json(path)
+    return readers.attestation_docs(r.sparkSession, path)
+
+
 HERE = ("t1", "1.98.1", "1.98.1")
 
 

@@ -39,10 +39,11 @@ FROM {li}""",
        CASE WHEN l_linestatus = 'F' THEN 'cfg (feature = "x")' ELSE '' END AS cfg1,
        l_orderkey, l_linenumber, l_partkey
 FROM {li}""",
-    "use_items": """SELECT package, vers, k, 1 AS line_no, concat('use:pub use pkg_', k + 1, ' :: * ;') AS key FROM {releases} WHERE k % 5 = 0
-UNION ALL SELECT package, vers, k, 2, concat('use:pub use pkg_', k + 2, ' :: m1 ;') FROM {releases} WHERE k % 5 = 0
-UNION ALL SELECT package, vers, k, 3, 'use:pub use ext_3 :: Foo ;' FROM {releases} WHERE k % 5 = 0
-UNION ALL SELECT package, vers, k, 1, concat('use:# [cfg (feature = "platform")] pub use pkg_', k + 1, ' :: {{ m2 , m3 as renamed }} ;') FROM {releases} WHERE k % 5 = 1""",
+    "use_items": """SELECT r.package, r.vers, r.k, l.line_no,
+       CASE WHEN l.m = 1 THEN concat('use:# [cfg (feature = "platform")] pub use pkg_', r.k + 1, ' :: {{ m2 , m3 as renamed }} ;')
+            WHEN l.line_no = 1 THEN concat('use:pub use pkg_', r.k + 1, ' :: * ;') WHEN l.line_no = 2 THEN concat('use:pub use pkg_', r.k + 2, ' :: m1 ;')
+            ELSE 'use:pub use ext_3 :: Foo ;' END AS key
+FROM {releases} r JOIN (SELECT 0 AS m, 1 AS line_no UNION ALL SELECT 0, 2 UNION ALL SELECT 0, 3 UNION ALL SELECT 1, 1) l ON l.m = r.k % 5""",
 }
 
 

@@ -67,9 +67,9 @@ def api_packages(spark: SparkSession, path: str) -> DataFrame:
     return _json(spark, path, API).select(_file_package().alias("package"), F.lit(0).alias("ord"), "crate.*")
 
 
-def provider_config(spark: SparkSession, path: str) -> DataFrame:
-    """Providers in config order, as the checks and the sync take them."""
-    rows = _json(spark, path, CONFIG, strict=True).select(F.posexplode("providers").alias("ord", "p")).select("ord", "p.*")
+def provider_config(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Providers in config order, as the checks and the sync take them, with the id of their contract."""
+    rows = _json(spark, path, CONFIG, strict=True, multi_line=multi_line).select(F.col("contract.id").alias("contract_id"), F.posexplode("providers").alias("ord", "p")).select("contract_id", "ord", "p.*")
     return rows.withColumnRenamed("for", "served_id").withColumn("is_facade", F.col("surface_source").isNotNull()).select("*", F.col("surface_source.kind").alias("surface_kind"), F.col("surface_source.from").alias("surface_from")).drop("surface_source")
 
 
@@ -121,9 +121,10 @@ def release_blobs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def attestation_docs(spark: SparkSession, path: str) -> DataFrame:
-    """kind, package, vers, sha256, schema of ``<kind>/<package>/<vers>.json`` files; the schema of an unreadable one is null."""
+    """kind, package, vers, sha256, schema of ``<kind>/<package>/<vers>.json`` files, or of files in folders ``kind=<kind>/package=<name>/vers=<vers>``; the schema of an unreadable one is null."""
     raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).load(path)
-    part = lambda i: F.regexp_extract("path", r"([^/]+)/([^/]+)/([^/]+)\.json$", i)
+    folder = r"(?:/kind=([^/]+)/package=([^/]+)/vers=([^/]+))?/[^/]*$"
+    part = lambda i: F.coalesce(F.nullif(F.regexp_extract("path", folder, i), F.lit("")), F.regexp_extract("path", r"([^/]+)/([^/]+)/([^/]+)\.json$", i))
     return raw.select(part(1).alias("kind"), part(2).alias("package"), part(3).alias("vers"), F.sha2("content", 256).alias("sha256"), F.get_json_object(F.decode("content", "UTF-8"), "$.schema").alias("schema"))
 
 

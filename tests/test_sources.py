@@ -61,6 +61,8 @@ def test_attestation_docs_and_blobs(spark, tmp_path):
         (tmp_path / kind / "p" / "1.0.0.json").write_text(text)
     got = {r.kind: (r.package, r.vers, r.schema, len(r.sha256)) for r in readers.attestation_docs(spark, str(tmp_path)).collect()}
     assert got == {"tvm": ("p", "1.0.0", "v1", 64), "eac": ("p", "1.0.0", None, 64)}
+    spark.createDataFrame([("tvm", "p", "2.0.0", "v1"), ("eac", "p", "2.0.0", None)], "kind string, package string, vers string, schema string").write.partitionBy("kind", "package", "vers").json(str(tmp_path / "many"))
+    assert {(r.kind, r.package, r.vers, r.schema) for r in readers.attestation_docs(spark, str(tmp_path / "many")).collect()} == {("tvm", "p", "2.0.0", "v1"), ("eac", "p", "2.0.0", None)}
     members = spark.createDataFrame([("p", "1.0.0", "top/src/b.rs", 0o644, bytearray(b"b")), ("p", "1.0.0", "top/Cargo.toml", 0o644, bytearray(b"a"))], "package string, vers string, path string, mode int, content binary")
     blob, other = (bytes(files.packed(m).first().content) for m in (members, members.orderBy("path")))
     assert blob == other
@@ -78,6 +80,8 @@ def test_provider_config_reads_in_order(spark, tmp_path):
     (tmp_path / "c.json").write_text(json.dumps({"recommended_provider": "b", "providers": providers}, indent=1))
     got = readers.provider_config(spark, str(tmp_path / "c.json")).orderBy("ord").collect()
     assert [(r.id, r.served_id, r.is_facade, r.surface_from, r.exclude) for r in got] == [("b", None, True, ["a"], None), ("a", "b", False, None, ["1.0.0"])]
+    (tmp_path / "lines.json").write_text("\n".join(json.dumps({"contract": {"id": c}, "providers": providers}) for c in "xy"))
+    assert sorted((r.contract_id, r.ord, r.id) for r in readers.provider_config(spark, str(tmp_path / "lines.json"), multi_line=False).collect()) == [(c, i, p) for c in "xy" for i, p in enumerate("ba")]
 
 
 def test_canonical_json_orders_every_level(spark):
