@@ -142,7 +142,8 @@ def attestation_docs_read(v: View) -> DataFrame:
     r = r.withColumn("kind", F.when(F.col("k") % 2 == 0, "tvm").otherwise("eac"))
     docs = r.select("kind", "package", "vers", F.when(F.col("k") % 3 != 0, F.concat("kind", F.lit(".v1"))).alias("schema"), F.concat_ws("@", "package", "vers").alias("of"))
     path = shared_path(r.sparkSession, "documents")
-    docs.repartition("package").write.partitionBy("kind", "package", "vers").json(path)
+    tasks = int(r.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a given number, since small rows in many files would else fall to one task
+    docs.repartition(tasks, "package", "vers").write.partitionBy("kind", "package", "vers").json(path)
     return readers.attestation_docs(r.sparkSession, path)
 
 
