@@ -119,12 +119,12 @@ def forest(conversations: DataFrame, path: str | None = None) -> tuple[DataFrame
 
     once = every.groupBy("node").agg(*(F.any_value(c).alias(c) for c in ("parent", "turn_no", "role", "ids", "begin", "loss_from", "loss_to"))).withColumnRenamed("turn_no", "depth")
     once = once.join(named, "node").join(forks.withColumnRenamed("parent", "node"), "node", "left").withColumn("forked", F.coalesce("forked", F.lit(False)))
-    ranged = materialize(once.repartitionByRange("path").withColumn("part", F.spark_partition_id()), "nodes")
+    ranged = materialize(once.withColumn("n", F.size("ids").cast("long")).repartitionByRange("path").withColumn("part", F.spark_partition_id()), "nodes")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
-    bases = ranged.groupBy("part").agg(F.sum(F.size("ids")).alias("n")).withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).select("part", "base")
+    bases = ranged.groupBy("part").agg(F.sum("n").alias("n")).withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).select("part", "base")
     within = Window.partitionBy("part").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
-    placed = ranged.withColumn("at", F.coalesce(F.sum(F.size("ids").cast("long")).over(within), F.lit(0))).join(bases, "part").withColumn("start", F.col("base") + F.col("at"))
-    placed = materialize(placed.withColumn("end", F.col("start") + F.size("ids")).drop("at", "base"), "placed")
+    placed = ranged.withColumn("at", F.coalesce(F.sum("n").over(within), F.lit(0))).join(bases, "part").withColumn("start", F.col("base") + F.col("at"))
+    placed = placed.withColumn("end", F.col("start") + F.col("n")).drop("at", "base", "n")  # read twice, once without the ids
 
     # a range's first node has ancestors in earlier ranges: the turns before it in any conversation through it; one row for each range, so that these are small
     first = ranged.groupBy("part").agg(F.min_by(F.struct("node", "depth"), "path").alias("x")).select("part", "x.*")
