@@ -3,7 +3,7 @@
 Conversations that share their first turns share nodes: a node is a turn after a given chain of turns, named by a hash over
 that chain. Every node's tokens are emitted once, in depth-first order. The order comes from a node's path, which has a step for
 each place above it where conversations part, and its own depth: within an unbranched run only the depth differs, so that
-a long conversation's paths stay short. Running sums over ranges of paths give each node its place in the emitted stream. A node
+a long conversation's paths stay short. Running sums over ranges of paths give each node its place in the emitted stream (``emit``). A node
 carries its token ids, their position ids (which go on from its parent's), the token range under the loss mask, and the stream
 intervals of its ancestors, which it may attend to besides itself. Ancestors that follow one another in the stream share an
 interval, so that a node has one more interval than there are later branches above it; ranges are streamed with a stack of the
@@ -71,11 +71,11 @@ def encoding(path: str | None = None):
 
 
 def turns(conversations: DataFrame, path: str | None = None) -> DataFrame:
-    """A row for each turn: conv_id, turn_no, parent (empty for a first turn), node, role, ids, begin (tokens before), loss_from and loss_to (token range)."""
+    """A row for each turn: conv_id, turn_no, parent (empty for a first turn), node, role, ids, n (their number), begin (tokens before), loss_from and loss_to (token range)."""
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")))
     dealt = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    names = ["conv_id", "turn_no", "parent", "node", "role", "ids", "begin", "loss_from", "loss_to"]
-    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.string(), pa.list_(pa.int32()), pa.int64(), pa.int32(), pa.int32()]
+    names = ["conv_id", "turn_no", "parent", "node", "role", "ids", "n", "begin", "loss_from", "loss_to"]
+    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.string(), pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoding(path).encode_ordinary
@@ -89,12 +89,12 @@ def turns(conversations: DataFrame, path: str | None = None) -> DataFrame:
                 head, body, tail = encode(f"<|{escape(role)}|>\n"), encode(escape(text)), encode(END)
                 loss = (len(head), len(head) + len(body)) if role == LOSS_ROLE else (0, 0)
                 ids = head + body + tail
-                out.append((conv_id, no, parent[:NODE], chain[:NODE], role, ids, begin, *loss))
+                out.append((conv_id, no, parent[:NODE], chain[:NODE], role, ids, len(ids), begin, *loss))
                 begin, no = begin + len(ids), no + 1
             if out:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
 
-    return dealt.mapInArrow(run, "conv_id long, turn_no int, parent binary, node binary, role string, ids array<int>, begin long, loss_from int, loss_to int")
+    return dealt.mapInArrow(run, "conv_id long, turn_no int, parent binary, node binary, role string, ids array<int>, n long, begin long, loss_from int, loss_to int")
 
 
 def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,34 +110,40 @@ def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def forest(conversations: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """The nodes (node, parent, depth, path, role, ids, position_ids, loss_from, loss_to, start, end, ancestors) and the turns of the conversations (conv_id, turn_no, node)."""
+    """The nodes, in no order of rows (node, parent, depth, path, role, ids, position_ids, loss_from, loss_to, start, end, ancestors), and the turns of the conversations (conv_id, turn_no, node)."""
     every = materialize(turns(conversations, path), "turns")
     steps = every.select("conv_id", "turn_no", "parent", "node")
     forks = materialize(steps.select("parent", "node").distinct().groupBy("parent").count().where("count > 1").select("parent", F.lit(True).alias("forked")), "forks")
     marked = join_hot(steps, forks, ["parent"], "left").select("conv_id", "turn_no", "node", F.coalesce("forked", F.lit(False)).alias("forked"))
     named = marked.repartition("conv_id").sortWithinPartitions("conv_id", "turn_no").mapInArrow(_paths, "node binary, path binary").groupBy("node").agg(F.any_value("path").alias("path"))
 
-    once = every.groupBy("node").agg(*(F.any_value(c).alias(c) for c in ("parent", "turn_no", "role", "ids", "begin", "loss_from", "loss_to"))).withColumnRenamed("turn_no", "depth")
+    # nodes are placed without their ids, which the first conversation through a node lends it at the end
+    once = every.groupBy("node").agg(F.min("conv_id").alias("lender"), F.min("turn_no").alias("depth"), F.min("n").alias("n"))
     once = once.join(named, "node").join(forks.withColumnRenamed("parent", "node"), "node", "left").withColumn("forked", F.coalesce("forked", F.lit(False)))
-    ranged = materialize(once.withColumn("n", F.size("ids").cast("long")).repartitionByRange("path").withColumn("part", F.spark_partition_id()), "nodes")
+    ranged = materialize(once.repartitionByRange("path").withColumn("part", F.spark_partition_id()), "nodes")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
     bases = ranged.groupBy("part").agg(F.sum("n").alias("n")).withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).select("part", "base")
     within = Window.partitionBy("part").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
     placed = ranged.withColumn("at", F.coalesce(F.sum("n").over(within), F.lit(0))).join(bases, "part").withColumn("start", F.col("base") + F.col("at"))
-    placed = placed.withColumn("end", F.col("start") + F.col("n")).drop("at", "base", "n")  # read twice, once without the ids
+    placed = placed.withColumn("end", F.col("start") + F.col("n")).drop("at", "base", "n")
 
     # a range's first node has ancestors in earlier ranges: the turns before it in any conversation through it; one row for each range, so that these are small
     first = ranged.groupBy("part").agg(F.min_by(F.struct("node", "depth"), "path").alias("x")).select("part", "x.*")
     through = steps.join(F.broadcast(first), "node").groupBy("part", "depth").agg(F.min(F.struct("conv_id")).alias("c")).select("part", "depth", F.col("c.conv_id").alias("through"))
     above = steps.join(F.broadcast(through), F.col("conv_id").eqNullSafe(F.col("through")) & (F.col("turn_no") < F.col("depth"))).select("part", "node")
-    light = placed.select("node", "depth", "path", "forked", "start", "end")
-    carried = above.join(light, "node").withColumn("carried", F.lit(True))
-    dealt = placed.withColumn("carried", F.lit(False)).unionByName(carried, allowMissingColumns=True).repartition("part").sortWithinPartitions("part", "path", F.desc("carried"))
-    kept = dealt.select("node", "parent", "depth", "path", "role", "ids", "begin", "loss_from", "loss_to", "start", "end").schema.fields
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
-    shown = dealt.mapInArrow(_ancestors, f"{columns}, ancestors array<struct<start:long,end:long>>")
-    positions = F.sequence(F.col("begin"), F.col("begin") + F.size("ids") - 1)
-    return shown.withColumn("position_ids", positions).drop("begin"), steps.drop("parent")
+    carried = above.join(placed.drop("part"), "node").withColumn("carried", F.lit(True))
+    dealt = placed.withColumn("carried", F.lit(False)).unionByName(carried).repartition("part").sortWithinPartitions("part", "path", F.desc("carried"))
+    shown = dealt.mapInArrow(_ancestors, "node binary, lender long, depth int, path binary, start long, end long, ancestors array<struct<start:long,end:long>>")
+    # (conversation, turn) names one row, so that no key is hot
+    lent = every.drop("node").join(shown, F.col("conv_id").eqNullSafe(F.col("lender")) & (F.col("turn_no") == F.col("depth")))
+    positions = F.sequence(F.col("begin"), F.col("begin") + F.col("n") - 1)
+    columns = ["node", "parent", "depth", "path", "role", "ids", positions.alias("position_ids"), "loss_from", "loss_to", "start", "end", "ancestors"]
+    return lent.select(*columns), steps.drop("parent")
+
+
+def emit(nodes: DataFrame) -> DataFrame:
+    """The nodes as the stream itself: ranges of ``start``, each in order."""
+    return nodes.repartitionByRange("start").sortWithinPartitions("start")
 
 
 def _ancestors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,7 +162,7 @@ def _ancestors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if stack and not stack[-1][2]:
                 stack.pop()  # nothing but this node hangs below it
             stack.append((depth, [*above[:-1], (above[-1][0], end)] if above and above[-1][1] == start else [*above, (start, end)], forked))
-        names = ["node", "parent", "depth", "path", "role", "ids", "begin", "loss_from", "loss_to", "start", "end"]
+        names = ["node", "lender", "depth", "path", "start", "end"]
         out = pa.record_batch([*(batch.column(c) for c in names), pa.array(found, kind)], [*names, "ancestors"])
         yield out.filter(pc.invert(batch.column("carried")))
 

@@ -109,6 +109,7 @@ def test_chat_round_trip_and_shared_nodes(spark):
     assert len(shared) == 1
     spans = sorted((r.start, r.end) for r in rows)
     assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+    assert [r.start for r in chat.emit(nodes).collect()] == [a for a, _ in spans]
     by = {bytes(r.node): r for r in rows}
     for r in rows:
         ups = _ups(by, r)
