@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, chat, fingerprints, html_text, near_dedup, packing, pii, secrets, segment, toxicity
+from . import ann, bpe, centroids, chat, fingerprints, html_text, infill, near_dedup, packing, pii, secrets, segment, toxicity
 from .common import read
 
 
@@ -50,5 +50,20 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_pii, op3_html_text, op4_packing, op5_segment, op6_nearest, op7_near_dedup, op8_toxicity, op9_chat, op10_secrets)}
-ORACLE_SQL: dict[str, str] = {}
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read(spark, sf_dir, "embeddings")).drop("scans")
+
+
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digest(read(spark, sf_dir, "documents"))
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(read(spark, sf_dir, "documents"))
+
+
+OPERATORS = (
+    op1_fingerprints, op2_pii, op3_html_text, op4_packing, op5_segment, op6_nearest, op7_near_dedup, op8_toxicity, op9_chat, op10_secrets, op11_centroids, op12_infill, op13_bpe,
+)
+QUERIES = {f.__name__: f for f in OPERATORS}
+ORACLE_SQL: dict[str, str] = {"op11_centroids": centroids.oracle_sql(), "op12_infill": infill.oracle_sql()}
