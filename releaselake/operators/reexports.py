@@ -1,7 +1,8 @@
 """Composition of a facade's public surface from the measured surfaces of its layers.
 
-Re-export lines are parsed once for each distinct text, resolved to leaves by joins, and walked depth-first for each facade release over
-leaf rows alone. What a leaf selects is found by an equality join on path prefixes, so that items are read once and never compared one by one.
+Re-export lines are parsed once for each distinct text, resolved to leaves by joins, and walked depth-first: by one task for each facade release, or in
+joins over all of them where a facade is very large. What a leaf selects is found by an equality join on those path prefixes that any leaf
+names, so that items are read once, are not exploded further, and are never compared one by one.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.items import USE, is_use, item_name, joined_gates, name_prefixes, renamed, surface_hash
-from .keep import keep_first
+from ..functions.items import USE, is_use, item_name, joined_gates, name_prefixes, renamed
+from ..sources.shared import materialize
+from .hashing import surface_hashes
 
 PARSED = "struct<prefix:array<string>,gates:array<string>,leaves:array<struct<path:array<string>,glob:boolean,name:string,alias:string>>>"
 _OPEN = re.compile(r"\s*#\s*\[")
@@ -114,12 +116,23 @@ def resolved_leaves(items: DataFrame, measured: DataFrame, graph: DataFrame, fac
     leaves = leaves.join(there, ["target", "vers"], "left").withColumn("is_measured", F.coalesce("_measured", F.lit(False))).drop("_measured")
     names = aliases.select("package", "vers", F.col("name").alias("lib"), F.lit(True).alias("_external")).distinct()
     leaves = leaves.join(names, ["package", "vers", "lib"], "left").withColumn("external", F.coalesce("_external", F.lit(False))).drop("_external")
-    inside = items.where(~is_use(F.col("key"))).join(layers, "package", "left_semi")
-    modules = inside.select(F.col("package").alias("target"), "vers", F.explode(name_prefixes(item_name(F.col("key")), proper=True)).alias("module")).distinct().withColumn("_module", F.lit(True))
+    leaves = materialize(leaves, "leaves")
+    named = leaves.where(~F.col("whole") & F.col("target").isNotNull()).select(F.col("target").alias("package"), "vers", "module")
+    found = _with_wanted(items.select("package", "vers", "key"), named, name_prefixes(item_name(F.col("key")), proper=True))
+    modules = found.select(F.col("package").alias("target"), "vers", "module").distinct().withColumn("_module", F.lit(True))
     leaves = leaves.join(modules, ["target", "vers", "module"], "left")
     return leaves.withColumn("is_module", F.col("whole") | F.coalesce("_module", F.lit(False))).drop("_module")
 
 
+def _with_wanted(items: DataFrame, wanted: DataFrame, paths: Column) -> DataFrame:
+    """Items (no lines) with ``module``, a row for each of their ``paths`` that ``wanted(package, vers, module)`` has for their release.
+
+    The names wanted of a release travel with it as one array, which is as long as the leaves that point into it."""
+    of_release = wanted.distinct().groupBy("package", "vers").agg(F.collect_set("module").alias("_wanted"))
+    near = items.where(~is_use(F.col("key"))).join(of_release, ["package", "vers"])
+    return near.withColumn("module", F.explode(F.array_intersect(paths, F.col("_wanted")))).drop("_wanted")
+
+
 VISIT = "facade_id string, vers string, visit_ord int, root boolean, glob boolean, target string, module string, alias string, gates array<string>, unresolved string"
 
 
@@ -210,35 +223,81 @@ def visits(leaves: DataFrame, facades: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, VISIT)
 
 
-def projected(items: DataFrame, visited: DataFrame) -> DataFrame:
-    """Layer items that the visits select, renamed and with their gates joined: facade_id, vers, visit_ord, pos, key, digest, cfg, from_package, and what
-    else the items have (texts, docs, members), but for ``src``, which names a place in another package."""
-    rest = _rest(items)
-    chosen = visited.where("target is not null").withColumnRenamed("target", "package").withColumnRenamed("alias", "as_name")
-    layers = chosen.select("package").distinct()
-    named = items.where(~is_use(F.col("key"))).join(layers, "package", "left_semi").select("package", "vers", "pos", "key", "digest", "cfg", *rest)
-    whole = chosen.where("module = ''").join(named, ["package", "vers"])
-    exploded = named.withColumn("module", F.explode(name_prefixes(item_name(F.col("key")))))
-    part = chosen.where("module <> ''").join(exploded, ["package", "vers", "module"])
-    key = renamed(F.col("key"), F.col("module"), F.col("as_name"))
-    return whole.unionByName(part).select("facade_id", "vers", "visit_ord", "pos", key.alias("key"), "digest", joined_gates(F.col("gates"), F.col("cfg")).alias("cfg"), F.col("package").alias("from_package"), *(_no_src(items, c) for c in rest))
+LABEL = ["facade_id", "vers", "package", "module"]
+WALKED = 200_000  # leaf rows of a facade release up to which one task walks it
+
+
+def visits_in_rounds(leaves: DataFrame, facades: DataFrame) -> DataFrame:
+    """What ``visits`` gives, for facades of any size; ``visit_ord`` is the path of leaves that leads there, whose order is the depth-first one.
+
+    A depth-first walk enters a module by the least path of leaves that leads there, where a path is less than what prolongs it. So each round gives every
+    module the least of its referrers' paths, prolonged by the leaf that refers, and the gates along it; once a round changes nothing the paths are
+    those of the walk, since prolonging makes a path greater and the least of all are settled first. No group is gathered anywhere."""
+    rows = leaves.join(facades.select("facade_id", F.col("package").alias("facade_package")), "facade_id").where("size(path) > 0 and not (alias <=> '_')")
+    rows = materialize(rows.withColumn("at", F.struct("pos", "leaf_no")), "rows")
+    paths = F.array().cast(f"array<{rows.schema['at'].dataType.simpleString()}>")
+    plain = F.size("prefix") == 0
+    roots = rows.select("facade_id", "vers", F.col("facade_package").alias("package")).distinct().select("facade_id", "vers", "package", F.lit("").alias("module"), F.lit(True).alias("root"), paths.alias("path"), F.array().cast("array<string>").alias("held"))
+    follow = rows.where(plain & F.col("target").isNotNull() & F.col("is_measured") & F.col("is_module")).select("facade_id", "vers", "package", F.col("target").alias("_target"), F.col("module").alias("_module"), "at", "gates")
+    entered = roots.where("false")
+    while True:
+        open_ = roots.unionByName(entered.where("module = ''")).select("facade_id", "vers", "package", "path", "held")
+        ahead = open_.join(follow, ["facade_id", "vers", "package"]).select("facade_id", "vers", F.col("_target").alias("package"), F.col("_module").alias("module"), F.concat("path", F.array("at")).alias("path"), joined_gates(F.col("held"), F.col("gates")).alias("held"))
+        best = ahead.groupBy(*LABEL).agg(F.min(F.struct("path", "held")).alias("b"))
+        now = materialize(best.select(*LABEL, F.lit(False).alias("root"), "b.path", "b.held"), "entered")
+        same = now.select(*LABEL, "path").exceptAll(entered.select(*LABEL, "path")).isEmpty() and entered.count() == now.count()
+        entered = now
+        if same:
+            break
+    below = F.concat(F.array(F.lit("")), F.transform(F.when(plain, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), F.size("prefix"))), lambda n: F.array_join(F.slice("prefix", 1, n), "::")))
+    scoped = rows.withColumnsRenamed({"path": "_path", "module": "_module"}).withColumn("module", F.explode(below))
+    seen = scoped.join(roots.unionByName(entered), LABEL)
+    why = (
+        F.when(~plain, F.when(F.col("target").isNotNull(), F.concat("lib", F.lit(" (module-scoped re-export)")))).when(F.col("target").isNull(), F.when(F.col("external"), F.concat("lib", F.lit(" (external crate)"))))
+        .when(~F.col("is_measured"), F.concat("target", F.lit("@"), "vers", F.lit(" (not measured)")))
+    )
+    chosen = plain & F.col("target").isNotNull() & F.col("is_measured")
+    only = lambda c: F.when(chosen, c)
+    out = seen.withColumn("unresolved", why).where(chosen | F.col("unresolved").isNotNull())
+    none = F.array().cast("array<string>")
+    return out.select(
+        "facade_id", "vers", F.concat("path", F.array("at")).alias("visit_ord"), "root", (chosen & F.col("glob")).alias("glob"), only(F.col("target")).alias("target"), only(F.col("_module")).alias("module"), only(F.col("alias")).alias("alias"),
+        F.coalesce(only(joined_gates(F.col("held"), F.col("gates"))), none).alias("gates"), "unresolved",
+    )
 
 
-def _rest(items: DataFrame) -> list[str]:
-    return [c for c in items.columns if c not in ("package", "vers", "pos", "key", "digest", "cfg")]
+def visited(leaves: DataFrame, facades: DataFrame, most: int = WALKED) -> DataFrame:
+    """``visits``, or ``visits_in_rounds`` where some facade release has more than ``most`` leaf rows; ``leaves`` should be cheap to read twice."""
+    largest = leaves.groupBy("facade_id", "vers").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    return visits(leaves, facades) if largest <= most else visits_in_rounds(leaves, facades)
 
 
-def _no_src(items: DataFrame, name: str) -> Column:
-    return F.lit(None).cast(items.schema[name].dataType).alias(name) if name == "src" else F.col(name)
+def projected(items: DataFrame, visited: DataFrame) -> DataFrame:
+    """Layer items that the visits select, renamed and with their gates joined: facade_id, vers, visit_ord, pos, key, digest, cfg, from_package."""
+    chosen = visited.where("target is not null").select("facade_id", "vers", "visit_ord", F.col("target").alias("package"), "module", F.col("alias").alias("as_name"), "gates")
+    paths = F.concat(F.array(F.lit("")), name_prefixes(item_name(F.col("key"))))
+    part = chosen.join(_with_wanted(items.select("package", "vers", "pos", "key", "digest", "cfg"), chosen.select("package", "vers", "module"), paths), ["package", "vers", "module"])
+    key = F.when(F.col("module") == "", F.col("key")).otherwise(renamed(F.col("key"), F.col("module"), F.col("as_name")))
+    return part.select("facade_id", "vers", "visit_ord", "pos", key.alias("key"), "digest", joined_gates(F.col("gates"), F.col("cfg")).alias("cfg"), F.col("package").alias("from_package"))
 
 
 def facade_surface(items: DataFrame, facades: DataFrame, visited: DataFrame) -> DataFrame:
-    """The composed surface: own items, own lines and projected items, each (key, digest, cfg) once, the first in that order with its other columns; own cfg stays as given."""
-    rest = _rest(items)
-    own = items.join(facades, "package").select("facade_id", "vers", F.when(is_use(F.col("key")), 1).otherwise(0).alias("origin"), F.lit(0).alias("visit_ord"), "pos", "key", "digest", "cfg", F.lit(None).cast("string").alias("from_package"), *rest)
-    added = projected(items, visited).withColumn("origin", F.lit(2))
-    every = own.unionByName(added)
-    return keep_first(every, ["facade_id", "vers", "key", "digest", "cfg"], [F.col("origin"), F.col("visit_ord"), F.col("pos")]).drop("origin", "visit_ord", "pos")
+    """The composed surface: own items, own lines and projected items, each (key, digest, cfg) once, the first in that order with its other columns (texts, docs,
+    members), but for the ``src`` of a projected one, which names a place in another package; own cfg stays as given.
+
+    The first is the least place, a combinable aggregate of narrow rows; other columns join it afterwards by package, release and ``pos``, which is unique in a release."""
+    rest = [c for c in items.columns if c not in ("package", "vers", "pos", "key", "digest", "cfg")]
+    none = F.lit(None).cast(visited.schema["visit_ord"].dataType)
+    own = items.join(facades, "package").select("facade_id", "vers", "key", "digest", "cfg", F.struct(F.when(is_use(F.col("key")), 1).otherwise(0).alias("origin"), none.alias("visit_ord"), "pos", "package").alias("place"))
+    added = projected(items, visited).select("facade_id", "vers", "key", "digest", "cfg", F.struct(F.lit(2).alias("origin"), "visit_ord", "pos", F.col("from_package").alias("package")).alias("place"))
+    kept = own.unionByName(added).groupBy("facade_id", "vers", "key", "digest", "cfg").agg(F.min("place").alias("place"))
+    projected_from = F.when(F.col("place.origin") == 2, F.col("place.package")).alias("from_package")
+    if not rest:
+        return kept.select("facade_id", "vers", "key", "digest", "cfg", projected_from)
+    wide = kept.select("facade_id", "vers", "key", "digest", "cfg", projected_from, F.col("place.package").alias("_package"), F.col("place.pos").alias("_pos"))
+    payload = items.select(F.col("package").alias("_package"), "vers", F.col("pos").alias("_pos"), *rest)
+    only_own = lambda c: F.when(F.col("from_package").isNull(), F.col(c)).alias(c) if c == "src" else F.col(c)
+    return wide.join(payload, ["_package", "vers", "_pos"]).select("facade_id", "vers", "key", "digest", "cfg", "from_package", *(only_own(c) for c in rest))
 
 
 def source_report(declared: DataFrame, visited: DataFrame, measured: DataFrame, releases: DataFrame) -> DataFrame:
@@ -257,7 +316,7 @@ def unresolved(visited: DataFrame) -> DataFrame:
 def compositions(items: DataFrame, facades: DataFrame, surface: DataFrame) -> DataFrame:
     """facade_id, vers, own, items, added, api_hash of each facade release; the hash stands only where something was added."""
     own = items.join(facades, "package").groupBy("facade_id", "vers").agg(F.count("*").alias("own"))
-    made = surface.groupBy("facade_id", "vers").agg(F.count("*").alias("items"), surface_hash(F.col("key"), F.col("digest"), F.col("cfg")).alias("hash"))
+    made = surface_hashes(surface, ["facade_id", "vers"]).withColumnRenamed("api_hash", "hash")
     added = F.col("items") - F.col("own")
     return own.join(made, ["facade_id", "vers"]).select("facade_id", "vers", "own", "items", added.alias("added"), F.when(added != 0, F.col("hash")).alias("api_hash"))
 

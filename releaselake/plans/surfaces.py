@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.items import item_kind, surface_hash
 from ..functions.versions import installed_toolchain
-from ..operators import analyze, attest, curation, dataset, reexports
-from ..operators.keep import keep_first
+from ..operators import analyze, attest, curation, dataset, hashing, reexports
 from ..sources.shared import materialize
 from .registry import View, query
 
@@ -38,7 +37,7 @@ def _leaves(v: View, items: DataFrame) -> DataFrame:
 def _visited(v: View) -> tuple[DataFrame, DataFrame]:
     """Items, and what the facades reach; both are written once, since several branches read them."""
     items = materialize(_items(v), "items")
-    return items, materialize(reexports.visits(_leaves(v, items), _facades(v)), "visits")
+    return items, materialize(reexports.visited(materialize(_leaves(v, items), "resolved"), _facades(v)), "visits")
 
 
 #: Own items, own lines, and what the three lines of a facade select, each line with one set of gates.
@@ -93,6 +92,23 @@ def facade_leaves(v: View) -> DataFrame:
     return _leaves(v, materialize(_items(v), "items")).select("facade_id", "package", "vers", "lib", "module", "target", "is_measured", "external", "is_module")
 
 
+@query("""
+WITH f AS (SELECT DISTINCT concat('prov-', k) AS facade_id, package, vers, k FROM {use_items} WHERE k % 5 = 0), meas AS (SELECT DISTINCT k, vers FROM {own_items}),
+ln AS (
+  SELECT f.*, 1 AS depth, 1 AS n, '' AS module, NULL AS alias, '' AS gates FROM f UNION ALL SELECT f.*, 1, 2, 'm1', NULL, '' FROM f
+  UNION ALL SELECT f.*, 2, 2, 'm2', NULL, 'cfg (feature = "platform")' FROM f JOIN meas m ON m.k = f.k + 1 AND m.vers = f.vers
+  UNION ALL SELECT f.*, 2, 2, 'm3', 'renamed', 'cfg (feature = "platform")' FROM f JOIN meas m ON m.k = f.k + 1 AND m.vers = f.vers)
+SELECT ln.facade_id, ln.vers, ln.depth, CASE WHEN m.k IS NOT NULL THEN e.package END AS target, CASE WHEN m.k IS NOT NULL THEN module END AS module, CASE WHEN m.k IS NOT NULL THEN alias END AS alias,
+       CASE WHEN m.k IS NOT NULL THEN gates ELSE '' END AS gates, CASE WHEN m.k IS NULL THEN concat(e.package, '@', ln.vers, ' (not measured)') END AS unresolved
+FROM ln JOIN {entities} e ON e.ord = ln.k + ln.n LEFT JOIN meas m ON m.k = e.ord AND m.vers = ln.vers
+UNION ALL SELECT f.facade_id, f.vers, 1, NULL, NULL, NULL, '', 'ext_3 (external crate)' FROM f WHERE EXISTS (SELECT 1 FROM {deps} d WHERE d.package = f.package AND d.vers = f.vers AND d.name = 'ext_3' AND d.kind = 'normal')
+""")
+def facade_rounds(v: View) -> DataFrame:
+    """The visits of all facades, found in rounds over all of them at once."""
+    seen = reexports.visits_in_rounds(_leaves(v, materialize(_items(v), "items")), _facades(v))
+    return seen.select("facade_id", "vers", F.size("visit_ord").alias("depth"), "target", "module", "alias", F.array_join("gates", "|").alias("gates"), "unresolved")
+
+
 @query("""
 WITH fv AS (SELECT DISTINCT concat('prov-', k) AS facade_id, vers, k FROM {use_items} WHERE k % 5 = 0), meas AS (SELECT DISTINCT package, vers FROM {own_items}),
 d AS (SELECT served_id AS facade_id, ord, package, ord % 5 AS nth FROM {entities} WHERE role = 'dependency' UNION ALL SELECT id, 0, package, 4 FROM {entities} WHERE is_facade)
@@ -170,9 +186,9 @@ WITH d AS (SELECT DISTINCT package, vers, key, digest, cfg1 FROM {own_items})
 SELECT package, vers, count(*) AS items, sha256(string_agg(concat(key, chr(0), digest, chr(0), cfg1), chr(0) ORDER BY key, digest, cfg1)) AS api_hash FROM d GROUP BY package, vers
 """)
 def surface_hashes(v: View) -> DataFrame:
-    own = v("own_items").withColumn("cfg", _cfg())
-    once = keep_first(own, ["package", "vers", "key", "digest", "cfg"], [F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")])
-    return once.groupBy("package", "vers").agg(F.count("*").alias("items"), surface_hash(F.col("key"), F.col("digest"), F.col("cfg")).alias("api_hash"))
+    """Each item once, streamed through the digest of its release."""
+    own = v("own_items").select("package", "vers", "key", "digest", _cfg().alias("cfg"))
+    return hashing.surface_hashes(own.distinct(), ["package", "vers"])
 
 
 # Attestations --------------------------------------------------------------------------------------------------------
