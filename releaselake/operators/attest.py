@@ -5,22 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.versions import padded, plain_key
+from ..functions.versions import installed_toolchain, padded, plain_key
+from .keep import keep_last
 
 DOC_KINDS = ("tvm", "eac")
 ENVIRONMENT = ("tool", "rustc", "rustdoc")
 
 
-def usable_entries(entries: DataFrame, recorded: DataFrame, current: DataFrame, schema: str | None = None) -> DataFrame:
-    """The entries if the one recorded environment equals the one current in full (nulls are unknown and never equal), else none.
+def usable_entries(entries: DataFrame, current: DataFrame, schema: str | None = None) -> DataFrame:
+    """The entries whose own ``environment`` equals the one current in full (nulls are unknown and never equal), without that column and their schema tag.
 
-    Where ``schema`` is given, ``recorded`` also has the index's schema tag, which must be that."""
-    recorded = recorded if schema is None else recorded.where(F.col("schema") == schema)
-    same = [F.col(f"_was_{c}") == F.col(f"_now_{c}") for c in ENVIRONMENT]
-    gate = recorded.select(*(F.col(c).alias(f"_was_{c}") for c in ENVIRONMENT)).crossJoin(F.broadcast(current.limit(1).select(*(F.col(c).alias(f"_now_{c}") for c in ENVIRONMENT))))
-    for s in same:
-        gate = gate.where(s)
-    return entries.join(F.broadcast(gate.limit(1).select(F.lit(1).alias("_gate"))), F.lit(True), "left_semi")
+    Where ``schema`` is given, an entry's ``schema`` must be that."""
+    now = F.broadcast(current.limit(1).select(F.struct(*(F.col(c).alias(c) for c in ENVIRONMENT)).alias("_now")))
+    held = entries if schema is None else entries.where(F.col("schema") == schema)
+    out = held.crossJoin(now)
+    for c in ENVIRONMENT:
+        out = out.where(F.col(f"environment.{c}") == F.col(f"_now.{c}"))
+    return out.drop("_now", "environment", "schema")
 
 
 def environment_note(rows: DataFrame) -> DataFrame:
@@ -44,6 +45,13 @@ def intact_docs(entries: DataFrame, docs: DataFrame) -> DataFrame:
     return out.select("package", "vers")
 
 
+def installed_toolchains(lines: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """version, name of ``lines(ord, line)`` of installed toolchains; of those of one version the last counts. ``by`` names further columns that tell one list from another."""
+    by = by or []
+    found = lines.select(*by, "ord", installed_toolchain(F.col("line")).alias("t")).where("t is not null").select(*by, "ord", "t.*")
+    return keep_last(found, [*by, "version"], "ord").select(*by, "version", "name")
+
+
 def floors(releases: DataFrame, installed: DataFrame, active: str | Column | None) -> DataFrame:
     """``attempt`` (the installed toolchain of the declared version) or ``missing`` (its version). Nothing to do if the declaration is unreadable,
     not below the active compiler, or that is unknown. ``installed(version, name)``, the last of equal versions having been kept."""

@@ -8,7 +8,7 @@ import tarfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 KEPT = r"^(Cargo\.toml|build\.rs|src/.+)$"
@@ -16,16 +16,20 @@ MANIFEST = "Cargo.toml"
 
 
 def unpacked(blobs: DataFrame) -> DataFrame:
-    """package, vers, path, mode, content: regular members of gzipped tar blobs ``(package, vers, content)``, as named in the archive. One blob is held at a time."""
+    """package, vers, path, mode, content, head, manifest: regular members of gzipped tar blobs ``(package, vers, content)``, as named in the archive; head marks
+    the first of each blob, manifest tells whether the blob has one below its top folder. A blob without members is one row without a path. One blob is held at a time."""
+    names = ["package", "vers", "path", "mode", "content", "head", "manifest"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for b in batch.itertuples(index=False):
                 with tarfile.open(fileobj=io.BytesIO(gzip.decompress(b.content))) as tar:
-                    rows = [(b.package, b.vers, m.name, m.mode, tar.extractfile(m).read()) for m in tar if m.isfile()]
-                yield pd.DataFrame(rows, columns=["package", "vers", "path", "mode", "content"])
+                    found = [(m.name, m.mode, tar.extractfile(m).read()) for m in tar if m.isfile()]
+                whole = any(name.partition("/")[2] == MANIFEST for name, _, _ in found)
+                rows = [(b.package, b.vers, *m, i == 0, whole) for i, m in enumerate(found or [(None, None, None)])]
+                yield pd.DataFrame(rows, columns=names).astype({"mode": "Int32"})
 
-    return blobs.select("package", "vers", "content").mapInPandas(run, "package string, vers string, path string, mode int, content binary")
+    return blobs.select("package", "vers", "content").mapInPandas(run, "package string, vers string, path string, mode int, content binary, head boolean, manifest boolean")
 
 
 def packed(members: DataFrame) -> DataFrame:
@@ -43,10 +47,10 @@ def packed(members: DataFrame) -> DataFrame:
     return members.groupBy("package", "vers").applyInPandas(run, "package string, vers string, content binary")
 
 
-def extracted(measured: DataFrame, releases: DataFrame, blobs: DataFrame) -> DataFrame:
-    """Members of the blobs of measured entities: ``measured(id)``, ``releases(provider_id, package, vers, blob)``, ``blobs(package, vers, content)``. Releases without a blob have none."""
+def wanted_blobs(measured: DataFrame, releases: DataFrame, blobs: DataFrame) -> DataFrame:
+    """The blobs of measured entities: ``measured(id)``, ``releases(provider_id, package, vers, blob)``, ``blobs(package, vers, content)``. Releases without a blob have none."""
     wanted = releases.where("blob is not null").join(measured.select(F.col("id").alias("provider_id")), "provider_id", "left_semi").select("package", "vers").distinct()
-    return unpacked(blobs.join(wanted, ["package", "vers"], "left_semi"))
+    return blobs.join(wanted, ["package", "vers"], "left_semi")
 
 
 def is_unsafe(path: Column) -> Column:
@@ -56,10 +60,38 @@ def is_unsafe(path: Column) -> Column:
     return path.startswith("/") | (walked["low"] < 0)
 
 
+def below_top(path: Column) -> Column:
+    """The path within the archive's top folder; empty for what does not lie in it."""
+    return F.regexp_extract(path, r"^[^/]+/(.+)$", 1)
+
+
+def refusal(path: Column, manifest: Column) -> Column:
+    """Why a member's blob is refused: the member leads out of the archive or of its top folder, or the blob has no manifest; else null."""
+    return F.when(~manifest, F.lit("no manifest")).when(is_unsafe(path) | is_unsafe(below_top(path)), F.concat(F.lit("unsafe path "), path))
+
+
+def refused(blobs: DataFrame) -> DataFrame:
+    """package, vers, reason of the blobs that an extraction refuses, each with the least of its reasons."""
+    return unpacked(blobs).withColumn("reason", refusal(F.col("path"), F.col("manifest"))).where("reason is not null").groupBy("package", "vers").agg(F.min("reason").alias("reason"))
+
+
+def extracted(measured: DataFrame, releases: DataFrame, blobs: DataFrame, counts: Observation | None = None) -> DataFrame:
+    """Members of the blobs of measured entities. A blob that is ``refused`` fails the job, in the task that opens it.
+
+    ``counts`` observes how many blobs and members the extraction has, in the same pass."""
+    members = unpacked(wanted_blobs(measured, releases, blobs))
+    reason = refusal(F.col("path"), F.col("manifest"))
+    stop = F.raise_error(F.concat(reason, F.lit(" in the blob of "), F.col("package"), F.lit("@"), F.col("vers"))).cast("boolean")
+    fine = members.where(F.when(reason.isNotNull(), stop).otherwise(True))
+    fine = fine if counts is None else fine.observe(counts, F.count_if("head").alias("blobs"), F.count("path").alias("members"))
+    return fine.select("package", "vers", "path", "mode", "content")
+
+
 def source_members(members: DataFrame) -> DataFrame:
-    """Members below the archive's top folder, without it: the manifest, the build script and sources; modes are 755 or 644."""
-    below = F.regexp_extract("path", r"^[^/]+/(.+)$", 1)
-    kept = members.withColumn("path", below).where(F.col("path").rlike(KEPT))
+    """Members below the archive's top folder, without it: the manifest, the build script and sources; modes are 755 or 644. One that leads out of the folder fails the job."""
+    kept = members.withColumn("path", below_top(F.col("path"))).where(F.col("path").rlike(KEPT))
+    stop = F.raise_error(F.concat(F.lit("unsafe path "), F.col("path"))).cast("boolean")
+    kept = kept.where(F.when(is_unsafe(F.col("path")), stop).otherwise(True))
     return kept.withColumn("mode", F.when(F.col("mode").bitwiseAND(0o111) != 0, F.lit(0o755)).otherwise(F.lit(0o644)))
 
 

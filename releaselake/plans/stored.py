@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from ..functions.versions import compiler_version
+from ..functions.versions import compiler_version, semver_key
 from ..operators import attest, curation, dataset, files, index
 from ..sources import readers, writers
-from ..sources.shared import shared_path
+from ..sources.shared import materialize, shared_path
 from .registry import View, query
 
 
@@ -168,19 +168,19 @@ def attestations_round_trip(v: View) -> DataFrame:
     path = shared_path(rows.sparkSession, "attestations")
     writers.write_attestations(rows, path, _environment(v))
     rows.select(F.concat(F.lit('{"schema":"attestations.v1","entries":{"'), "package", F.lit('/0.0.0":"lost"}}')).alias("json")).write.mode("append").text(path)
-    entries, _ = readers.attestation_index(rows.sparkSession, path)
-    return entries.select("package", "vers", "cksum", "lock", "floor", F.col("tvm.sha256").alias("tvm"), F.col("eac.sha256").alias("eac"))
+    return readers.attestation_index(rows.sparkSession, path).select("package", "vers", "cksum", "lock", "floor", F.col("tvm.sha256").alias("tvm"), F.col("eac.sha256").alias("eac"))
 
 
-@query("""
-SELECT c AS state, CASE c WHEN 'same' THEN (SELECT count(*) FROM {releases}) ELSE 0 END AS entries FROM (SELECT unnest(['same', 'compiler moved', 'other schema']) AS c)
-""")
+@query("SELECT package, vers, cksum, md5(concat('tvm', cksum)) AS tvm FROM {releases} WHERE k % 4 IN (0, 1)")
 def environment_gate(v: View) -> DataFrame:
-    """Entries that may be used where the environment is the recorded one, where its compiler moved, and where the index has another schema."""
-    rows, was = _entries(v), _environment(v).withColumn("schema", F.lit("attestations.v1"))
-    states = {"same": (was, _environment(v)), "compiler moved": (was, _environment(v, "1.99.0")), "other schema": (was.withColumn("schema", F.lit("v0")), _environment(v))}
-    counted = [attest.usable_entries(rows, a, b, "attestations.v1").agg(F.count("*").alias("entries")).select(F.lit(s).alias("state"), "entries") for s, (a, b) in states.items()]
-    return counted[0].union(counted[1]).union(counted[2])
+    """An index whose entries were recorded now for half of the packages, and for the others under another compiler or another schema: only the former are used."""
+    rows = _entries(v).join(v("releases").select("package", "vers", "k"), ["package", "vers"])
+    path, spark = shared_path(rows.sparkSession, "attestations"), rows.sparkSession
+    kinds = (("k % 4 IN (0, 1)", HERE[1], "attestations.v1"), ("k % 4 = 2", "1.99.0", "attestations.v1"), ("k % 4 = 3", HERE[1], "v0"))
+    for i, (which, rustc, schema) in enumerate(kinds):
+        writers.write_attestations(rows.where(which).drop("k"), f"{path}/part={i}", _environment(v, rustc), schema)
+    usable = attest.usable_entries(readers.attestation_index(spark, path), _environment(v), "attestations.v1")
+    return usable.select("package", "vers", "cksum", F.col("tvm.sha256").alias("tvm"))
 
 
 @query("""
@@ -246,12 +246,55 @@ def extracted_members(v: View) -> DataFrame:
     return members.select("package", "vers", "path", "mode", F.sha2("content", 256).alias("sha256"))
 
 
-@query("WITH " + MEMBER_SQL + "SELECT count(DISTINCT concat(package, '@', vers)) AS blobs FROM mb WHERE k IN (SELECT ord FROM me) AND CAST(split_part(vers, '.', 1) AS INT) % 4 <> 3")
+@query("WITH " + MEMBER_SQL + """,
+w AS (SELECT * FROM mb WHERE k IN (SELECT ord FROM me) AND CAST(split_part(vers, '.', 1) AS INT) % 4 <> 3)
+SELECT count(DISTINCT concat(package, '@', vers)) AS blobs, count(*) + 3 * count(DISTINCT concat(package, '@', vers)) AS members FROM w
+""")
 def extracted_blobs(v: View) -> DataFrame:
-    """How many blobs an extraction of the measured entities unpacks."""
+    """How many blobs and members an extraction of the measured entities wrote, as it counted them itself."""
     releases, blobs = _blobs(v)
-    members = files.extracted(dataset.measured_entities(v("entities")), releases, blobs)
-    return members.select("package", "vers").distinct().agg(F.count("*").alias("blobs"))
+    counts = Observation("extraction")
+    members = files.extracted(dataset.measured_entities(v("entities")), releases, blobs, counts)
+    members.write.parquet(shared_path(members.sparkSession, "extracted"))
+    return members.sparkSession.createDataFrame([(counts.get["blobs"], counts.get["members"])], "blobs long, members long")
+
+
+#: Small blobs of some ten documents each, a part of which no extraction may take.
+HOSTILE_SQL = """
+hb AS (SELECT DISTINCT concat('pkg-', 1 + doc_id % 10) AS package, concat(doc_id // 100, '.0.0') AS vers, (doc_id // 100) % 7 AS h FROM {documents})
+"""
+
+
+def _hostile(v: View) -> DataFrame:
+    d = v("documents").select(F.concat(F.lit("pkg-"), 1 + F.col("doc_id") % 10).alias("package"), F.floor(F.col("doc_id") / 100).alias("n"), "doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("content"))
+    d = d.withColumn("vers", F.concat("n", F.lit(".0.0")))
+    source = d.select("package", "vers", F.concat(F.lit("top/src/d"), "doc_id", F.lit(".rs")).alias("path"), F.lit(0o640).alias("mode"), "content")
+    h = F.col("n") % 7
+    name = F.when(h == 1, "top/src/../../../etc/passwd").when(h == 2, "top/src/../../evil").when(h == 3, "/top/src/x.rs").when(h == 4, "top/src/a/../fine.rs")
+    more = d.select("package", "vers", name.alias("path"), h.alias("h")).distinct()
+    extra = more.where("path is not null").select("package", "vers", "path").union(more.where("h <> 5").select("package", "vers", F.lit("top/Cargo.toml")))
+    return files.packed(source.union(extra.select("package", "vers", "path", F.lit(0o644).alias("mode"), F.col("package").cast("binary").alias("content"))))
+
+
+@query("WITH " + HOSTILE_SQL + """
+SELECT package, vers, CASE h WHEN 1 THEN 'unsafe path top/src/../../../etc/passwd' WHEN 2 THEN 'unsafe path top/src/../../evil' WHEN 3 THEN 'unsafe path /top/src/x.rs' ELSE 'no manifest' END AS reason FROM hb WHERE h IN (1, 2, 3, 5)
+""")
+def refused_blobs(v: View) -> DataFrame:
+    """Blobs that an extraction refuses: members that lead out, absolute ones, and blobs without a manifest."""
+    return files.refused(_hostile(v))
+
+
+@query("WITH " + HOSTILE_SQL + """
+SELECT d.package, d.vers, count(*) + 1 + max(CASE h WHEN 4 THEN 1 ELSE 0 END) AS members FROM (SELECT concat('pkg-', 1 + doc_id % 10) AS package, concat(doc_id // 100, '.0.0') AS vers FROM {documents}) d
+JOIN hb ON hb.package = d.package AND hb.vers = d.vers WHERE h NOT IN (1, 2, 3, 5) GROUP BY d.package, d.vers
+""")
+def accepted_members(v: View) -> DataFrame:
+    """The extraction of all others, with the refused blobs set apart; it would stop at any of those."""
+    blobs = materialize(_hostile(v), "hostile")
+    fine = blobs.join(files.refused(blobs), ["package", "vers"], "left_anti")
+    releases = fine.select(F.col("package").alias("provider_id"), "package", "vers", F.lit("b").alias("blob"))
+    members = files.extracted(releases.select(F.col("provider_id").alias("id")).distinct(), releases, fine)
+    return files.source_members(members).groupBy("package", "vers").agg(F.count("*").alias("members"))
 
 
 @query("SELECT provider_id, vers, CASE WHEN CAST(split_part(vers, '.', 1) AS INT) < 7 THEN 'early' ELSE 'later' END AS note FROM {releases} WHERE CAST(split_part(vers, '.', 1) AS INT) < 9")
@@ -261,3 +304,83 @@ def notes_read(v: View) -> DataFrame:
     path = _write_lines(v("entities").select(line.alias("json")), "notes")
     notes = readers.curated(v("entities").sparkSession, path, "notes", multi_line=False).withColumnRenamed("provider", "provider_id")
     return curation.binding_notes(v("releases"), notes)
+
+
+@query("""
+SELECT row_number() OVER (ORDER BY id) - 1 AS n, id, (SELECT string_agg(p.vers, ',' ORDER BY p.vers) FROM {prior} p WHERE p.provider_id = e.id) AS releases
+FROM {entities} e WHERE id IN (SELECT provider_id FROM {prior})
+""")
+def index_line_order(v: View) -> DataFrame:
+    """The places that lines have in the files of a written index, and the releases within each, in the order in which they stand there."""
+    rows = v("prior").withColumns({"kind": F.lit("registry-index"), "id": F.col("vers"), "ord": F.col("vers")})
+    path, spark = shared_path(rows.sparkSession, "index"), rows.sparkSession
+    writers.write_index(rows, path)
+    lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\n")).alias("at", "line")).where("line <> ''")
+    place = F.row_number().over(Window.orderBy("file", "at")) - 1  # one window over a line for each provider
+    listed = F.from_json("line", readers.INDEX)["providers"][0]
+    return lines.select(place.cast("long").alias("n"), listed["id"].alias("id"), F.array_join(listed["sources"][0]["releases"]["id"], ",").alias("releases"))
+
+
+@query("""
+SELECT concat('{{"cksum":"', r.cksum, '","kind":"registry","package":"', r.package, '","provider_id":"', r.provider_id, '","rust_version":', coalesce('"' || r.rust_version || '"', 'null'), ',"vers":"', r.vers, '","yanked":', CASE WHEN r.yanked THEN 'true' ELSE 'false' END, '}}') AS line,
+       row_number() OVER (ORDER BY e.ord, CAST(split_part(r.vers, '.', 1) AS INT), CAST(split_part(r.vers, '.', 2) AS INT)) - 1 AS n
+FROM {releases} r JOIN {entities} e ON e.id = r.provider_id WHERE e.role = 'fork'
+""")
+def dataset_export(v: View) -> DataFrame:
+    """The contract dataset as lines of JSON, by provider and version, and the places that they have in its files."""
+    rows = v("releases").withColumn("kind", F.lit("registry-index"))
+    versions = dataset.contract_versions(v("entities"), rows).join(v("entities").select(F.col("id").alias("provider_id"), "ord"), "provider_id")
+    path, spark = shared_path(rows.sparkSession, "dataset-json"), rows.sparkSession
+    order = ["provider_id", "package", "kind", "vers", "yanked", "cksum", "rust_version"]
+    writers.write_dataset_json(versions.select(*order, "ord").orderBy("ord", semver_key(F.col("vers"))).select(*order), path, [])
+    lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\n")).alias("at", "line")).where("line <> ''")
+    firsts = lines.groupBy("file").agg(F.count("*").alias("lines"))
+    before = F.coalesce(F.sum("lines").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each file
+    return lines.join(firsts.select("file", before.alias("before")), "file").select("line", (F.col("before") + F.col("at")).alias("n"))
+
+
+CURATED_SQL = """
+SELECT 'markers' AS section, id AS provider_id, concat(ord, '.0.0|1.95.0|log ', id) AS held FROM {entities} WHERE role = 'fork'
+UNION ALL SELECT 'probes', id, concat('kit-', ord, '|1.0.0|', id, '|builds|', CASE WHEN ord % 2 = 0 THEN 'slow' ELSE '' END) FROM {entities} WHERE role = 'fork'
+UNION ALL SELECT 'sources', id, concat('org/', id, '|crates/', package, '|', CASE WHEN ord % 2 = 0 THEN 'v' ELSE '' END) FROM {entities} WHERE role = 'fork'
+UNION ALL SELECT 'rules', id, concat('fn:a', ord, '>fn:b|', id, '@1.0.0#h1>', id, '@2.0.0#h2|', CASE WHEN ord % 2 = 0 THEN 'true' ELSE 'false' END) FROM {entities} WHERE role = 'fork'
+"""
+
+
+@query(CURATED_SQL)
+def curated_sections_read(v: View) -> DataFrame:
+    """Curated files of every fork: markers, probes, sources and rules, a document for each fork and section."""
+    e = dataset.forks(v("entities"))
+    spark, even = e.sparkSession, F.col("ord") % 2 == 0
+    text = lambda *c: F.concat(*(F.lit(x) if isinstance(x, str) else x for x in c))
+    one = lambda value: F.map_from_arrays(F.array("id"), F.array(value))
+    named = lambda **c: F.struct(*(x.alias(k) for k, x in c.items()))
+    side = lambda vers, h: named(provider=F.col("id"), version=F.lit(vers), api_hash=F.lit(h))
+    marker = named(vers=text(F.col("ord").cast("string"), ".0.0"), toolchain=F.lit("1.95.0"), evidence=text("log ", F.col("id")))
+    probe = named(kit=text("kit-", F.col("ord").cast("string")), kit_version=F.lit("1.0.0"), binds=F.col("id"), target=F.col("id"), outcome=F.lit("builds"), caveat=F.when(even, "slow"))
+    source = named(repo=text("org/", F.col("id")), tree=text("crates/", F.col("package")), tag=F.when(even, "v"))
+    rule = named(**{"id": F.col("id"), "from": named(key=text("fn:a", F.col("ord").cast("string"))), "to": named(key=F.lit("fn:b")), "transition": named(**{"from": side("1.0.0", "h1"), "to": side("2.0.0", "h2")}), "human_confirmed": even})
+    written = {"markers": one(marker), "probes": F.array(probe), "sources": one(source), "rules": F.array(rule)}
+    read = {name: readers.curated(spark, _write_lines(e.select(_object(**{name: value})), name), name, multi_line=False) for name, value in written.items()}
+    held = {
+        "markers": ("provider_id", F.concat_ws("|", "vers", "toolchain", "evidence")),
+        "probes": ("binds", F.concat_ws("|", "kit", "kit_version", "target", "outcome", F.coalesce("caveat", F.lit("")))),
+        "sources": ("provider_id", F.concat_ws("|", "repo", "tree", F.coalesce("tag", F.lit("")))),
+        "rules": ("id", F.concat_ws("|", F.concat_ws(">", "from.key", "to.key"), F.concat_ws(">", *(F.concat(F.col(f"transition.{s}.provider"), F.lit("@"), F.col(f"transition.{s}.version"), F.lit("#"), F.col(f"transition.{s}.api_hash")) for s in ("from", "to"))), F.col("human_confirmed").cast("string"))),
+    }
+    rows = [read[name].select(F.lit(name).alias("section"), F.col(by).alias("provider_id"), c.alias("held")) for name, (by, c) in held.items()]
+    return rows[0].union(rows[1]).union(rows[2]).union(rows[3])
+
+
+@query("""
+SELECT package, version, max_by(name, n) AS name FROM (
+  SELECT package, concat(split_part(vers, '.', 1), '.', split_part(vers, '.', 2), '.0') AS version, concat(split_part(vers, '.', 1), '.', split_part(vers, '.', 2)) AS name, 1 AS n FROM {releases}
+  UNION ALL SELECT package, concat(split_part(vers, '.', 1), '.', split_part(vers, '.', 2), '.0'), concat(split_part(vers, '.', 1), '.', split_part(vers, '.', 2), '.0'), 2 FROM {releases} WHERE k % 2 = 0)
+GROUP BY package, version
+""")
+def toolchain_lists(v: View) -> DataFrame:
+    """Releases as toolchains installed for each package; even ones list each version a second time in full, and the last counts."""
+    r = v("releases").select("package", "k", F.concat_ws(".", F.split_part("vers", F.lit("."), F.lit(1)), F.split_part("vers", F.lit("."), F.lit(2))).alias("two"))
+    lines = r.select("package", F.concat("two", F.lit("-x86_64-linux (default)")).alias("line"), F.lit(1).alias("ord")).union(r.where("k % 2 = 0").select("package", F.concat("two", F.lit(".0-x86_64-linux")), F.lit(2)))
+    lines = lines.union(r.select("package", F.lit("stable-x86_64-linux"), F.lit(3)))
+    return attest.installed_toolchains(lines, ["package"])

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.items import item_kind, surface_hash
-from ..functions.versions import installed_toolchain
 from ..operators import analyze, attest, curation, dataset, hashing, reexports
 from ..sources.shared import materialize
 from .registry import View, query
@@ -193,7 +192,7 @@ def surface_hashes(v: View) -> DataFrame:
 
 # Attestations --------------------------------------------------------------------------------------------------------
 ACTIVE = "1.98.1"
-INSTALLED = (("1.85-x86_64-unknown-linux", "1.85.0", "1.85"), ("stable-x86_64-unknown-linux", None, None), ("1.97.0-x86_64-unknown-linux", "1.97.0", "1.97.0"))
+INSTALLED = (("1.85.0-x86_64-other", "1.85.0", "1.85.0"), ("1.85-x86_64-unknown-linux", "1.85.0", "1.85"), ("stable-x86_64-unknown-linux", None, None), ("1.97.0-x86_64-unknown-linux", "1.97.0", "1.97.0"))
 
 #: Fork releases as builds, the prior index as entries: some checksums moved, some documents, locks and floors too.
 ATTEST_SQL = """
@@ -219,8 +218,8 @@ def _floored(v: View) -> DataFrame:
 
 
 def _installed(df: DataFrame) -> DataFrame:
-    lines = df.sparkSession.createDataFrame([(line,) for line, _, _ in INSTALLED], "line string")
-    return lines.select(installed_toolchain(F.col("line")).alias("t")).where("t is not null").select("t.*")
+    lines = df.sparkSession.createDataFrame([(i, line) for i, (line, _, _) in enumerate(INSTALLED)], "ord int, line string")
+    return attest.installed_toolchains(lines)
 
 
 def _built(v: View) -> tuple[DataFrame, DataFrame]:
@@ -242,7 +241,7 @@ def _attested(v: View) -> tuple[DataFrame, DataFrame]:
     now = entries.select("package", "vers", "k", F.explode(F.array(F.lit("tvm"), F.lit("eac"))).alias("kind")).where("NOT (kind = 'eac' AND k % 35 = 0)")
     docs = now.select("kind", "package", "vers", text(F.col("kind"), F.col("package"), F.col("vers"), F.when(F.col("k") % 30 == 15, "!").otherwise("")).alias("sha256"), F.lit("v1").alias("schema"), "k")
     here = v("entities").sparkSession.createDataFrame([("t1", "r1", "d1")], "tool string, rustc string, rustdoc string")
-    return attest.usable_entries(entries, here, here), docs
+    return attest.usable_entries(entries.withColumn("environment", F.struct(F.lit("t1").alias("tool"), F.lit("r1").alias("rustc"), F.lit("d1").alias("rustdoc"))), here), docs
 
 
 def _decided(v: View) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:

@@ -2,11 +2,13 @@
 
 Only Spark opens paths, so that any store it knows works. A path that does not exist reads as empty where the docstring says so. Files of
 one package each are named by it, or lie in a folder ``package=<name>`` as Spark writes them. ``multi_line`` tells whether a file is one document
-or a document for each line, which large exports are.
+or a document for each line, which large exports are; indexes are read either way.
 """
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +45,23 @@ def _json(spark: SparkSession, path: str, schema: str, strict: bool = False, mul
     return spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST" if strict else "PERMISSIVE").json(path)
 
 
+def _documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Files that are one document each, or a document for each line. No file is no document; with an unreadable line or file there is none either, and a warning."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    bad = "_unreadable"
+    parsed = lambda c: F.from_json(c, f"{schema}, {bad} string", {"columnNameOfCorruptRecord": bad})
+    lines = spark.read.text(path).where(F.trim("value") != "").select(parsed(F.col("value")).alias("d"))
+    if lines.where(F.col(f"d.{bad}").isNotNull()).isEmpty():
+        return lines.select("d.*").drop(bad)
+    first = parsed(F.regexp_extract("value", r"^\s*([^\n]*)", 1))
+    files = spark.read.text(path, wholetext=True).where(F.trim("value") != "").select(parsed(F.col("value")).alias("d"), first[bad].isNotNull().alias("spread"))
+    if files.where(F.col(f"d.{bad}").isNotNull() | ~F.col("spread")).isEmpty():
+        return files.select("d.*").drop(bad)
+    warnings.warn(f"{path} is unreadable and taken as empty", stacklevel=3)
+    return spark.createDataFrame([], schema)
+
+
 def _file_package() -> Column:
     """The package that a file is about."""
     folder = F.nullif(F.regexp_extract("_metadata.file_path", r"/package=([^/]+)/[^/]*$", 1), F.lit(""))
@@ -73,18 +92,17 @@ def provider_config(spark: SparkSession, path: str, multi_line: bool = True) ->
     return rows.withColumnRenamed("for", "served_id").withColumn("is_facade", F.col("surface_source").isNotNull()).select("*", F.col("surface_source.kind").alias("surface_kind"), F.col("surface_source.from").alias("surface_from")).drop("surface_source")
 
 
-def corpus_index(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """The nested index as flat releases; of releases listed twice the last counts. No file, or an unreadable one, is an empty index."""
-    source = _json(spark, path, INDEX, multi_line=multi_line) if exists(spark, path) else spark.createDataFrame([], INDEX)
+def corpus_index(spark: SparkSession, path: str) -> DataFrame:
+    """The nested index as flat releases; of releases listed twice the last counts. No file is an empty index, and so is an unreadable one, with a warning."""
+    source = _documents(spark, path, INDEX)
     a = source.select(F.posexplode("providers").alias("po", "p")).select("po", F.col("p.id").alias("provider_id"), F.col("p.package").alias("package"), F.posexplode("p.sources").alias("so", "s"))
     b = a.select("provider_id", "package", F.col("s.kind").alias("kind"), "po", "so", F.posexplode("s.releases").alias("ord", "r"))
     flat = b.select("provider_id", "package", "kind", F.struct("po", "so", "ord").alias("_place"), "ord", F.col("r.id").alias("id"), "r.meta.*", F.col("r.artifact").alias("artifact"), F.col("r.artifact.blob").alias("blob"))
     return keep_last(flat, ["provider_id", "kind", "id"], "_place").drop("_place")
 
 
-def index_providers(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    source = _json(spark, path, INDEX, multi_line=multi_line) if exists(spark, path) else spark.createDataFrame([], INDEX)
-    return source.select(F.explode("providers").alias("p")).select("p.id", "p.package", "p.repository", "p.description")
+def index_providers(spark: SparkSession, path: str) -> DataFrame:
+    return _documents(spark, path, INDEX).select(F.explode("providers").alias("p")).select("p.id", "p.package", "p.repository", "p.description")
 
 
 def analysis_surfaces(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -133,10 +151,12 @@ ENTRY = f"struct<cksum:string,lock:string,floor:string,tvm:{DOC},eac:{DOC}>"
 ATTESTATIONS = "schema string, environment struct<tool:string,rustc:string,rustdoc:string>, entries map<string,string>"
 
 
-def attestation_index(spark: SparkSession, path: str, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Entries (package, vers and their fields; those that are no objects left out) and the recorded environments with their schema tag, once each. No file is an empty index."""
-    source = _json(spark, path, ATTESTATIONS, multi_line=multi_line) if exists(spark, path) else spark.createDataFrame([], ATTESTATIONS)
+def attestation_index(spark: SparkSession, path: str) -> DataFrame:
+    """Entries: package, vers, their fields, and the schema tag and environment of the document that each stands in; those that are no objects are left out. No file is an
+    empty index, and so is an unreadable one, with a warning."""
+    source = _documents(spark, path, ATTESTATIONS)
     at = F.instr("key", "/")
-    rows = source.select(F.explode("entries").alias("key", "x")).where(F.trim("x").startswith("{"))
-    entries = rows.select(F.expr("substring(key, 1, instr(key, '/') - 1)").alias("package"), F.substring("key", at + 1, F.length("key")).alias("vers"), F.from_json("x", ENTRY).alias("e"))
-    return entries.select("package", "vers", "e.*"), source.select("schema", "environment.*").distinct()
+    rows = source.select("schema", "environment", F.explode("entries").alias("key", "x")).where(F.trim("x").startswith("{"))
+    package = F.expr("substring(key, 1, instr(key, '/') - 1)")
+    entries = rows.select(package.alias("package"), F.substring("key", at + 1, F.length("key")).alias("vers"), F.from_json("x", ENTRY).alias("e"), "schema", "environment")
+    return entries.select("package", "vers", "e.*", "schema", "environment")

@@ -51,6 +51,13 @@ def write_dataset(versions: DataFrame, path: str) -> None:
     versions.write.mode("overwrite").partitionBy("provider_id").parquet(path)
 
 
+def write_dataset_json(versions: DataFrame, path: str, order: list[Column]) -> None:
+    """The dataset as gzipped canonical lines, a release each, in the given order over all files."""
+    n = len(order)
+    ordered = versions.orderBy(*order) if n else versions
+    canonical_json(ordered).write.mode("overwrite").option("compression", "gzip").text(path)
+
+
 def write_attestations(index: DataFrame, path: str, environment: DataFrame, schema: str = "attestations.v1") -> None:
     """Lines in order of package and version, each a document with one entry, its schema tag and the environment (one row)."""
     fields = [c for c in index.columns if c not in ("package", "vers", "origin")]

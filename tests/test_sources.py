@@ -1,5 +1,11 @@
+import io
 import json
+import re
+import tarfile
+import warnings
 
+import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from releaselake.operators import attest, files
@@ -43,16 +49,90 @@ def test_surfaces_and_curated_sections(spark, tmp_path):
     assert got == {"a": ("mirror", None), "b": ("fixed", "0.1.0")}
 
 
-def test_attestations_round_trip_and_gate(spark, tmp_path):
+def test_entries_are_usable_by_their_own_environment(spark, tmp_path):
     here = spark.createDataFrame([("t", "r", "d")], "tool string, rustc string, rustdoc string")
     doc = "struct<sha256:string,schema:string>"
-    rows = spark.createDataFrame([("p", "1", "c", "l", None, ("s", "v1"), None), ("a", "1/x", "c", None, "1.85", None, None)], f"package string, vers string, cksum string, lock string, floor string, tvm {doc}, eac {doc}")
-    writers.write_attestations(rows, str(tmp_path / "out"), here)
-    entries, recorded = readers.attestation_index(spark, str(tmp_path / "out"))
-    assert sorted(map(tuple, entries.collect())) == sorted(map(tuple, rows.collect()), key=str) and recorded.count() == 1
-    assert attest.usable_entries(entries, recorded, here, "attestations.v1").count() == 2
-    assert attest.usable_entries(entries, recorded, here, "v0").count() == attest.usable_entries(entries, recorded, here.withColumn("rustc", F.lit("x")), "attestations.v1").count() == 0
-    assert readers.attestation_index(spark, str(tmp_path / "none"))[0].count() == 0
+    kinds = f"package string, vers string, cksum string, lock string, floor string, tvm {doc}, eac {doc}"
+    rows = spark.createDataFrame([("p", "1", "c", "l", None, ("s", "v1"), None), ("a", "1/x", "c", None, "1.85", None, None)], kinds)
+    old = spark.createDataFrame([("q", "1", "c", None, None, None, None)], kinds)
+    writers.write_attestations(rows, str(tmp_path / "out/part=0"), here)
+    writers.write_attestations(old, str(tmp_path / "out/part=1"), here.withColumn("rustc", F.lit("older")))
+    entries = readers.attestation_index(spark, str(tmp_path / "out"))
+    assert sorted(map(tuple, entries.drop("schema", "environment").collect()), key=str) == sorted(map(tuple, rows.union(old).collect()), key=str)
+    usable = lambda now, schema="attestations.v1": {r.package for r in attest.usable_entries(entries, now, schema).collect()}
+    assert usable(here) == {"a", "p"} and usable(here.withColumn("rustc", F.lit("older"))) == {"q"} and usable(here, None) == {"a", "p"}
+    assert not usable(here, "v0") and not usable(here.withColumn("rustdoc", F.lit("x"))) and not usable(here.withColumn("tool", F.lit(None).cast("string"))) and not usable(here.where("false"))
+    assert set(attest.usable_entries(entries, here).columns) == set(rows.columns)
+    assert readers.attestation_index(spark, str(tmp_path / "none")).count() == 0
+
+
+INDEXED = {"schema": "v1", "providers": [{"id": "p", "package": "pk", "sources": [{"kind": "registry-index", "releases": [{"id": "1", "meta": {"cksum": "x"}, "artifact": {"blob": "b"}}]}]}]}
+
+
+@pytest.mark.parametrize("indent", [None, 1, 4])
+def test_an_index_is_read_however_it_is_laid_out(spark, tmp_path, indent):
+    (tmp_path / "i.json").write_text("\n" + json.dumps(INDEXED, indent=indent) + "\n\n")
+    assert [(r.provider_id, r.id, r.blob) for r in readers.corpus_index(spark, str(tmp_path / "i.json")).collect()] == [("p", "1", "b")]
+    assert [r.package for r in readers.index_providers(spark, str(tmp_path / "i.json")).collect()] == ["pk"]
+
+
+@pytest.mark.parametrize("text", ["{", "not json", json.dumps(INDEXED) + '\n{"providers": [', json.dumps(INDEXED, indent=1)[:-4], "[1"])
+def test_a_broken_index_is_empty_as_a_whole_and_says_so(spark, tmp_path, text):
+    (tmp_path / "i.json").write_text(text)
+    with pytest.warns(UserWarning, match="unreadable"):
+        assert readers.corpus_index(spark, str(tmp_path / "i.json")).count() == 0
+    with pytest.warns(UserWarning, match="unreadable"):
+        assert readers.attestation_index(spark, str(tmp_path / "i.json")).count() == 0
+
+
+def test_no_index_is_empty_without_a_word(spark, tmp_path):
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        assert readers.corpus_index(spark, str(tmp_path / "none.json")).count() == 0
+        (tmp_path / "empty.json").write_text("")
+        assert readers.corpus_index(spark, str(tmp_path / "empty.json")).count() == 0
+
+
+MEMBER = "package string, vers string, path string, mode int, content binary"
+
+
+def blobs_of(spark, **paths):
+    members = [(p, "1", path, 0o644, bytearray(b"x")) for p, names in paths.items() for path in names]
+    return files.packed(spark.createDataFrame(members, MEMBER))
+
+
+@pytest.mark.parametrize(
+    "paths, reason",
+    [
+        (["t/Cargo.toml", "t/src/../../../etc/passwd"], "unsafe path t/src/../../../etc/passwd"), (["t/Cargo.toml", "/t/src/x"], "unsafe path /t/src/x"), (["t/src/a.rs"], "no manifest"),
+        (["t/Cargo.toml", "t/src/../../up"], "unsafe path t/src/../../up"), (["Cargo.toml"], "no manifest"), (["t/sub/Cargo.toml"], "no manifest"), (["t/Cargo.toml", "t/src/a/../b.rs"], None),
+    ],
+)
+def test_an_extraction_refuses_hostile_blobs(spark, paths, reason):
+    blobs = blobs_of(spark, good=["t/Cargo.toml", "t/src/lib.rs"], other=paths)
+    assert {(r.package, r.reason) for r in files.refused(blobs).collect()} == ({("other", reason)} if reason else set())
+    releases = blobs.select(F.lit("f").alias("provider_id"), "package", "vers", F.lit("b").alias("blob"))
+    measured = spark.createDataFrame([("f",)], "id string")
+    counts = Observation()
+    members = files.extracted(measured, releases, blobs, counts)
+    if not reason:
+        assert len(members.collect()) == 4 and counts.get == {"blobs": 2, "members": 4}
+        return
+    with pytest.raises(Exception, match=re.escape(reason)):
+        members.collect()
+    with pytest.raises(Exception, match=re.escape(reason)):  # neither fewer columns nor a filter lets it through
+        members.where("path like '%.rs'").select("package").write.format("noop").mode("overwrite").save()
+    fine = files.extracted(measured, releases.where("package = 'good'"), blobs)
+    assert {r.path for r in files.source_members(fine).collect()} == {"Cargo.toml", "src/lib.rs"}
+
+
+def test_a_blob_without_members_is_refused(spark):
+    buffer = io.BytesIO()
+    tarfile.open(fileobj=buffer, mode="w:gz").close()
+    empty = spark.createDataFrame([("p", "1", bytearray(buffer.getvalue()))], "package string, vers string, content binary")
+    assert [tuple(r) for r in files.refused(empty).collect()] == [("p", "1", "no manifest")]
+    with pytest.raises(Exception, match="unsafe path src/../../x"):
+        files.source_members(spark.createDataFrame([("p", "1", "t/src/../../x", 0o644, bytearray(b""))], MEMBER)).collect()
 
 
 def test_attestation_docs_and_blobs(spark, tmp_path):
