@@ -2,7 +2,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from releaselake.operators import dataset, files, index, validate
-from releaselake.streaming.sync import INDEX, apply_batch
 
 REL = "provider_id string, kind string, id string, package string, cksum string"
 PRIOR = "provider_id string, kind string, id string, cksum string, blob string"
@@ -115,12 +114,3 @@ def test_unpack_and_verify(spark):
     states = {(r.package, r.vers): (r.state, r.reason) for r in files.verified(rel, blobs.union(blobs.withColumn("package", F.lit("q")))).collect()}
     assert states == {("p", "1"): ("built", None), ("p", "2"): ("failed", "missing"), ("q", "1"): ("built", None)}
     assert files.verified(rel.withColumn("cksum", F.lit("deadbeef")), blobs).where("vers = '1' and package = 'p'").first().reason == "mismatch"
-
-
-def test_stream_batch_is_idempotent(spark):
-    batch = spark.createDataFrame([("p", "k", "1", "pk", "a", 1), ("p", "k", "1", "pk", "b", 2), ("p", "k", "2", "pk", None, 3)], REL + ", seq long")
-    added = apply_batch(batch, spark.createDataFrame([], INDEX))
-    assert {(r.id, r.cksum) for r in added.collect()} == {("1", "b"), ("2", None)}
-    assert apply_batch(batch, added).count() == 0
-    moved = batch.withColumn("cksum", F.lit("z"))
-    assert apply_batch(moved, added).count() == 2
