@@ -34,6 +34,7 @@ from .common import join_hot, materialize
 TOKENIZER = "byte_bpe_50k.tiktoken"
 NODE = 16  # bytes of a node's hash
 DEPTH = 4  # bytes of a depth in a path
+BLOCK = 256  # tokens of the stream that are looked up together
 LOSS_ROLE = "assistant"
 END = "<|end|>\n"
 _SPECIAL = re.compile(r"([<\[|\\])")
@@ -167,27 +168,44 @@ def _ancestors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out.filter(pc.invert(batch.column("carried")))
 
 
+def spoken(nodes: DataFrame, conversations: DataFrame) -> DataFrame:
+    """conv_id, position, ids, loss_from, loss_to: every conversation as cut from the emitted stream, by the ancestor intervals of its last node and that node itself.
+
+    Intervals and nodes meet in blocks of ``BLOCK`` tokens of the stream; an interval holds whole nodes, which start in it. ``nodes`` should be cheap to read twice."""
+    last = conversations.groupBy("conv_id").agg(F.max_by("node", "turn_no").alias("node"))
+    spans = nodes.select("node", F.concat("ancestors", F.array(F.struct("start", "end"))).alias("spans"))
+    asked = join_hot(last, spans, ["node"]).select("conv_id", F.explode("spans").alias("span")).select("conv_id", F.col("span.start").alias("from"), F.col("span.end").alias("to"))
+    block = lambda c: F.floor(c / F.lit(BLOCK))
+    asked = materialize(asked.withColumn("block", F.explode(F.sequence(block(F.col("from")), block(F.col("to") - 1)))), "asked")
+    stream = nodes.select(block(F.col("start")).alias("block"), "start", F.col("position_ids")[0].alias("position"), "ids", "loss_from", "loss_to")
+    met = join_hot(asked, stream, ["block"]).where((F.col("start") >= F.col("from")) & (F.col("start") < F.col("to")))
+    return met.select("conv_id", "position", "ids", "loss_from", "loss_to")
+
+
 def read_back(nodes: DataFrame, conversations: DataFrame, path: str | None = None) -> DataFrame:
-    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, decoded from the nodes' token ids."""
-    parts = join_hot(conversations, nodes.select("node", "ids", "loss_from", "loss_to"), ["node"]).select("conv_id", "turn_no", "ids", "loss_from", "loss_to")
-    dealt = parts.repartition("conv_id").sortWithinPartitions("conv_id", "turn_no")
+    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, decoded from the emitted stream. Tokens stand where their position ids say, and a
+    conversation whose positions do not follow one another is an error."""
+    dealt = spoken(nodes, conversations).repartition("conv_id").sortWithinPartitions("conv_id", "position")
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = encoding(path).decode_bytes
-        open_: list | None = None  # conversation, turns, their digest, loss characters, their digest, formatted characters
+        open_: list | None = None  # conversation, turns, their digest, loss characters, their digest, formatted characters, tokens
 
         def told(o: list) -> tuple:
             return o[0], o[1], o[2].hexdigest(), o[3], o[4].hexdigest(), o[5]
 
         for batch in batches:
             out = []
-            for conv_id, ids, lo, hi in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "ids", "loss_from", "loss_to"))):
+            for conv_id, position, ids, lo, hi in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "position", "ids", "loss_from", "loss_to"))):
                 if open_ and conv_id != open_[0]:
                     out.append(told(open_))
                     open_ = None
-                open_ = open_ or [conv_id, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                open_ = open_ or [conv_id, 0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
+                if position != open_[6]:
+                    raise ValueError(f"conversation {conv_id} has position {position} where {open_[6]} is due")
+                open_[6] += len(ids)
                 formatted = decode(ids).decode()
                 for role, text in parse(formatted):
                     open_[1] += 1
@@ -205,5 +223,6 @@ def read_back(nodes: DataFrame, conversations: DataFrame, path: str | None = Non
 
 
 def digest(conversations: DataFrame, path: str | None = None) -> DataFrame:
+    """The result that the registered query returns: what is read back from the emitted stream. No conversations give no rows."""
     nodes, said = forest(conversations, path)
-    return read_back(nodes, said, path)
+    return read_back(materialize(nodes, "emitted"), said, path)

@@ -60,6 +60,17 @@ def join_hot(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner"
     return dealt.join(spread, [*on, "_lot"], how).drop("_lot")
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for helper columns that no column of ``df`` has, in whatever case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -55,6 +55,7 @@ GROUPS = (
 GROUP = re.compile("|".join(f"(?P<g{i}>(?:{g})(?![a-z]))" for i, g in enumerate(GROUPS)))
 WORDY = re.compile(r"[a-z]+")
 OPEN = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
+COMMENT_END = re.compile(r"--(!)?>")
 QUICK_END = re.compile(r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])))*+>""")
 STOP = re.compile(r"""[<>]|=\s*["']""")
 QUICK = 4_096  # characters in which a tag's end is looked for first
@@ -78,8 +79,10 @@ class Tags:
         while m := OPEN.search(source, at):
             start = m.start()
             if m[1]:
-                at = source.find("-->", start + 2) + 3
-                at = len(source) if at == 2 else at
+                stop = COMMENT_END.search(source, start + 2)
+                while stop and stop[1] and stop.start() < start + 4:  # its dashes open the comment
+                    stop = COMMENT_END.search(source, stop.start() + 1)
+                at = stop.end() if stop else len(source)
                 yield start, at, "", "", ""
                 continue
             end = source.find(">", m.end()) if m[2] else self.end(m)

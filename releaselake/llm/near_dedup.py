@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, doc_texts, join_hot, map_rows, materialize, raw
+from .common import discard, doc_texts, free_names, join_hot, map_rows, materialize, raw
 
 WORDS = 5
 SHARE = 75  # percent of the union that the intersection must reach
@@ -234,10 +234,10 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: the result that the registered query returns, one row for each row of docs."""
-    named = _named(docs)
-    out = _classes(named.select(F.col("_row").alias("doc_id"), "text"))
-    if "_made" in named.columns:  # some rows go by another name than their id
-        ids = named.select(F.col("_row").alias("doc_id"), F.col("doc_id").cast("long").alias("_id")).distinct()
+    named, row, made = _named(docs.select("doc_id", "text"))
+    out = _classes(named.select(F.col(row).alias("doc_id"), "text"))
+    if made:  # some rows go by another name than their id
+        ids = named.select(F.col(row).alias("doc_id"), F.col("doc_id").cast("long").alias("_id")).distinct()
         out = materialize(out.drop("kept").join(ids, "doc_id"), "named")
         least = out.groupBy("component_id").agg(F.min("_id").alias("_least"), F.count("*").alias("n"))
         out = join_hot(out, least.drop("n"), ["component_id"], counts=least.drop("_least")).select(F.col("_id").alias("doc_id"), "n_shingles", F.col("_least").alias("component_id"))
@@ -296,19 +296,23 @@ def _classes(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents that stand for their component; all columns stay. Rows go only as copies of the same or a near text, whatever their ids are."""
-    named = _named(docs)
-    kept = _classes(named.select(F.col("_row").alias("doc_id"), "text")).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return named.join(kept, F.col("_row") == F.col("_kept"), "left_semi").dropDuplicates(["_row"]).select(*docs.columns)
+    """The documents that stand for their component; all columns stay, whatever they are called. Rows go only as copies of the same or a near text, whatever their ids are."""
+    named, row, _ = _named(docs)
+    (kept,) = free_names(named, "kept_row")
+    found = _classes(named.select(F.col(row).alias("doc_id"), "text")).where("kept").select(F.col("doc_id").alias(kept)).distinct()
+    return named.join(found, F.col(row) == F.col(kept), "left_semi").dropDuplicates([row]).select(*docs.columns)
 
 
-def _named(docs: DataFrame) -> DataFrame:
-    """With ``_row``: the doc_id; a hash of id and text above usual ids where the id is null or belongs to another text too (``_made`` then tells which)."""
+def _named(docs: DataFrame) -> tuple[DataFrame, str, bool]:
+    """The documents with a column that names a row, that column, and whether some rows have a made name: a row's name is its doc_id, or a hash of id and text above usual
+    ids where the id is null or belongs to another text too."""
+    row, one, first = free_names(docs, "row_name", "shared_id", "first_text")
     of = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     key = F.col("doc_id").cast("long")
-    shared = docs.select(key.alias("_id"), of.alias("h")).groupBy("_id").agg(F.min("h").alias("_first"), F.max("h").alias("_last")).where("_id is null or _first <> _last").drop("_last")
+    shared = docs.select(key.alias(one), of.alias("h")).groupBy(one).agg(F.min("h").alias(first), F.max("h").alias("last")).where(F.col(one).isNull() | (F.col(first) != F.col("last"))).drop("last")
     made = F.xxhash64(F.coalesce(key.cast("string"), F.lit("")), of).bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
     if shared.isEmpty():  # the usual case needs no join
-        return docs.withColumn("_row", key)
-    marked = docs.join(shared.where("_id is not null"), key == F.col("_id"), "left").withColumn("_made", key.isNull() | F.coalesce(of != F.col("_first"), F.lit(False)))
-    return marked.withColumn("_row", F.when(F.col("_made"), made).otherwise(key)).drop("_id", "_first")
+        return docs.withColumn(row, key), row, False
+    marked = docs.join(shared.where(F.col(one).isNotNull()), key == F.col(one), "left")
+    other = key.isNull() | F.coalesce(of != F.col(first), F.lit(False))
+    return marked.withColumn(row, F.when(other, made).otherwise(key)).drop(one, first), row, True

@@ -448,3 +448,21 @@ def test_keep_one_drops_only_copies(spark):
     got = near_dedup.keep_one(spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("en")).repartition(3))
     assert got.columns == ["doc_id", "text", "lang"]
     assert sorted((r.doc_id or 0, r.text[0]) for r in got.collect()) == [(0, "a"), (0, "b"), (1, "c"), (2, "d"), (2, "e"), (3, "f")]
+
+
+@pytest.mark.parametrize("shared", [False, True])
+def test_stages_keep_columns_of_any_name(spark, shared):
+    """Helper columns take names that the documents do not have, whether or not rows share ids."""
+    import corpus_pipeline
+
+    rows = [(1, "one two three four five six"), (2, "one two three four five six"), (3, "write to someone@example.org about it"), (4, None), *([(None, "no id"), (3, "another text")] if shared else [])]
+    names = ["_row", "_made", "_id", "_first", "_kept", "row_name", "shared_id", "first_text", "kept_row", "Row_Name_", "h", "last", "n", "component_id", "key", "spans", "score", "n_chars"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.concat(F.lit(f"{c} of "), F.coalesce(F.col("text"), F.lit("-"))) for c in names[:-1]}).withColumn("n_chars", F.length("text").cast("long"))
+    was = {r.text: r.asDict() for r in docs.collect()}
+    got = near_dedup.keep_one(docs)
+    assert got.columns == docs.columns and {r.text for r in got.collect()} == set(was)
+    assert all({k: v for k, v in r.asDict().items() if k != "doc_id"} == {k: v for k, v in was[r.text].items() if k != "doc_id"} for r in got.collect())
+    labels = spark.createDataFrame([(1, 0, 0), (3, 0, 0)], "doc_id long, quality int, toxic int")
+    for _, stage in (("toxicity", lambda d: toxicity.clean(d, labels)), corpus_pipeline.STAGES[2]):
+        out = stage(docs) if _ == "toxicity" else stage(spark, docs, "")
+        assert out.columns == docs.columns and {tuple(r[c] for c in names[:-1]) for r in out.collect()} == {tuple(r[c] for c in names[:-1]) for r in docs.collect()}

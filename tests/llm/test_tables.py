@@ -129,6 +129,28 @@ def test_chat_round_trip_and_shared_nodes(spark):
     assert chat.digest(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("broken", ["interval", "position", "place"])
+def test_what_is_read_back_depends_on_the_tree(spark, broken):
+    """A changed ancestor interval, position or place in the stream does not go unnoticed."""
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", f"turn {t} {c if t > 1 else 0}") for c in (1, 2, 3) for t in range(4)]
+    nodes, last = chat.forest(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    nodes = nodes.cache()
+    good = sorted(map(tuple, chat.read_back(nodes, last).collect()))
+    assert len(good) == 3
+    shift = {
+        "interval": ("ancestors", F.transform("ancestors", lambda a: F.struct(a["start"].alias("start"), (a["end"] - 1).alias("end")))),
+        "position": ("position_ids", F.transform("position_ids", lambda p: p + F.when(F.col("depth") == 2, 1).otherwise(0))),
+        "place": ("start", F.col("start") + F.when(F.col("depth") == 1, 100_000).otherwise(0)),
+    }[broken]
+    off = nodes.where("depth > 0").withColumn(*shift).unionByName(nodes.where("depth = 0"))
+    if broken == "interval":
+        off = off.withColumn("ancestors", F.when(F.col("depth") == 3, F.slice("ancestors", 2, 9)).otherwise(F.col("ancestors")))
+    try:
+        assert sorted(map(tuple, chat.read_back(off, last).collect())) != good
+    except Exception as e:  # noqa: BLE001
+        assert "is due" in str(e)
+
+
 def test_hot_turns_and_ancestors_across_ranges(spark, monkeypatch):
     """Conversations that branch at every depth, over many ranges, with a first turn that all share."""
     monkeypatch.setattr(common, "HOT_ROWS", 10)
@@ -215,7 +237,8 @@ def test_missing_end_tags_lose_no_text(source, want):
     "source, want",
     [
         ("<p title=it's>one</p><p>two's</p>", ["one", "two's"]), ('<p title="a>b">one</p>', ["one"]), ('<p title="a>one</p><p>two</p>', ["one", "two"]), ("<p>1 < 2 and 3 > 2</p>", ["1 < 2 and 3 > 2"]), ("<p>a <b", ["a <b"]),
-        ("<!--><p>one</p>", ["one"]), ("<!-- x --><p>one</p><!-- y", ["one"]), ("<script>a</script x><p>one</p>", ["one"]), ('<div class="a" "><p>one</p></div>', ["one"]), ("<p>a <datalist><option>x<option>y</datalist> b</p>", ["a b"]),
+        ("<!--><p>one</p>", ["one"]), ("<p>a<!-- x --!>b</p><p>c</p>", ["ab", "c"]), ("<!--!><p>no</p>--><p>one</p>", ["one"]), ("<!---!><p>no</p>--!><p>one</p>", ["one"]), ("<!----!><p>one</p>", ["one"]), ("<!--a--!-->x<p>one</p>", ["x", "one"]),
+        ("<!-- - -- -- > --><p>one</p>", ["one"]), ("<!-- x --><p>one</p><!-- y", ["one"]), ("<script>a</script x><p>one</p>", ["one"]), ('<div class="a" "><p>one</p></div>', ["one"]), ("<p>a <datalist><option>x<option>y</datalist> b</p>", ["a b"]),
         ("<li><p>one<li>two", ["one", "two"]), ("<p><i>a<div>b</i>c</div>", ["a", "bc"]),
     ],
 )
