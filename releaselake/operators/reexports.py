@@ -106,20 +106,20 @@ def resolved_leaves(items: DataFrame, measured: DataFrame, graph: DataFrame, fac
     ``measured(package, vers)``, ``graph(facade_id, lib_name, package)``, ``facades(facade_id, package)``, ``aliases(package, vers, name)``. Adds target
     (package), is_measured, external (a normal dependency of the line's crate), module (the path selected within the target), whole (a module or glob) and is_module."""
     scope = graph.select("facade_id", "package").unionByName(facades.select("facade_id", "package")).distinct()
-    layers = graph.select(F.col("package")).distinct()
     whole = F.col("glob") | F.col("name").isNull() | (F.col("name") == "self")
     inner = F.slice("path", 2, 1 << 20)
     leaves = leaf_rows(items).join(scope, "package")
     leaves = leaves.withColumn("lib", F.get("path", 0)).withColumn("module", F.when(whole, _joined(inner)).otherwise(_joined(inner, F.col("name")))).withColumn("whole", whole)
     leaves = leaves.join(graph.select("facade_id", F.col("lib_name").alias("lib"), F.col("package").alias("target")), ["facade_id", "lib"], "left")
-    there = measured.select(F.col("package").alias("target"), "vers", F.lit(True).alias("_measured")).distinct()
+    leaves = found = materialize(leaves, "leaves")
+    there = measured.select(F.col("package").alias("target"), "vers").join(found.select("target", "vers").distinct(), ["target", "vers"], "left_semi").distinct().withColumn("_measured", F.lit(True))
     leaves = leaves.join(there, ["target", "vers"], "left").withColumn("is_measured", F.coalesce("_measured", F.lit(False))).drop("_measured")
-    names = aliases.select("package", "vers", F.col("name").alias("lib"), F.lit(True).alias("_external")).distinct()
+    asked = found.select("package", "vers", "lib").distinct()  # few of the dependencies are named by a line
+    names = aliases.select("package", "vers", F.col("name").alias("lib")).join(asked, ["package", "vers", "lib"], "left_semi").distinct().withColumn("_external", F.lit(True))
     leaves = leaves.join(names, ["package", "vers", "lib"], "left").withColumn("external", F.coalesce("_external", F.lit(False))).drop("_external")
-    leaves = materialize(leaves, "leaves")
-    named = leaves.where(~F.col("whole") & F.col("target").isNotNull()).select(F.col("target").alias("package"), "vers", "module")
-    found = _with_wanted(items.select("package", "vers", "key"), named, name_prefixes(item_name(F.col("key")), proper=True))
-    modules = found.select(F.col("package").alias("target"), "vers", "module").distinct().withColumn("_module", F.lit(True))
+    named = found.where(~F.col("whole") & F.col("target").isNotNull()).select(F.col("target").alias("package"), "vers", "module")
+    inside = _with_wanted(items.select("package", "vers", "key"), named, name_prefixes(item_name(F.col("key")), proper=True))
+    modules = inside.select(F.col("package").alias("target"), "vers", "module").distinct().withColumn("_module", F.lit(True))
     leaves = leaves.join(modules, ["target", "vers", "module"], "left")
     return leaves.withColumn("is_module", F.col("whole") | F.coalesce("_module", F.lit(False))).drop("_module")
 

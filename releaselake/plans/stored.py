@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.versions import compiler_version, semver_key
 from ..operators import attest, curation, dataset, files, index
-from ..sources import readers, writers
+from ..sources import adapters, readers, writers
 from ..sources.shared import materialize, shared_path
 from .registry import View, query
 
@@ -384,3 +384,18 @@ def toolchain_lists(v: View) -> DataFrame:
     lines = r.select("package", F.concat("two", F.lit("-x86_64-linux (default)")).alias("line"), F.lit(1).alias("ord")).union(r.where("k % 2 = 0").select("package", F.concat("two", F.lit(".0-x86_64-linux")), F.lit(2)))
     lines = lines.union(r.select("package", F.lit("stable-x86_64-linux"), F.lit(3)))
     return attest.installed_toolchains(lines, ["package"])
+
+
+@query("""
+SELECT e.id AS provider_id, 'registry-index' AS kind, r.package, r.vers, r.cksum, r.yanked, 2 * (row_number() OVER (PARTITION BY e.id ORDER BY r.vers) - 1) AS ord
+FROM {entities} e JOIN {releases} r ON r.package = CASE WHEN e.role = 'companion' THEN concat('pkg-', e.ord - 1) ELSE e.package END
+""")
+def sources_read(v: View) -> DataFrame:
+    """Every provider's source read by the adapter of its kind; companions name the package of the fork that they serve."""
+    r = v("releases").select("package", F.col("vers").alias("at"), _object(vers=F.col("vers"), cksum=F.col("cksum"), yanked=F.col("yanked")))
+    path = _write_lines(r.withColumn("json", F.concat("json", F.lit("\n"))), "registry", "package")
+    other = F.when(F.col("role") == "companion", F.concat(F.lit("pkg-"), F.col("ord") - 1))
+    source = F.struct(F.lit("registry-index").alias("kind"), other.alias("package"), F.lit(None).cast("string").alias("index_path"))
+    config = v("entities").select("id", "package", F.array(source).alias("sources"))
+    rows = adapters.read_sources(r.sparkSession, config, {"registry-index": path})
+    return rows.select("provider_id", "kind", "package", "vers", "cksum", "yanked", F.col("ord").cast("long").alias("ord"))
