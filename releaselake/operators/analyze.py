@@ -16,6 +16,26 @@ def dependency_stats(deps: DataFrame) -> DataFrame:
     return per.agg(F.sum("n").alias("edges"), F.countDistinct("name").alias("names"), F.coalesce(F.sum(F.when(F.col("releases") > 1, F.col("n"))), F.lit(0)).alias("shared_edges"))
 
 
+PRECISION = 14  # of the sketches: 2 ** 14 registers, a standard error of some 0.8 %
+
+
+def dependency_sketches(deps: DataFrame, by: list[str]) -> DataFrame:
+    """``by``, edges, and mergeable sketches of the distinct names, requirements (name, req) and depending releases of each batch of dependencies."""
+    sketch = lambda *c: F.hll_sketch_agg(F.concat_ws("\0", *c), F.lit(PRECISION))
+    return deps.groupBy(*by).agg(F.count("*").alias("edges"), sketch("name").alias("names"), sketch("name", "req").alias("requirements"), sketch("package", "vers").alias("dependents"))
+
+
+def merged_sketches(sketches: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """The sketches of several batches as those of one; batches may overlap in names, but a dependency is counted in one alone."""
+    union = lambda c: F.hll_union_agg(c).alias(c)
+    return sketches.groupBy(*(by or [])).agg(F.sum("edges").alias("edges"), union("names"), union("requirements"), union("dependents"))
+
+
+def sketched_stats(merged: DataFrame) -> DataFrame:
+    """edges, which are exact, and the estimated distinct names, requirements and dependents."""
+    return merged.withColumns({c: F.hll_sketch_estimate(c) for c in ("names", "requirements", "dependents")})
+
+
 def generation_classes(hashes: DataFrame) -> DataFrame:
     """Releases with one api_hash: how many, of how many packages, lowest and highest version, and whether it has twins in another package. Unmeasured releases are in no class."""
     key = semver_key(F.col("vers"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.items import item_kind, surface_hash
-from ..operators import analyze, attest, curation, dataset, hashing, reexports
+from ..operators import analyze, attest, bits, curation, dataset, hashing, reexports
 from ..sources.shared import materialize
 from .registry import View, query
 
@@ -471,6 +471,18 @@ def dependency_stats(v: View) -> DataFrame:
     return analyze.dependency_stats(v("deps"))
 
 
+@query("""
+SELECT count(*) AS edges, count(DISTINCT name) AS names, count(DISTINCT concat(name, req)) AS requirements, count(DISTINCT concat(package, '@', vers)) AS dependents, TRUE AS names_close, TRUE AS requirements_close, TRUE AS dependents_close FROM {deps}
+""")
+def dependency_estimates(v: View) -> DataFrame:
+    """Sketches of the dependencies of each year, merged, beside the exact counts: each estimate is within four standard errors."""
+    deps = v("deps").withColumn("year", F.split_part("vers", F.lit("."), F.lit(1)))
+    merged = analyze.sketched_stats(analyze.merged_sketches(materialize(analyze.dependency_sketches(deps, ["year"]), "sketches")))
+    exact = deps.agg(F.count("*").alias("edges"), F.countDistinct("name").alias("n"), F.countDistinct("name", "req").alias("r"), F.countDistinct("package", "vers").alias("d"))
+    close = lambda c, e: (F.abs(F.col(c) - F.col(e)) <= 0.032 * F.col(e)).alias(f"{c}_close")
+    return exact.join(merged, "edges").select("edges", F.col("n").alias("names"), F.col("r").alias("requirements"), F.col("d").alias("dependents"), close("names", "n"), close("requirements", "r"), close("dependents", "d"))
+
+
 #: Releases in version order: a pre-release of a quarter sorts as that quarter, each package has one form only.
 ORDER_SQL = """
 u AS (SELECT package, vers, key, min(digest) AS digest, min(cfg1) AS cfg FROM {own_items} GROUP BY ALL),
@@ -497,6 +509,19 @@ def first_removed(v: View) -> DataFrame:
     return analyze.first_removed(_delta(v))
 
 
+@query("WITH " + ORDER_SQL + "SELECT package, vers, key, change FROM dl WHERE change IS NOT NULL")
+def release_delta_bits(v: View) -> DataFrame:
+    """The same changes by bitmaps of releases."""
+    u = _once(v).select("package", "vers", "key", "digest", "cfg")
+    return bits.release_delta(u, u.select("package", "vers"))
+
+
+@query("WITH " + ORDER_SQL + "SELECT package, key, min_by(vers, CAST(split_part(vers, '.', 1) AS INT) * 10 + CAST(split_part(vers, '.', 2) AS INT)) AS vers FROM dl WHERE change = 'removed' GROUP BY package, key")
+def first_removed_bits(v: View) -> DataFrame:
+    u = _once(v).select("package", "vers", "key", "digest", "cfg")
+    return bits.first_removed(u, u.select("package", "vers"))
+
+
 @query("""
 WITH g AS (SELECT DISTINCT package, vers, split_part(key, ':', 1) AS kind, cfg1 FROM {own_items}),
 h AS (SELECT package, vers, sha256(string_agg(concat(kind, chr(0), '', chr(0), cfg1), chr(0) ORDER BY kind, cfg1)) AS api_hash FROM g GROUP BY package, vers),
@@ -552,6 +577,15 @@ def used_api_report(v: View) -> DataFrame:
     return _used(v("own_items"))[0]
 
 
+@query("WITH " + USED_SQL + "SELECT * FROM rp")
+def used_api_report_bits(v: View) -> DataFrame:
+    """The same report by bitmaps of releases."""
+    o = v("own_items")
+    items = o.select("package", "vers", "key", "digest").distinct()
+    base = items.select("package", F.lit("6.1.0").alias("vers")).distinct()
+    return bits.used_api_report(o.where("l_orderkey % 4 = 0").select("package", "key").distinct(), items, base)
+
+
 @query("WITH " + USED_SQL + """,
 o AS (SELECT *, CAST(split_part(vers, '.', 1) AS INT) * 10 + CAST(split_part(vers, '.', 2) AS INT) AS n FROM rp), r AS (SELECT *, sum(CASE WHEN compatible THEN 0 ELSE 1 END) OVER (PARTITION BY package ORDER BY n) AS run FROM o),
 m AS (SELECT package, run FROM r WHERE vers = '6.1.0' AND compatible)

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import dataset, files, index, validate
+from ..sources import published, writers
+from ..sources.buckets import bucketed
+from ..sources.shared import materialize, shared_path
 from .registry import View, query
 
 
@@ -260,3 +263,40 @@ def nested_index(v: View) -> DataFrame:
     r = F.flatten(F.transform("sources", lambda s: s["releases"]))
     text = F.transform(r, lambda x: F.concat(x["id"], F.lit("="), F.coalesce(x["artifact"]["blob"], F.lit(""))))
     return n.select("provider_id", F.size(r).cast("long").alias("releases"), F.array_join(text, ",").alias("listed"))
+
+
+@query(PLAN_SQL.format(keep="", yes="reused", no="new"))
+def bucketed_sync_plan(v: View) -> DataFrame:
+    """The sync plan over releases and a prior index that are stored by their keys, so that their join moves neither."""
+    buckets = int(v("entities").sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    releases, prior = (bucketed(df, index.RELEASE, buckets, name) for df, name in ((_releases(v), "releases"), (_prior(v), "prior")))
+    return _plan(index.classify(releases, prior))
+
+
+def _publications(v: View) -> tuple[str, list[DataFrame]]:
+    """The prior index published twice: every tenth provider is new in the second, another tenth vanished, and the checksums of every third have moved. What each publication moved."""
+    rows = v("prior").withColumns({"kind": F.lit("registry-index"), "id": F.col("vers"), "ord": F.col("vers")})
+    k = F.regexp_replace("provider_id", "prov-", "").cast("int")
+    first, second = rows.where(k % 10 != 9), rows.where(k % 10 != 7).withColumn("cksum", F.when(k % 3 == 0, F.md5("cksum")).otherwise(F.col("cksum")))
+    path = shared_path(rows.sparkSession, "published")
+    return path, [published.publish(materialize(writers.index_lines(r), "lines"), path) for r in (first, second)]
+
+
+@query("""
+WITH p AS (SELECT DISTINCT provider_id AS id, CAST(substr(provider_id, 6) AS INT) AS k FROM {prior})
+SELECT id, CASE WHEN k % 10 = 9 THEN 'new' WHEN k % 10 = 7 THEN 'vanished' ELSE 'changed' END AS change FROM p WHERE k % 10 IN (7, 9) OR k % 3 = 0
+""")
+def index_changes(v: View) -> DataFrame:
+    """The providers that a second publication moved, as the hash trees tell."""
+    return _publications(v)[1][1]
+
+
+@query("""
+SELECT provider_id AS id, CASE WHEN k % 10 = 9 OR k % 3 = 0 THEN 2 ELSE 1 END AS version, count(*) AS releases
+FROM (SELECT provider_id, CAST(substr(provider_id, 6) AS INT) AS k FROM {prior}) WHERE k % 10 <> 7 GROUP BY provider_id, k
+""")
+def published_index(v: View) -> DataFrame:
+    """What is published after that, and the version that wrote each provider last."""
+    path, _ = _publications(v)
+    text = F.get_json_object("json", "$.providers[0].sources[0].releases[*].id")
+    return published.published(v("entities").sparkSession, path).select("id", "version", F.size(F.split(text, ",")).cast("long").alias("releases"))

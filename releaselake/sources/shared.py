@@ -25,3 +25,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _there(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """What lies in a folder, in order; nothing if there is no such folder."""
+    at, store = _there(spark, path)
+    return sorted(s.getPath().getName() for s in store.listStatus(at)) if store.exists(at) else []
+
+
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether the writing of a table ended."""
+    at, store = _there(spark, f"{path}/_SUCCESS")
+    return store.exists(at)

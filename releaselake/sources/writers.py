@@ -26,18 +26,30 @@ def canonical_json(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(_ordered(F.struct(*df.columns), df.schema), {"ignoreNullFields": "false"}).alias("json"))
 
 
-def write_index(releases: DataFrame, path: str, providers: DataFrame | None = None, schema: str = "index.v1") -> None:
-    """Key-sorted, compact, gzipped lines, each a document with one provider, in config order, else in order of their ids.
+def index_documents(releases: DataFrame, providers: DataFrame | None = None, schema: str = "index.v1") -> DataFrame:
+    """id, ord (if the providers have it), document: a document for each provider, with its sources and their releases.
 
-    ``providers(ord, id, package, repository, description)`` may hold more columns, which are written too, and providers without releases."""
+    ``providers(ord, id, package, repository, description)`` may hold more columns, which are in the document too, and providers without releases."""
     n = nested(releases).withColumnRenamed("provider_id", "id")
     if providers is not None:
         n = providers.join(n, "id", "left")
     n = n.withColumn("sources", F.coalesce("sources", F.array().cast(n.schema["sources"].dataType)))
-    order = ["ord", "id"] if "ord" in n.columns else ["id"]
     fields = [c for c in n.columns if c != "ord"]
-    lines = n.orderBy(*order).select(F.lit(schema).alias("schema"), F.array(F.struct(*fields)).alias("providers"))
-    canonical_json(lines).write.mode("overwrite").option("compression", "gzip").text(path)
+    held = [c for c in ("ord", "id") if c in n.columns]
+    return n.select(*held, F.struct(F.lit(schema).alias("schema"), F.array(F.struct(*fields)).alias("providers")).alias("document"))
+
+
+def index_lines(releases: DataFrame, providers: DataFrame | None = None, schema: str = "index.v1") -> DataFrame:
+    """id, json: the canonical line of each provider, as ``published`` takes them."""
+    d = index_documents(releases, providers, schema)
+    return d.select("id", F.to_json(_ordered(F.col("document"), d.schema["document"].dataType), {"ignoreNullFields": "false"}).alias("json"))
+
+
+def write_index(releases: DataFrame, path: str, providers: DataFrame | None = None, schema: str = "index.v1") -> None:
+    """Key-sorted, compact, gzipped lines, each a document with one provider, in config order, else in order of their ids."""
+    d = index_documents(releases, providers, schema)
+    order = ["ord", "id"] if "ord" in d.columns else ["id"]
+    canonical_json(d.orderBy(*order).select("document.*")).write.mode("overwrite").option("compression", "gzip").text(path)
 
 
 def content_digest(df: DataFrame) -> DataFrame:
