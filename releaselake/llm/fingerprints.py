@@ -9,7 +9,7 @@ start of the next document, in descending doc_id. For that the ids alone are cut
 reach the driver; texts are shuffled once by range, the first document of a range also going to the range before.
 
 Null text counts as empty, whose digest has no counts. A single document is its own next one. Rows with equal ids are taken
-in the order of their texts' hashes; null ids come last, each range is read as a stream, and texts are digested whole.
+in the order of their texts' hashes; null ids come last, each range is read as a stream, and texts are digested whole. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -6,7 +6,7 @@ read by its length-prefixed fields, and a signed token must have a JSON header t
 where no letter of theirs stands before, and every pattern reads a text in time proportional to its length.
 
 Null text counts as empty; an empty text has no spans; texts of any length are scanned whole. Repeated rows give
-repeated results. Other columns of the input are ignored.
+repeated results. Other columns of the input are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -8,7 +8,7 @@ whose crc32(doc_id as text) mod 3 is not 1; the class prior is the toxic share o
 the ``VOCABULARY`` strings that are most significantly commoner among the positives. Every document is then scored whole.
 
 Null and empty texts get the score of no features at all. Without any positive the score is 0 everywhere. Repeated rows get equal
-scores; repeated labels count once, toxic if any is; null labels are left out. Other columns never enter a score.
+scores; repeated labels count once, toxic if any is; null labels are left out. Other columns never enter a score. An empty table gives an empty result.
 """
 
 from __future__ import annotations
