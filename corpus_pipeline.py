@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from releaselake.llm import near_dedup, packing, pii, toxicity
-from releaselake.llm.common import materialize, read
+from releaselake.llm.common import discard, materialize, read
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +48,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs, written = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        if written is not None:
+            discard(written)  # the stage after it is a table of its own by now
+        written = docs
     return STAGES[-1][1](spark, docs, sf_dir)
