@@ -256,12 +256,19 @@ def floor_plan(v: View) -> DataFrame:
     return _floored(v).select("package", "vers", "attempt", "missing")
 
 
-@query("SELECT DISTINCT CASE rust_version WHEN '1.85' THEN '1.85.0' ELSE rust_version END AS version FROM {releases} WHERE rust_version IN ('1.85', '1.97.1')")
+#: A declared version of one to three numbers, and those three numbers; other declarations say nothing.
+PADDED_SQL = """
+pd AS (SELECT *, CASE WHEN regexp_full_match(trim(rust_version), '[0-9]+([.][0-9]+)?([.][0-9]+)?') THEN list_resize(string_split(trim(rust_version), '.'), 3, '0') END AS parts FROM {releases}),
+nb AS (SELECT *, array_to_string(parts, '.') AS padded, list_transform(parts, lambda x: CAST(x AS BIGINT)) AS numbers FROM pd)
+"""
+
+
+@query("WITH " + PADDED_SQL + "SELECT DISTINCT padded AS version FROM nb WHERE numbers < list_transform(string_split('" + ACTIVE + "', '.'), lambda x: CAST(x AS BIGINT))")
 def wanted_toolchains(v: View) -> DataFrame:
     return attest.wanted_toolchains(v("releases"), ACTIVE)
 
 
-@query("SELECT package, vers, rust_version FROM {releases} WHERE rust_version = '1.99'")
+@query("WITH " + PADDED_SQL + "SELECT package, vers, rust_version FROM nb WHERE numbers > list_transform(string_split('" + ACTIVE + "', '.'), lambda x: CAST(x AS BIGINT))")
 def floor_advisory(v: View) -> DataFrame:
     return attest.floor_advisory(v("releases"), ACTIVE).select("package", "vers", "rust_version")
 
@@ -287,6 +294,7 @@ ix AS (SELECT package, vers, 'reused' AS origin FROM dec WHERE reason IS NULL
 def _index(v: View) -> tuple[DataFrame, DataFrame]:
     """What was measured in this run wrote documents of one kind, except in packages whose name ends in 3."""
     decided, failed, entries, docs, intact = _decided(v)
+    decided = materialize(decided, "decided")  # both reused and measured releases come from it
     measured = decided.where("not reused")
     fresh = measured.where("length(vers) = 5 AND substr(package, -1) <> '3'").select(F.lit("tvm").alias("kind"), "package", "vers", F.md5(F.col("vers").cast("binary")).alias("sha256"), F.lit("v1").alias("schema"))
     return attest.attestation_index(entries, decided, attest.carried_failures(failed, entries, intact), attest.recorded(measured, fresh)), docs
@@ -398,9 +406,9 @@ def _of_forks(v: View, df: DataFrame) -> DataFrame:
     return df.join(v("entities").where("role = 'fork'").select("package"), "package", "left_semi")
 
 
-def _rules(v: View, of: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def _rules(v: View, within: DataFrame | None = None, gates_on: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     u = _once(v)
-    near = analyze.with_neighbours(u if of is None else of)
+    near = analyze.with_neighbours(u if within is None else within)
     r = u.join(near.where("next_vers is not null"), ["package", "vers"]).groupBy("provider_id", "package", "k", "vers", "next_vers").agg(F.min("key").alias("from_key"), F.max("key").alias("to_key"))
     bad = F.when(F.col("k") % 20 == 0, "0")
     of = lambda c: F.md5(F.concat_ws("@", "provider_id", c).cast("binary"))
@@ -409,7 +417,7 @@ def _rules(v: View, of: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
         F.col("provider_id").alias("to_provider"), F.col("next_vers").alias("to_version"), of("next_vers").alias("to_hash"), (F.col("k") % 15 != 0).alias("human_confirmed"),
     )
     versions = v("releases").select("provider_id", "vers", of("vers").alias("api_hash"))
-    return rules, curation.rule_check(rules, versions, u.select("provider_id", "vers", "key", "cfg"))
+    return rules, curation.rule_check(rules, versions, u.select("provider_id", "vers", "key", "cfg"), gates_on)
 
 
 @query("WITH " + RULE_SQL + "SELECT id, status FROM st")
@@ -417,6 +425,13 @@ def rule_check(v: View) -> DataFrame:
     return _rules(v)[1]
 
 
+@query("WITH " + RULE_SQL.replace("WHEN n.cfg <> '' THEN 'gated' ", "") + "SELECT id, status FROM st")
+def rule_check_gates_on(v: View) -> DataFrame:
+    """The same rules for a build that enables the one gate there is, so that none is held back by it."""
+    gates = v("own_items").select(F.col("cfg1").alias("gate")).where("gate <> ''").distinct()
+    return _rules(v, gates_on=gates)[1]
+
+
 PLAN_SQL = """,
 fx AS (SELECT package, vers, lead(vers) OVER (PARTITION BY package ORDER BY CAST(split_part(vers, '.', 1) AS INT), CAST(split_part(vers, '.', 2) AS INT)) AS next FROM (SELECT DISTINCT package, vers FROM u)),
 a AS (SELECT u.package, u.vers, fx.next, u.key, u.digest FROM u JOIN fx USING (package, vers) WHERE fx.next IS NOT NULL),

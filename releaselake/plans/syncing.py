@@ -208,7 +208,10 @@ def dependency_aliases(v: View) -> DataFrame:
     return dataset.dependency_aliases(v("deps"))
 
 
-@query("SELECT provider_id, vers, rust_version, CASE rust_version WHEN '1.85' THEN '1.85.0' WHEN '1.99' THEN '1.99.0' ELSE rust_version END AS floor FROM {releases} r JOIN {entities} e ON e.id = r.provider_id AND e.role = 'fork' WHERE rust_version <> ''")
+@query("""
+SELECT provider_id, vers, rust_version, CASE WHEN regexp_full_match(trim(rust_version), '[0-9]+([.][0-9]+)?([.][0-9]+)?') THEN array_to_string(list_resize(string_split(trim(rust_version), '.'), 3, '0'), '.') END AS floor
+FROM {releases} r JOIN {entities} e ON e.id = r.provider_id AND e.role = 'fork' WHERE rust_version <> ''
+""")
 def declared_floors(v: View) -> DataFrame:
     return dataset.declared_floors(_entities(v), v("releases")).select("provider_id", "vers", "rust_version", "floor")
 
