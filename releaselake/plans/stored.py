@@ -137,14 +137,16 @@ WITH d AS (SELECT CASE WHEN r.k % 2 = 0 THEN 'tvm' ELSE 'eac' END AS kind, r.pac
 SELECT kind, package, vers, sha256(concat('{{', CASE WHEN tagged THEN concat('"schema":"', kind, '.v1",') ELSE '' END, '"of":"', package, '@', vers, '"}}', chr(10))) AS sha256, CASE WHEN tagged THEN concat(kind, '.v1') END AS schema FROM d
 """)
 def attestation_docs_read(v: View) -> DataFrame:
-    """A document a release of every fork, in a folder of its own; those of every third package have no schema tag."""
+    """A document a release of every fork, those of every third package without a schema tag: most lie in archives of many, those of every tenth fork in a folder of their own each."""
     r = v("releases").join(dataset.forks(v("entities")).select(F.col("id").alias("provider_id")), "provider_id", "left_semi")
     r = r.withColumn("kind", F.when(F.col("k") % 2 == 0, "tvm").otherwise("eac"))
-    docs = r.select("kind", "package", "vers", F.when(F.col("k") % 3 != 0, F.concat("kind", F.lit(".v1"))).alias("schema"), F.concat_ws("@", "package", "vers").alias("of"))
-    path = shared_path(r.sparkSession, "documents")
-    tasks = int(r.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a given number, since small rows in many files would else fall to one task
-    docs.repartition(tasks, "package", "vers").write.partitionBy("kind", "package", "vers").json(path)
-    return readers.attestation_docs(r.sparkSession, path)
+    spark, alone = r.sparkSession, F.col("k") % 25 == 3
+    fields = [F.when(F.col("k") % 3 != 0, F.concat("kind", F.lit(".v1"))).alias("schema"), F.concat_ws("@", "package", "vers").alias("of")]
+    path, archive = shared_path(spark, "documents"), shared_path(spark, "archive")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # a given number, since small rows in many files would else fall to one task
+    r.where(alone).select("kind", "package", "vers", *fields).repartition(tasks, "package", "vers").write.partitionBy("kind", "package", "vers").json(path)
+    r.where(~alone).select("kind", "package", "vers", F.concat(F.to_json(F.struct(*fields)), F.lit("\n")).alias("text")).write.json(archive)
+    return readers.attestation_docs(spark, path).unionByName(readers.attestation_archive(spark, archive))
 
 
 HERE = ("t1", "1.98.1", "1.98.1")

@@ -146,6 +146,15 @@ def attestation_docs(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(part(1).alias("kind"), part(2).alias("package"), part(3).alias("vers"), F.sha2("content", 256).alias("sha256"), F.get_json_object(F.decode("content", "UTF-8"), "$.schema").alias("schema"))
 
 
+ARCHIVED = "kind string, package string, vers string, text string"
+
+
+def attestation_archive(spark: SparkSession, path: str) -> DataFrame:
+    """The same columns of files that hold many documents: lines of kind, package, vers and the document's whole text, whose digest counts. A folder of single documents makes the driver list a file for each."""
+    rows = _json(spark, path, ARCHIVED, multi_line=False)
+    return rows.select("kind", "package", "vers", F.sha2(F.col("text").cast("binary"), 256).alias("sha256"), F.get_json_object("text", "$.schema").alias("schema"))
+
+
 DOC = "struct<sha256:string,schema:string>"
 ENTRY = f"struct<cksum:string,lock:string,floor:string,tvm:{DOC},eac:{DOC}>"
 ATTESTATIONS = "schema string, environment struct<tool:string,rustc:string,rustdoc:string>, entries map<string,string>"

@@ -143,6 +143,9 @@ def test_attestation_docs_and_blobs(spark, tmp_path):
     assert got == {"tvm": ("p", "1.0.0", "v1", 64), "eac": ("p", "1.0.0", None, 64)}
     spark.createDataFrame([("tvm", "p", "2.0.0", "v1"), ("eac", "p", "2.0.0", None)], "kind string, package string, vers string, schema string").write.partitionBy("kind", "package", "vers").json(str(tmp_path / "many"))
     assert {(r.kind, r.package, r.vers, r.schema) for r in readers.attestation_docs(spark, str(tmp_path / "many")).collect()} == {("tvm", "p", "2.0.0", "v1"), ("eac", "p", "2.0.0", None)}
+    texts = [("tvm", "p", "1.0.0", '{"schema": "v1"}'), ("eac", "p", "1.0.0", "not json")]
+    spark.createDataFrame(texts, readers.ARCHIVED).coalesce(1).write.json(str(tmp_path / "archive"))
+    assert {tuple(r) for r in readers.attestation_archive(spark, str(tmp_path / "archive")).collect()} == {tuple(r) for k in ("tvm", "eac") for r in readers.attestation_docs(spark, str(tmp_path / k)).collect()}
     members = spark.createDataFrame([("p", "1.0.0", "top/src/b.rs", 0o644, bytearray(b"b")), ("p", "1.0.0", "top/Cargo.toml", 0o644, bytearray(b"a"))], "package string, vers string, path string, mode int, content binary")
     blob, other = (bytes(files.packed(m).first().content) for m in (members, members.orderBy("path")))
     assert blob == other
