@@ -333,8 +333,7 @@ def dataset_export(v: View) -> DataFrame:
     rows = v("releases").withColumn("kind", F.lit("registry-index"))
     versions = dataset.contract_versions(v("entities"), rows).join(v("entities").select(F.col("id").alias("provider_id"), "ord"), "provider_id")
     path, spark = shared_path(rows.sparkSession, "dataset-json"), rows.sparkSession
-    order = ["provider_id", "package", "kind", "vers", "yanked", "cksum", "rust_version"]
-    writers.write_dataset_json(versions.select(*order, "ord").orderBy("ord", semver_key(F.col("vers"))).select(*order), path, [])
+    writers.write_dataset_json(versions, path, [F.col("ord"), semver_key(F.col("vers"))], ["provider_id", "package", "kind", "vers", "yanked", "cksum", "rust_version"])
     lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\n")).alias("at", "line")).where("line <> ''")
     firsts = lines.groupBy("file").agg(F.count("*").alias("lines"))
     before = F.coalesce(F.sum("lines").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each file

@@ -52,22 +52,13 @@ def write_index(releases: DataFrame, path: str, providers: DataFrame | None = No
     canonical_json(d.orderBy(*order).select("document.*")).write.mode("overwrite").option("compression", "gzip").text(path)
 
 
-def content_digest(df: DataFrame) -> DataFrame:
-    """sha256 over the canonical rows' digests in order: equal for equal content, whatever the files look like. Digests are first summed in 4096 groups."""
-    d = canonical_json(df).select(F.sha2("json", 256).alias("d"))
-    groups = d.groupBy(F.substring("d", 1, 3).alias("g")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("d")), ""), 256).alias("h"))
-    return groups.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat("g", "h"))), ""), 256).alias("sha256"))
-
-
 def write_dataset(versions: DataFrame, path: str) -> None:
     versions.write.mode("overwrite").partitionBy("provider_id").parquet(path)
 
 
-def write_dataset_json(versions: DataFrame, path: str, order: list[Column]) -> None:
-    """The dataset as gzipped canonical lines, a release each, in the given order over all files."""
-    n = len(order)
-    ordered = versions.orderBy(*order) if n else versions
-    canonical_json(ordered).write.mode("overwrite").option("compression", "gzip").text(path)
+def write_dataset_json(versions: DataFrame, path: str, order: list[Column], fields: list[str]) -> None:
+    """The dataset as gzipped canonical lines with the given fields, a release each, in one order over all files."""
+    canonical_json(versions.orderBy(*order).select(*fields)).write.mode("overwrite").option("compression", "gzip").text(path)
 
 
 def write_attestations(index: DataFrame, path: str, environment: DataFrame, schema: str = "attestations.v1") -> None:
