@@ -190,7 +190,7 @@ def plain_walk(leaves, port_package):
     return out
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_walks_on_random_graphs(spark, seed):
     """Both walks equal a recursion, in what they visit and in its order, over ports with cycles, gates, modules and dead ends."""
     rng = random.Random(seed)
