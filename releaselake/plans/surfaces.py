@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.items import item_kind, surface_hash
 from ..operators import analyze, attest, bits, curation, dataset, hashing, reexports
-from ..sources.shared import materialize
+from ..sources.shared import materialize, spread
 from .registry import View, query
 
 
@@ -18,7 +18,7 @@ def _cfg(c: str = "cfg1") -> F.Column:
 def _items(v: View) -> DataFrame:
     """Own items and re-export lines of every release, with their places; lines come after items."""
     place = F.struct(F.lit(0).alias("line"), "l_orderkey", "l_linenumber", "l_partkey")
-    own = v("own_items").select("package", "vers", place.alias("pos"), "key", "digest", _cfg().alias("cfg"))
+    own = spread(v("own_items")).select("package", "vers", place.alias("pos"), "key", "digest", _cfg().alias("cfg"))
     zero = lambda t: F.lit(0).cast(t)
     line = F.struct(F.col("line_no").cast("int").alias("line"), zero("long").alias("l_orderkey"), zero("int").alias("l_linenumber"), zero("long").alias("l_partkey"))
     lines = v("use_items").select("package", "vers", line.alias("pos"), "key", F.md5(F.col("key").cast("binary")).alias("digest"), F.array().cast("array<string>").alias("cfg"))

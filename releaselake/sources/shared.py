@@ -27,6 +27,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt over all cores where they come in fewer splits than there are cores, as those of a small file in one row group do; other inputs are left as they are.
+
+    So a shuffle is paid only by inputs of few splits, and what is written of them can be read in parallel. ``df`` should be a scan without
+    shuffles, which would be run to count its splits."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _there(spark: SparkSession, path: str):
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
