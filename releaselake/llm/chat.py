@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import join_hot, materialize
+from .common import discard, join_hot, materialize
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
 NODE = 16  # bytes of a node's hash
@@ -113,6 +113,18 @@ def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def forest(conversations: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The nodes, in no order of rows (node, parent, depth, path, role, ids, position_ids, loss_from, loss_to, start, end, ancestors), and the turns of the conversations (conv_id, turn_no, node)."""
     every = materialize(turns(conversations, path), "turns")
+    nodes, steps = _grown(every)
+    return positioned(nodes), steps
+
+
+def positioned(nodes: DataFrame) -> DataFrame:
+    """Nodes with ``position_ids`` in place of ``begin``, where they begin: they follow one another, so that tables of nodes need not hold them."""
+    positions = F.sequence(F.col("begin"), F.col("begin") + F.size("ids") - 1)
+    return nodes.withColumn("begin", positions).withColumnRenamed("begin", "position_ids")
+
+
+def _grown(every: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What ``forest`` gives of written turns, with ``begin`` in place of ``position_ids``."""
     steps = every.select("conv_id", "turn_no", "parent", "node")
     forks = materialize(steps.select("parent", "node").distinct().groupBy("parent").count().where("count > 1").select("parent", F.lit(True).alias("forked")), "forks")
     marked = join_hot(steps, forks, ["parent"], "left").select("conv_id", "turn_no", "node", F.coalesce("forked", F.lit(False)).alias("forked"))
@@ -137,8 +149,7 @@ def forest(conversations: DataFrame, path: str | None = None) -> tuple[DataFrame
     shown = dealt.mapInArrow(_ancestors, "node binary, lender long, depth int, path binary, start long, end long, ancestors array<struct<start:long,end:long>>")
     # (conversation, turn) names one row, so that no key is hot
     lent = every.drop("node").join(shown, F.col("conv_id").eqNullSafe(F.col("lender")) & (F.col("turn_no") == F.col("depth")))
-    positions = F.sequence(F.col("begin"), F.col("begin") + F.col("n") - 1)
-    columns = ["node", "parent", "depth", "path", "role", "ids", positions.alias("position_ids"), "loss_from", "loss_to", "start", "end", "ancestors"]
+    columns = ["node", "parent", "depth", "path", "role", "ids", "begin", "loss_from", "loss_to", "start", "end", "ancestors"]
     return lent.select(*columns), steps.drop("parent")
 
 
@@ -224,5 +235,9 @@ def read_back(nodes: DataFrame, conversations: DataFrame, path: str | None = Non
 
 def digest(conversations: DataFrame, path: str | None = None) -> DataFrame:
     """The result that the registered query returns: what is read back from the emitted stream. No conversations give no rows."""
-    nodes, said = forest(conversations, path)
-    return read_back(materialize(nodes, "emitted"), said, path)
+    every = materialize(turns(conversations, path), "turns")
+    nodes, said = _grown(every)
+    last = materialize(said.groupBy("conv_id").agg(F.max("turn_no").alias("turn_no"), F.max_by("node", "turn_no").alias("node")), "last")
+    emitted = materialize(nodes, "emitted")
+    discard(every)  # nothing reads the turns once their tokens stand in the stream
+    return read_back(positioned(emitted), last, path)
