@@ -30,6 +30,7 @@ SALTS = ((1, 2, 0x9E3779B1), (1, 3, 0x85EBCA77), (2, 3, 0xC2B2AE3D))
 MOST = 420  # about what two digests of independent uniform codes differ by
 RANGE_ROWS = 1000
 MOST_RANGES = 20_000
+TASK_ROWS = 4_000  # that a task streams, in some ranges: smaller tasks cost a sort buffer and files each
 LAST = -(1 << 63)
 
 
@@ -101,20 +102,17 @@ def neighbours(docs: DataFrame) -> DataFrame:
     full = sorted(tops)
     before = {r: full[(k + 1) % len(full)] for k, r in enumerate(full)}  # whose last document the first of r follows
 
-    def deal(batch: pa.RecordBatch) -> pa.Table:
-        key = batch.column("doc_id").fill_null(LAST)
+    @F.arrow_udf("array<int>")
+    def to(key: pa.Array) -> pa.Array:
+        """A row's range; for the first of a range also the range before."""
         k = key.to_numpy(zero_copy_only=False)
-        r = np.searchsorted(bounds, k, side="right")
-        own = pa.table([pa.array(r.astype(np.int32)), pa.array(np.zeros(len(k), np.int8)), key, batch.column("doc_id"), batch.column("text")], ["r", "copy", "id", "doc_id", "text"])
-        first = np.flatnonzero([tops[x] == y for x, y in zip(r.tolist(), k.tolist())])
-        if not len(first):
-            return own
-        to = pa.array([before[x] for x in r[first].tolist()], pa.int32())
-        more = own.take(pa.array(first)).set_column(0, "r", to).set_column(1, "copy", pa.array(np.ones(len(first), np.int8)))
-        return pa.concat_tables([own, more])
-
-    dealt = map_rows(rows, "r int, copy byte, id long, doc_id long, text string", lambda: deal)
-    dealt = dealt.repartition(max(1, len(full)), "r").sortWithinPartitions("r", "copy", F.desc("id"), F.xxhash64("text"))
+        r = np.searchsorted(bounds, k, side="right").tolist()
+        return pa.array([[x, before[x]] if tops[x] == y else [x] for x, y in zip(r, k.tolist())], pa.list_(pa.int32()))
+
+    # the ids alone go to Python and back, the texts stay where they are until they are shuffled
+    keyed = rows.withColumn("id", F.coalesce("doc_id", F.lit(LAST)))
+    dealt = keyed.select(F.posexplode(to("id")).alias("copy", "r"), "id", "doc_id", "text")
+    dealt = dealt.repartition(max(1, len(full)), "r").coalesce(max(1, math.ceil(n / TASK_ROWS))).sortWithinPartitions("r", "copy", F.desc("id"), F.xxhash64("text"))
 
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]

@@ -33,6 +33,19 @@ def test_next_documents_and_edits(spark, edge, none):
     assert len(one) == 1 and one[0].near_next == 1.0
 
 
+def test_few_tasks_stream_and_write_the_ranges(spark):
+    docs = spark.range(9_000).selectExpr("id as doc_id", "concat('text ', id % 97) as text")
+    got = fingerprints.neighbours(docs)
+    assert got.rdd.getNumPartitions() == 3 < 9_000 // fingerprints.RANGE_ROWS
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1  # texts go through Python once
+    rows = {r.doc_id: r for r in got.collect()}
+    assert len(rows) == 9_000
+    for i in (0, 1, 999, 1000, 4500, 8999):
+        text, other = f"text {i % 97}", f"text {(i - 1) % 9_000 % 97}"
+        assert rows[i].edited_sha256 == hashlib.sha256(fingerprints.edited(text, other).encode()).hexdigest()
+
+
 def test_digest_difference_is_bounded():
     a, b = fingerprints.digest(b"some text that is long enough " * 9), fingerprints.digest(b"1234567890 xyz" * 50)
     assert 0 <= fingerprints.likeness(a, b) < 1 == fingerprints.likeness(a, a) and fingerprints.difference(a, b) == fingerprints.difference(b, a)
