@@ -36,6 +36,7 @@ TOKENIZER = "word_bpe_49k.json"
 SEPARATOR = 0
 CACHED = 400_000  # words whose ids a task keeps
 SALT_ROWS = 20_000
+TASK_ROWS = 250_000  # placed pieces, of seven numbers each, that a task writes
 
 # The tokenizer's own word pattern over the letters and digits below U+0250, which compose and change case without context.
 _L, _N = "a-zA-Z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
@@ -232,4 +233,5 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) ->
         return pa.record_batch([*(batch.column(c) for c in columns), pa.array(sequence), pa.array(offset)], [*columns, "sequence_id", "offset"])
 
     placed = map_rows(ranked.select(*columns, "rank"), "doc_id long, piece long, start long, length long, ids_crc32 long, sequence_id long, offset long", lambda: step)
-    return placed.withColumn("piece", F.col("piece").cast("int"))
+    tasks = max(2 * docs.sparkSession.sparkContext.defaultParallelism, -(-sum(counts.values()) // TASK_ROWS))
+    return placed.withColumn("piece", F.col("piece").cast("int")).coalesce(tasks)

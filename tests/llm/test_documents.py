@@ -33,6 +33,26 @@ def test_next_documents_and_edits(spark, edge, none):
     assert len(one) == 1 and one[0].near_next == 1.0
 
 
+def test_few_tasks_place_the_pieces(spark):
+    docs = spark.range(60).selectExpr("id as doc_id", "repeat('word ', id) as text")
+    had = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "97")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = packing.pack(docs)
+        tasks, rows = got.rdd.getNumPartitions(), got.collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", had[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", had[1])
+    assert tasks <= 2 * spark.sparkContext.defaultParallelism < 97
+    by = {}
+    for r in rows:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert sorted(r.doc_id for r in rows) == list(range(60)) and len(by) == -(-sum(r.length for r in rows) // 2048)
+    for x in by.values():
+        assert [a for a, _ in sorted(x)] == [0, *np.cumsum([n for _, n in sorted(x)])[:-1]]
+
+
 def test_few_tasks_stream_and_write_the_ranges(spark):
     docs = spark.range(9_000).selectExpr("id as doc_id", "concat('text ', id % 97) as text")
     got = fingerprints.neighbours(docs)
