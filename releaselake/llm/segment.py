@@ -18,10 +18,10 @@ gives an empty result. Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -74,96 +74,110 @@ class Vocabulary:
 class Sampler:
     def __init__(self, vocabulary: Vocabulary, theta: float = THETA, seed: int = SEED):
         self.vocabulary, self.seed = vocabulary, seed
-        with np.errstate(over="ignore"):
-            self.powers = np.cumprod(np.concatenate([[_U(1)], np.full(vocabulary.longest, _ODD)]), dtype=np.uint64)
         by_length: dict[int, list[tuple[int, int, float]]] = {}
         for spelt, (i, rank) in vocabulary.weights.items():
-            by_length.setdefault(len(spelt), []).append((int(self._hash(_points(spelt))[0]), i, -theta * math.log1p(rank)))
+            by_length.setdefault(len(spelt), []).append((self._starts(_points(spelt))[-1], i, -theta * math.log1p(rank)))
         self.tables = {n: tuple(np.array(c, t) for c, t in zip(zip(*sorted(rows)), (np.uint64, np.int64, np.float64))) for n, rows in by_length.items()}
-        self.sieves = {}
-        for n, (keys, _, _) in self.tables.items():
-            self.sieves[n] = np.zeros(_SIEVE + 1, bool)
-            self.sieves[n][(keys & _U(_SIEVE)).astype(np.int64)] = True
+        self.slots = {n: _slots(keys) for n, (keys, _, _) in self.tables.items()}
+        self.kinds = [np.zeros(_SIEVE + 1, np.uint8) for _ in range(vocabulary.longest + 1)]  # by size and low bits of the hash: 1 a piece, 2 the start of longer ones
+        for spelt in vocabulary.weights:
+            for n, h in enumerate(self._starts(_points(spelt)), 1):
+                self.kinds[n][h & _SIEVE] |= 1 if n == len(spelt) else 2
         self.byte_log = -theta * math.log1p(vocabulary.byte_rank)
 
-    def _hash(self, points: np.ndarray) -> np.ndarray:
-        """Of all of the points, as an array of one."""
-        with np.errstate(over="ignore"):
-            out = np.zeros(1, np.uint64)
-            for c in points.astype(np.uint64):
-                out = out * _ODD + _mix(c + np.zeros(1, np.uint64))
-            return out
+    @staticmethod
+    def _starts(points: np.ndarray) -> list[int]:
+        """The hash of each start of the points, the whole of them last."""
+        out, h = [], 0
+        for c in _mix(points.astype(np.uint64)).tolist():
+            h = (h * int(_ODD) + c) & (1 << 64) - 1
+            out.append(h)
+        return out
 
     def lattice(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Forward filtering of all words at once: bounds (group + running share), piece and previous node of each edge; group of each node; last node of each word.
+        """Forward filtering of all words at once: running share in its group, piece and previous node of each edge; first edge of each node; last node of each word.
 
         A node is a place between characters; the edges into it form its group, groups are in order of their place in the word.
         A character that no piece spells alone has an edge numbered beyond the vocabulary, for its bytes."""
         points = _points("".join(words))
-        sizes = np.array([len(w) for w in words], np.int64)
-        first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+        sizes = np.array(list(map(len, words)), np.int64)
+        first = np.cumsum(sizes) - sizes
         n = len(points)
         word = np.repeat(np.arange(len(words)), sizes)
-        place = np.arange(n) - first[word]
-        room = sizes[word] - place
+        place = np.arange(n) - np.repeat(first, sizes)
+        room = np.repeat(sizes, sizes) - place
         node = np.arange(n) + word  # before each character
         starts, pieces, weights, lengths = [], [], [], []
         with np.errstate(over="ignore"):
             letter = _mix(points.astype(np.uint64))
-            live, running = np.arange(n), np.zeros(n, np.uint64)
+            live, running = np.arange(n), letter
             for size in range(1, self.vocabulary.longest + 1):
-                on = np.flatnonzero(room >= size)
-                live, room, running = live[on], room[on], running[on]
-                if not len(live):
+                low = running.view(np.int64) & _SIEVE
+                kind = self.kinds[size].take(low)
+                if size in self.tables:
+                    _, ids, logs = self.tables[size]
+                    likely = np.flatnonzero(kind & 1)
+                    at, fits = self._find(size, running[likely], low[likely])
+                    hit, at = likely[fits], at[fits]
+                    starts.append(live[hit])
+                    pieces.append(ids[at])
+                    weights.append(logs[at])
+                    lengths.append(np.full(len(hit), size))
+                    if size == 1:
+                        alone = np.ones(len(live), bool)
+                        alone[hit] = False
+                        bare = live[alone]
+                        starts.append(bare)
+                        pieces.append(len(self.vocabulary.bytes_) + points[bare].astype(np.int64))
+                        weights.append(self.byte_log * (1.0 + (points[bare] > 0x7F) + (points[bare] > 0x7FF) + (points[bare] > 0xFFFF)))
+                        lengths.append(np.ones(len(bare), np.int64))
+                on = np.flatnonzero((kind > 1) & (room > size))
+                if not len(on):
                     break
-                running = running * _ODD + letter[live + (size - 1)]
-                if size not in self.tables:
-                    continue
-                keys, ids, logs = self.tables[size]
-                likely = np.flatnonzero(self.sieves[size][(running & _U(_SIEVE)).astype(np.int64)])
-                wanted = running[likely]
-                at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-                fits = keys[at] == wanted
-                hit, at = likely[fits], at[fits]
-                starts.append(live[hit])
-                pieces.append(ids[at])
-                weights.append(logs[at])
-                lengths.append(np.full(len(hit), size))
-                if size == 1:
-                    alone = np.ones(len(live), bool)
-                    alone[hit] = False
-                    bare = live[alone]
-                    starts.append(bare)
-                    pieces.append(len(self.vocabulary.bytes_) + points[bare].astype(np.int64))
-                    weights.append(self.byte_log * (1.0 + (points[bare] > 0x7F) + (points[bare] > 0x7FF) + (points[bare] > 0xFFFF)))
-                    lengths.append(np.ones(len(bare), np.int64))
+                live, room = live[on], room[on]
+                running = running[on] * _ODD + letter[live + size]
         begin, piece, weight, length = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (starts, pieces, weights, lengths))
         level, end = place[begin] + length, node[begin] + length
-        order = np.argsort(level * (n + len(words) + 1) + end, kind="stable")
-        prev, piece, weight, level, end = node[begin][order], piece[order], weight[order], level[order], end[order]
-        fresh = np.concatenate([[True], end[1:] != end[:-1]])[: len(end)]
-        group_of = np.full(n + len(words), -1, np.int64)
-        group = np.cumsum(fresh) - 1
-        group_of[end[fresh]] = group[fresh]
+        cuts = np.cumsum(np.bincount(level)) if len(level) else np.zeros(1, np.int64)
+        order = _order(level * (n + len(words) + 1) + end)
+        prev, piece, weight, end = node[begin[order]], piece[order], weight[order], end[order]
+        fresh = np.ones(len(end), bool)
+        fresh[1:] = end[1:] != end[:-1]
+        heads = np.flatnonzero(fresh)
+        ends = end[heads]
+        first_of = np.full(n + len(words), -1, np.int64)
+        first_of[ends] = heads
+        width = np.diff(np.append(heads, len(end)))
         mass = np.zeros(n + len(words))
-        cuts = np.searchsorted(level, np.arange(1, (int(level[-1]) if len(level) else 0) + 2))
+        groups = np.searchsorted(heads, cuts)
         share = np.empty(len(end))
-        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            x = mass[prev[lo:hi]] + weight[lo:hi]
-            heads = np.flatnonzero(fresh[lo:hi])
-            top = np.maximum.reduceat(x, heads)
-            counts = np.diff(np.append(heads, hi - lo))
-            e = np.exp(x - np.repeat(top, counts))
-            total = np.add.reduceat(e, heads)
-            mass[end[lo:hi][heads]] = top + np.log(total)
+        for lo, hi, g, h in zip(cuts[:-1].tolist(), cuts[1:].tolist(), groups[:-1].tolist(), groups[1:].tolist()):
+            x = mass[prev[lo:hi]]
+            x += weight[lo:hi]
+            at, counts = heads[g:h] - lo, width[g:h]
+            top = np.maximum.reduceat(x, at)
+            x -= np.repeat(top, counts)
+            e = np.exp(x, out=x)
+            total = np.add.reduceat(e, at)
+            mass[ends[g:h]] = top + np.log(total)
             run = np.cumsum(e)
-            before = np.repeat(run[heads] - e[heads], counts)
-            share[lo:hi] = (run - before) / np.repeat(total, counts)
-        bound = group + np.minimum(share, 1.0)
+            run -= np.repeat(run[at] - e[at], counts)
+            np.divide(run, np.repeat(total, counts), out=share[lo:hi])
         if len(end):
-            last = np.concatenate([fresh[1:], [True]])
-            bound[last] = group[last] + 1.0
-        return bound, piece, prev, group_of, first + np.arange(len(words)) + sizes
+            share[np.append(heads[1:], len(end)) - 1] = 1.0  # the last of a group is drawn if no other is
+        return share, piece, prev, first_of, first + np.arange(len(words)) + sizes
+
+    def _find(self, size: int, wanted: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each hash is among the pieces of that size, and whether it is there."""
+        keys, (slot, more) = self.tables[size][0], self.slots[size]
+        at = slot.take(low)
+        fits = keys.take(at) == wanted
+        if len(more):  # those whose slot another piece has
+            rest = np.flatnonzero(~fits)
+            other = more[np.minimum(np.searchsorted(keys[more], wanted[rest]), len(more) - 1)]
+            found = keys[other] == wanted[rest]
+            at[rest[found]], fits[rest[found]] = other[found], True
+        return at, fits
 
     def encode(self, keys: list[int | None], texts: list[str]) -> Iterator[np.ndarray]:
         """The sampled ids of each text, in order."""
@@ -180,31 +194,33 @@ class Sampler:
 
     def _walk(self, keys: list[int | None], texts: list[str], before: int = 0) -> tuple[list[np.ndarray], int]:
         """The ids of each text, and the number of words; ``before`` words of a single text came earlier."""
-        known: dict[str, int] = {}
-        which, counts = array("q"), []
-        for text in texts:
-            found = CHUNK.findall(text)
-            counts.append(len(found))
-            which.extend([known.setdefault(w, len(known)) for w in found])
-        if not known:
+        found = [CHUNK.findall(text) for text in texts]
+        counts = list(map(len, found))
+        every = list(itertools.chain.from_iterable(found))
+        if not every:
             return [np.zeros(0, np.int32) for _ in texts], 0
-        bound, piece, prev, group_of, last = self.lattice(list(known))
-        kind, counts_ = np.frombuffer(which, np.int64), np.array(counts, np.int64)
+        known = dict.fromkeys(every)
+        known = dict(zip(known, range(len(known))))
+        share, piece, prev, first_of, last = self.lattice(list(known))
+        kind, counts_ = np.array(list(map(known.__getitem__, every)), np.int64), np.array(counts, np.int64)
         first = np.concatenate([[0], np.cumsum(counts_)])
         with np.errstate(over="ignore"):
             place = np.arange(before, before + len(kind), dtype=np.int64) - np.repeat(first[:-1], counts_)
             key = np.array([(k if k is not None else -1) & (1 << 64) - 1 for k in keys], np.uint64)
             noise = _mix(np.repeat(_mix(key + _U(self.seed)), counts_) + place.astype(np.uint64) * _ODD)
-            live = np.argsort(group_of[last[kind]], kind="stable")  # neighbours in the tables are read one after the other
-            at = group_of[last[kind[live]]]
+            live = _order(kind)  # neighbours in the tables are read one after the other
+            at = first_of[last[kind[live]]]
             drawn, length, step = [], np.zeros(len(kind), np.int64), 0
             while len(live):
                 u = (_mix(noise[live] + _U(step * 2 + 1)) >> _U(11)).astype(np.float64) * ((1 - 1e-9) / float(1 << 53))
-                edge = np.searchsorted(bound, at + u, side="right")
-                drawn.append((live, piece[edge]))
+                on = np.flatnonzero(share[at] <= u)
+                while len(on):
+                    at[on] += 1
+                    on = on[share[at[on]] <= u[on]]
+                drawn.append((live, piece[at]))
                 length[live] += 1
-                at = group_of[prev[edge]]
-                on = at >= 0
+                at = first_of[prev[at]]
+                on = np.flatnonzero(at >= 0)
                 live, at, step = live[on], at[on], step + 1
         stop = np.cumsum(length)
         ids = np.zeros(int(stop[-1]), np.int64)
@@ -236,6 +252,24 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+def _slots(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """By the low bits of a hash a key that has them, and the other keys that share theirs, in order."""
+    low = (keys & _U(_SIEVE)).astype(np.int64)
+    slot = np.zeros(_SIEVE + 1, np.int32)
+    slot[low[::-1]] = np.arange(len(keys))[::-1]
+    return slot, np.flatnonzero(slot[low] != np.arange(len(keys)))
+
+
+def _order(keys: np.ndarray) -> np.ndarray:
+    """A stable order of numbers from 0 on, by sixteen bits at a time, for which the sort counts."""
+    order, shift, most = None, 0, int(keys.max()) if len(keys) else 0
+    while order is None or most >> shift:
+        digit = (keys >> shift).astype(np.uint16)
+        order = np.argsort(digit, kind="stable") if order is None else order[np.argsort(digit[order], kind="stable")]
+        shift += 16
+    return order
+
+
 def _walks(texts: list[str]) -> Iterator[list[int]]:
     """Rows whose texts go in one walk; a longer text is alone."""
     rows, size = [], 0

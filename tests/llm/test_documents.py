@@ -292,6 +292,32 @@ def test_segmentation_is_lossless_reproducible_and_follows_the_weights(spark, ed
     assert max(abs(seen.get(k, 0) / n - w / total) for k, w in exact.items()) < 0.015
 
 
+def test_a_lattice_has_all_pieces_and_looks_few_others_up(monkeypatch):
+    v = segment.Vocabulary()
+    s, rng, asked = segment.Sampler(v), random.Random(8), []
+    find = s._find
+    monkeypatch.setattr(s, "_find", lambda size, wanted, low: asked.append(len(wanted)) or find(size, wanted, low))
+    pieces = [p for p in v.weights if "\n" not in p]
+    words = [" " * rng.randint(0, 2) + "".join(rng.choice(pieces).strip() or "x" for _ in range(rng.randint(1, 5))) for _ in range(2000)] + ["中é🎉q", "z" * 300, "\n"]
+    share, piece, prev, first_of, last = s.lattice(words)
+    node, edges = 0, 0
+    for w, stop in zip(words, last.tolist()):
+        assert stop == node + len(w)
+        for end in range(1, len(w) + 1):
+            exact = [(v.weights[w[k:end]][0], node + k) for k in range(end - 1, max(-1, end - 1 - v.longest), -1) if w[k:end] in v.weights]
+            if w[end - 1] not in v.weights:
+                exact.insert(0, (len(v.bytes_) + ord(w[end - 1]), node + end - 1))
+            at = int(first_of[node + end]) if exact else 0
+            assert [(int(piece[e]), int(prev[e])) for e in range(at, at + len(exact))] == exact
+            assert not exact or share[at + len(exact) - 1] == 1.0 and (np.diff(share[at : at + len(exact)]) > 0).all()
+            edges += len(exact)
+        node += len(w) + 1
+    assert edges == len(piece) and sum(asked) < 1.05 * edges
+    assert any(len(more) for _, more in s.slots.values())  # some pieces share a slot
+    keys = np.array([5, 1 << 40, 0, 70_000, 5, 1 << 17, 3], np.int64)
+    assert segment._order(keys).tolist() == np.argsort(keys, kind="stable").tolist() and segment._order(keys[:0]).tolist() == []
+
+
 def test_walks_are_bounded_and_change_no_draw(monkeypatch):
     rng = random.Random(6)
     texts = ["", "one two", " ".join(rng.choice(["alpha", "beta", "é中", "\n", "  "]) for _ in range(900)), "x" * 700, "tail \n end"]
