@@ -10,8 +10,9 @@ most ``capacity`` numbers whatever the input holds:
 * What is left is packed best fit, longest first, in whole runs of equal lengths.
 
 The plan is a short list of runs (length, ranks, first sequence, pieces a sequence, offset). Each piece finds its run by
-its rank among equal lengths; ranks come from salted groups, so that a length that holds a third of all rows is dealt
-over many tasks.
+its rank among equal lengths. For that pieces are dealt by a salt and sorted there by length; how many of each length a
+salt has reaches the driver, and tells where its ranks begin, so that a length that holds a third of all rows is ranked by
+many tasks.
 
 Null and empty texts have the separator alone. Repeated rows are packed each. An empty table gives no sequences. Texts are
 tokenised whole; the tokenizer is read, never trained. Other columns are ignored.
@@ -26,7 +27,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import doc_texts, map_rows, materialize
@@ -35,8 +36,7 @@ CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 SEPARATOR = 0
 CACHED = 400_000  # words whose ids a task keeps
-SALT_ROWS = 20_000
-TASK_ROWS = 250_000  # placed pieces, of seven numbers each, that a task writes
+SALT_ROWS = 250_000  # pieces, of six numbers each, that are ranked together
 
 # The tokenizer's own word pattern over the letters and digits below U+0250, which compose and change case without context.
 _L, _N = "a-zA-Z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
@@ -211,27 +211,37 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
 def pack(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
     """The result that the registered query returns: every piece with its sequence and its offset there."""
     cut = materialize(pieces(docs, capacity, path), "pieces")
-    counts = {r.length: r.n for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most ``capacity`` rows
-    made = plan(counts, capacity)
-    salts = max(1, -(-sum(counts.values()) // SALT_ROWS))
+    salts = max(4 * docs.sparkSession.sparkContext.defaultParallelism, -(-cut.count() // SALT_ROWS))
+    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "length", "ids_crc32"), F.lit(salts)).cast("int"))
+    each = np.zeros((salts, capacity + 1), np.int64)
+    for r in salted.groupBy("salt", "length").agg(F.count("*").alias("n")).collect():  # at most ``capacity`` rows for each salt
+        each[r.salt, r.length] = r.n
+    made = plan(dict(enumerate(each.sum(axis=0).tolist())), capacity)
+    first = (np.cumsum(each, axis=0) - each).ravel()  # by salt and length: its pieces' first rank
     runs = sorted(made.runs)
     keys = np.array([w << 44 | lo for w, lo, *_ in runs], np.int64)
     table = np.array(runs, np.int64).reshape(-1, 6)
-
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
-    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = salted.groupBy("length", "salt").agg(F.count("*").alias("n")).withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    within = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
-    ranked = salted.withColumn("at", F.row_number().over(within) - 1).join(offsets, ["length", "salt"]).withColumn("rank", F.col("base") + F.col("at"))
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        w, rank = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("length", "rank"))
-        run = table[np.searchsorted(keys, w << np.int64(44) | rank, side="right") - 1]
-        k = rank - run[:, 1]
-        sequence, offset = run[:, 3] + k // run[:, 4], run[:, 5] + k % run[:, 4] * w
-        return pa.record_batch([*(batch.column(c) for c in columns), pa.array(sequence), pa.array(offset)], [*columns, "sequence_id", "offset"])
+    def state():
+        before = [-1, 0]  # the group of the last row of the batch before, and how many of its rows came
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            w, salt = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("length", "salt"))
+            group = salt * (capacity + 1) + w
+            fresh = np.append(0, np.flatnonzero(group[1:] != group[:-1]) + 1)
+            at = np.arange(len(group)) - np.repeat(fresh, np.diff(np.append(fresh, len(group))))
+            if group[0] == before[0]:
+                at[: fresh[1] if len(fresh) > 1 else None] += before[1]
+            before[:] = group[-1], at[-1] + 1
+            rank = first[group] + at
+            run = table[np.searchsorted(keys, w << np.int64(44) | rank, side="right") - 1]
+            k = rank - run[:, 1]
+            sequence, offset = run[:, 3] + k // run[:, 4], run[:, 5] + k % run[:, 4] * w
+            return pa.record_batch([*(batch.column(c) for c in columns), pa.array(sequence), pa.array(offset)], [*columns, "sequence_id", "offset"])
+
+        return step
 
-    placed = map_rows(ranked.select(*columns, "rank"), "doc_id long, piece long, start long, length long, ids_crc32 long, sequence_id long, offset long", lambda: step)
-    tasks = max(2 * docs.sparkSession.sparkContext.defaultParallelism, -(-sum(counts.values()) // TASK_ROWS))
-    return placed.withColumn("piece", F.col("piece").cast("int")).coalesce(tasks)
+    dealt = salted.repartition(salts, "salt").coalesce(-(-salts // 2)).sortWithinPartitions("salt", "length", "doc_id", "piece", "ids_crc32")
+    placed = map_rows(dealt, "doc_id long, piece long, start long, length long, ids_crc32 long, sequence_id long, offset long", state)
+    return placed.withColumn("piece", F.col("piece").cast("int"))

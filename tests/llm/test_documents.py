@@ -34,23 +34,25 @@ def test_next_documents_and_edits(spark, edge, none):
 
 
 def test_few_tasks_place_the_pieces(spark):
-    docs = spark.range(60).selectExpr("id as doc_id", "repeat('word ', id) as text")
-    had = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.shuffle.partitions", "97")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    docs = spark.range(400).selectExpr("if(id < 300, null, id) as doc_id", "repeat('word ', int(id % 60)) as text")
+    held = {"spark.sql.shuffle.partitions": "97", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.execution.arrow.maxRecordsPerBatch": "7"}
+    had = {k: spark.conf.get(k) for k in held}
     try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
         got = packing.pack(docs)
         tasks, rows = got.rdd.getNumPartitions(), got.collect()
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", had[0])
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", had[1])
-    assert tasks <= 2 * spark.sparkContext.defaultParallelism < 97
+        for k, v in had.items():
+            spark.conf.set(k, v)
+    assert tasks <= 2 * spark.sparkContext.defaultParallelism < 97 and "Join" not in plan and "Window" not in plan
     by = {}
     for r in rows:
         by.setdefault(r.sequence_id, []).append((r.offset, r.length))
-    assert sorted(r.doc_id for r in rows) == list(range(60)) and len(by) == -(-sum(r.length for r in rows) // 2048)
+    assert len(rows) == 400 and sorted(by) == list(range(-(-sum(r.length for r in rows) // 2048)))
     for x in by.values():
-        assert [a for a, _ in sorted(x)] == [0, *np.cumsum([n for _, n in sorted(x)])[:-1]]
+        assert [a for a, _ in sorted(x)] == [0, *np.cumsum([n for _, n in sorted(x)])[:-1]] and sum(n for _, n in x) <= 2048
 
 
 def test_few_tasks_stream_and_write_the_ranges(spark):
