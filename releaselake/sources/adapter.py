@@ -54,6 +54,11 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(VIEWS[name], **{n: view(spark, sf_dir, n) for n in inputs(name)})
 
 
+def over(spark: SparkSession, name: str, **tables: DataFrame) -> DataFrame:
+    """A view of the given tables instead of those that it names."""
+    return spark.sql(VIEWS[name], **tables)
+
+
 def inputs(name: str) -> list[str]:
     return sorted(set(re.findall(r"(?<!\{)\{(\w+)\}", VIEWS.get(name, ""))))
 
