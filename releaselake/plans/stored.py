@@ -76,7 +76,7 @@ def index_round_trip(v: View) -> DataFrame:
 
 @query("SELECT r.provider_id, r.vers, r.cksum, r.rust_version FROM {releases} r JOIN {entities} e ON e.id = r.provider_id WHERE e.role = 'fork'")
 def dataset_round_trip(v: View) -> DataFrame:
-    """The contract dataset, written by provider and read again."""
+    """The contract dataset, written by ranges of providers and read again."""
     rows = v("releases").withColumn("kind", F.lit("registry-index"))
     path = shared_path(rows.sparkSession, "dataset")
     writers.write_dataset(dataset.contract_versions(v("entities"), rows), path)

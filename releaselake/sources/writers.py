@@ -53,7 +53,8 @@ def write_index(releases: DataFrame, path: str, providers: DataFrame | None = No
 
 
 def write_dataset(versions: DataFrame, path: str) -> None:
-    versions.write.mode("overwrite").partitionBy("provider_id").parquet(path)
+    """Files by ranges of providers, in order inside, so that one provider is found by the statistics of its file and the number of files goes with the rows, not with the providers."""
+    versions.repartitionByRange("provider_id").sortWithinPartitions("provider_id", "vers").write.mode("overwrite").parquet(path)
 
 
 def write_dataset_json(versions: DataFrame, path: str, order: list[Column], fields: list[str]) -> None:
