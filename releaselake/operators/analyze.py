@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.versions import semver_key
@@ -51,6 +51,23 @@ def with_neighbours(releases: DataFrame) -> DataFrame:
     return releases.select("package", "vers").distinct().select("package", "vers", F.lag("vers").over(w).alias("prev_vers"), F.lead("vers").over(w).alias("next_vers"))
 
 
+def beside_next(items: DataFrame, releases: DataFrame) -> DataFrame:
+    """``items(package, vers, key, digest, cfg, ...)``, each key once in a release, with next_vers (null in a package's last release) and what that release has under
+    the same key: next_there, next_digest, next_cfg; and with is_first and is_last, whether the key is the least or the greatest of its release.
+
+    Versions come as one list a package. All steps group or join by the package or by it and more, so that items already dealt by the package are not shuffled again."""
+    order = F.array_sort(F.collect_set(F.struct(semver_key(F.col("vers")).alias("at"), "vers")))
+    history = releases.select("package", "vers").distinct().groupBy("package").agg(F.transform(order, lambda r: r["vers"]).alias("_history"))
+    at = F.array_position("_history", F.col("vers"))
+    out = items.join(history, "package").withColumns({"_at": at, "next_vers": F.get("_history", at.cast("int"))}).drop("_history")
+    w, release = Window.partitionBy("package", "key").orderBy("_at"), Window.partitionBy("package", "vers")
+    there = F.col("key").isNotNull() & F.coalesce(F.lead("_at").over(w) == F.col("_at") + 1, F.lit(False))
+    out = out.withColumns({"next_there": there, "next_digest": F.lead("digest").over(w), "next_cfg": F.lead("cfg").over(w)})
+    out = out.withColumns({c: F.when(F.col("next_there"), F.col(c)) for c in ("next_digest", "next_cfg")})
+    ends = {"is_first": F.min("key").over(release), "is_last": F.max("key").over(release)}
+    return out.withColumns({c: F.coalesce(F.col("key") == end, F.lit(False)) for c, end in ends.items()}).drop("_at")
+
+
 def release_delta(items: DataFrame, releases: DataFrame) -> DataFrame:
     """package, vers, key, change against the release before: added, removed, re-signed (other digest) or regated (other cfg).
 
@@ -109,6 +126,10 @@ def compatible_window(report: DataFrame, baseline: DataFrame) -> DataFrame:
     return runs.join(mine, ["package", "_run"], "left_semi").groupBy("package").agg(F.min_by("vers", key).alias("first"), F.max_by("vers", key).alias("last"), F.count("*").alias("releases"))
 
 
+def plan_action(same: Column, to_key: Column) -> Column:
+    return F.when(same, "keep").when(to_key.isNotNull(), "rewrite").otherwise("manual")
+
+
 def migration_plan(used: DataFrame, before: DataFrame, after: DataFrame, rules: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """key, action, to_key for symbols used from the old surface: keep if unchanged, rewrite if a rule applies, else manual. Surfaces are (key, digest); ``rules(from_key, to_key, status)``.
 
@@ -118,7 +139,7 @@ def migration_plan(used: DataFrame, before: DataFrame, after: DataFrame, rules:
     new = after.groupBy(*on).agg(F.min("digest").alias("_new"))
     ready = rules.where("status = 'applies'").groupBy(*by, F.col("from_key").alias("key")).agg(F.min("to_key").alias("to_key"))
     out = used.select(*on).distinct().join(old, on).join(new, on, "left").join(ready, on, "left")
-    action = F.when(F.col("_old") == F.col("_new"), "keep").when(F.col("to_key").isNotNull(), "rewrite").otherwise("manual")
+    action = plan_action(F.col("_old") == F.col("_new"), F.col("to_key"))
     return out.select(*on, action.alias("action"), F.when(action == "rewrite", F.col("to_key")).alias("to_key"))
 
 
