@@ -1,6 +1,6 @@
 """Incremental sync as a micro-batch job: files of registry rows arrive, and the index table keeps one current row for each release.
 
-What each release's digest is now is state of the stream, keyed by the release, so that a batch is classified without reading the table: within a batch the last
+What each release's digest is now is state of the stream, keyed by slots of releases, so that a batch is classified without reading the table: within a batch the last
 row of a release counts, and it is a change if its digest is another than the one before. A batch's changes are appended under its number. A batch that
 runs again gets the same state and writes the same number again, so that nothing is lost or counted twice. A stream with a new checkpoint starts from the table's digests.
 
@@ -12,6 +12,7 @@ base has a power of two of partitions by hash of the provider, which doubles as
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import reduce
@@ -26,34 +27,49 @@ CHANGE = "provider_id string, kind string, id string, package string, cksum stri
 INDEX = f"{CHANGE}, blob string, batch long"
 PART_ROWS = 1_000_000  # rows for a partition of the base from which their number doubles
 SPREAD = 8  # tasks that write one partition, so that a provider with many releases is none's alone
+SLOTS = 1 << 14  # groups of the state, each with its share of all releases; a checkpoint is bound to their number
 COMPACT_AFTER = 16  # batches that wait as changes
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-class LastDigest(StatefulProcessor):
-    """Passes on a release's last row of a batch if its digest is not the one that the release has by now."""
+class LastDigests(StatefulProcessor):
+    """Passes on the last row of a batch of each release whose digest is not the one that the release has by now. A group is a slot of releases, whose digests are read and written at once."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.digest = handle.getValueState("digest", "cksum string")
+        self.held = handle.getValueState("held", "held string")
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timers: object) -> Iterator[Row]:
-        last = max(rows, key=lambda r: (r.seq, r.cksum or ""))
-        was = self.digest.get()
-        if was is None or was[0] != last.cksum:
-            self.digest.update((last.cksum,))
-            yield Row(provider_id=last.provider_id, kind=last.kind, id=last.id, package=last.package, cksum=last.cksum)
+        last: dict[tuple, Row] = {}
+        for r in rows:
+            release = (r.provider_id, r.kind, r.id)
+            seen = last.get(release)
+            if seen is None or (r.seq, r.cksum or "") > (seen.seq, seen.cksum or ""):
+                last[release] = r
+        was = self.held.get()
+        held = {tuple(release): digest for *release, digest in json.loads(was[0])} if was else {}
+        changed = [r for release, r in last.items() if release not in held or held[release] != r.cksum]
+        if changed:
+            held.update(((r.provider_id, r.kind, r.id), r.cksum) for r in changed)
+            self.held.update((json.dumps([[*release, digest] for release, digest in held.items()]),))
+        for r in changed:
+            yield Row(provider_id=r.provider_id, kind=r.kind, id=r.id, package=r.package, cksum=r.cksum)
 
     def handleInitialState(self, key: tuple, initial: Row, timers: object) -> None:
-        self.digest.update((initial.cksum,))
+        self.held.update((initial.held,))
 
     def close(self) -> None:
         pass
 
 
+def _slot() -> Column:
+    return F.pmod(F.xxhash64(*RELEASE), F.lit(SLOTS)).alias("_slot")
+
+
 def changes(arriving: DataFrame, index: DataFrame) -> DataFrame:
     """The stream of rows (provider_id, kind, id, package, cksum, seq) that change the index; ``index`` is what a stream without a past starts from."""
-    return arriving.groupBy(*RELEASE).transformWithState(LastDigest(), CHANGE, "append", "none", initialState=index.select(*RELEASE, "cksum").groupBy(*RELEASE))
+    initial = index.groupBy(_slot()).agg(F.to_json(F.collect_list(F.array(*RELEASE, "cksum"))).alias("held"))
+    return arriving.withColumn("_slot", _slot()).groupBy("_slot").transformWithState(LastDigests(), CHANGE, "append", "none", initialState=initial.groupBy("_slot"))
 
 
 class Store:
